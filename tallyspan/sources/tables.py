@@ -19,3 +19,15 @@ def broadcast_if_small(df: DataFrame, most: int = RULE_ROWS) -> DataFrame:
     The count reads at most ``most + 1`` rows.
     """
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def rule_rows(df: DataFrame, most: int = RULE_ROWS) -> list:
+    """All rows of a rule table on the driver; an error if it holds more than ``most``.
+
+    Rule tables are fixed by nature (fields, units, mappings). The bound is
+    checked before anything is collected.
+    """
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a rule table may have {most} rows at most")
+    return rows
