@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.plans import quality, quality_sql, units
+from tallyspan.plans import drift, quality, quality_sql, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,8 @@ QUERIES: dict[str, Query] = {
     "p1_found": units.p1_found,
     "p1_converted": units.p1_converted,
     "p1_spellings": units.p1_spellings,
+    "p4_found": drift.p4_found,
+    "p4_unified": drift.p4_unified,
     "p5_found": quality.p5_found,
     "p5_line_items": quality.p5_line_items,
     "p5_source_records": quality.p5_source_records,

@@ -60,13 +60,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable in Python workers that don't share the driver's path.
-
-    Workers of a local master inherit ``sys.path``; elsewhere a zip of the
-    package is added once per session.
-    """
+    """Make the package importable in Python workers: a zip of its sources is added once per session."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_tallyspan_shipped", False):
+    if getattr(sc, "_tallyspan_shipped", False):
         return
     import zipfile
 
