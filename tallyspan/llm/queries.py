@@ -4,12 +4,80 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe, packing
+from tallyspan.functions.keys import field_name, period_quarter, period_year
+from tallyspan.llm import bpe, packing, survivors
 from tallyspan.sources.tables import table
 
+_FIGURE = ("filer", "segment", "year", "quarter", "fld")
+
+
+def source_kind(c: Column) -> Column:
+    """``xml``, ``text`` or ``ocr`` of a source type however spelled; null where it says none."""
+    plain = F.lower(c)
+    return F.when(plain.contains("ocr"), "ocr").when(plain.contains("xml") | plain.contains("xbrl"), "xml").when(plain.contains("pdf") | plain.contains("text"), "text")
+
+
+def confidence_share(c: Column) -> Column:
+    """Confidence in whole hundredths; values above 1 are percent; null for null and NaN."""
+    known = F.when(~F.isnan(c), c)
+    return F.round(F.when(known > 1, known).otherwise(known * 100)).cast("int")
+
+
+def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of provenance with unified keys: numbers for ids and periods, snake_case fields."""
+    number = lambda c: F.regexp_replace(c, r"[^0-9]", "").try_cast("bigint")
+    return table(spark, sf_dir, "provenance").select(
+        number("filer_id").alias("filer"), number("segment_id").alias("segment"), period_year(F.col("period")).alias("year"), period_quarter(F.col("period")).alias("quarter"),
+        field_name(F.col("field")).alias("fld"), "prov_id", source_kind(F.col("source_type")).alias("kind"), confidence_share(F.col("confidence")).alias("share"), F.col("ts").cast("timestamp").alias("ts"), "raw_value", "location",
+    )
+
+
+def _trust(share: str = "share", kind: str = "kind") -> list[Column]:
+    rank = F.when(F.col(kind) == "xml", 0).when(F.col(kind) == "text", 1).when(F.col(kind) == "ocr", 2).otherwise(3)
+    return [F.coalesce(-F.col(share), F.lit(1)), rank]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivor of each group of records of one figure, and where its raw value and location come from.
+
+    The precedence is learnt of the source kinds. As the kind ranks before the
+    time stamp here, rows that tie in it have the same level, and the order
+    is the stated one: latest stamp, null last, then the smallest id.
+    """
+    rows = _figures(spark, sf_dir)
+    learnt = survivors.learn_precedence(rows, _FIGURE, "kind", "ts")
+    ranks = [*_trust(), *survivors.latest_first(F.col("ts"), learnt.level(F.col("kind")), stamps_first=True)]
+    ids = {"raw_from_id": F.col("raw_value").rlike("[0-9]"), "location_from_id": F.col("location").rlike(r"(?U)\S")}
+    return survivors.best_of_groups(rows, _FIGURE, "prov_id", ranks, ids).select("group_id", "survivor_id", "raw_from_id", "location_from_id")
+
+
+def p2_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record built per figure: the most trusted raw value and location, and the most current raw value, where a record without stamp is placed by its source kind."""
+    rows = _figures(spark, sf_dir)
+    level = survivors.learn_precedence(rows, _FIGURE, "kind", "ts").level(F.col("kind"))
+    trusted = [*_trust(), *survivors.latest_first(F.col("ts"), level, stamps_first=True)]
+    current = survivors.latest_first(F.col("ts"), level, stamps_first=False)
+    usable, placed = F.col("raw_value").rlike("[0-9]"), F.col("location").rlike(r"(?U)\S")
+    values = {
+        "raw_value": (trusted, usable, F.trim("raw_value")),
+        "location": (trusted, placed, F.trim("location")),
+        "current_raw": (current, usable, F.trim("raw_value")),
+        "confidence": (trusted, F.lit(True), F.col("share") / 100),
+        "latest_ts": (survivors.latest_first(F.col("ts"), level, stamps_first=True), F.lit(True), F.col("ts")),
+    }
+    golden = survivors.best_of_groups(rows, _FIGURE, "prov_id", trusted, {}, values)
+    return golden.select("group_id", "n_rows", "survivor_id", F.col("fld").alias("field"), F.col("year").cast("int"), F.col("quarter").cast("int"), *values)
+
+
+def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learnt precedence of source kinds: clear transitions with their counts and the level of either side."""
+    learnt = survivors.learn_precedence(_figures(spark, sf_dir), _FIGURE, "kind", "ts")
+    rows = [(a, b, n, m, learnt.levels[a], learnt.levels[b]) for a, b, n, m in learnt.edges]
+    return spark.createDataFrame(rows, "earlier string, later string, seen bigint, reversed bigint, earlier_level int, later_level int")
+
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
@@ -30,9 +98,31 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_golden": p2_golden,
+    "p2_precedence": p2_precedence,
     "p7_ids": p7_ids,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,
 }
 
-SQL: dict[str, str] = {}
+_P2 = """
+with p as (
+  select prov_id, ts, raw_value, location,
+         regexp_replace(filer_id, '[^0-9]', '', 'g') as filer, regexp_replace(segment_id, '[^0-9]', '', 'g') as segment,
+         regexp_extract(period, '[0-9]{4}') as year,
+         replace(replace(replace(replace(replace(regexp_extract(regexp_replace(upper(period), '[0-9]{4}', ''), '(IV|III|II|I|[1-4])'), 'IV', '4'), 'III', '3'), 'II', '2'), 'I', '1'), ' ', '') as quarter,
+         regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as fld,
+         round(case when confidence > 1 then confidence else confidence * 100 end)::int as share,
+         case when lower(source_type) like '%ocr%' then 2 when lower(source_type) in ('xml', 'xbrl') then 0 when source_type is null then 3 else 1 end as kind
+  from provenance
+), r as (
+  select *, row_number() over (partition by filer, segment, year, quarter, fld order by share desc nulls last, kind, ts desc nulls last, prov_id) as rn from p
+)
+select min(prov_id) as group_id, max(case when rn = 1 then prov_id end) as survivor_id,
+       coalesce(arg_min(prov_id, rn) filter (regexp_matches(raw_value, '[0-9]')), max(case when rn = 1 then prov_id end)) as raw_from_id,
+       coalesce(arg_min(prov_id, rn) filter (trim(location) <> ''), max(case when rn = 1 then prov_id end)) as location_from_id
+from r group by filer, segment, year, quarter, fld having count(*) >= 2
+"""
+
+SQL: dict[str, str] = {"p2_found": _P2}
