@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import field_name, period_quarter, period_year
-from tallyspan.llm import bpe, packing, survivors
+from tallyspan.llm import bpe, canonical, concepts, packing, survivors
 from tallyspan.sources.tables import table
 
 _FIGURE = ("filer", "segment", "year", "quarter", "fld")
@@ -79,6 +79,21 @@ def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "earlier string, later string, seen bigint, reversed bigint, earlier_level int, later_level int")
 
 
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, entries = concepts.free_items(spark, sf_dir), concepts.reference_entries(spark, sf_dir)
+    return canonical.map_to_reference(items, "concepto", ["sheet", "section"], entries, ["item_id", "sheet", "section", "concepto"])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical field each freely typed concept means, or ``none``."""
+    return _mapped(spark, sf_dir).select("item_id", F.coalesce("target", F.lit("none")).alias("field"))
+
+
+def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wordings without a canonical field and how often each occurs."""
+    return _mapped(spark, sf_dir).where("target is null").groupBy("sheet", "section", "concepto").agg(F.count("*").alias("n"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encode_column(table(spark, sf_dir, "documents"), "text", ["doc_id"])
@@ -101,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_golden": p2_golden,
     "p2_precedence": p2_precedence,
+    "p3_found": p3_found,
+    "p3_unmatched": p3_unmatched,
     "p7_ids": p7_ids,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,
