@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import field_name, period_quarter, period_year
-from tallyspan.llm import bpe, canonical, concepts, packing, survivors
+from tallyspan.llm import bpe, canonical, concepts, language, packing, survivors
 from tallyspan.sources.tables import table
 
 _FIGURE = ("filer", "segment", "year", "quarter", "fld")
@@ -112,6 +112,19 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.select("containers", F.ceil(F.col("tokens") / packing.CAPACITY).alias("least"), "fullest", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6).alias("used"))
 
 
+def p9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main language (seg_no -1) and stretches of every document with confidence and place."""
+    found = language.detect(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "seg_no", "lang", F.round("confidence", 4).alias("confidence"), "start_char", "end_char", "letters")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose label doesn't name their language, and the stretches of mixed documents."""
+    found = language.detect(table(spark, sf_dir, "documents"))
+    wrong = (F.col("seg_no") == -1) & F.col("lang").isNotNull() & ~F.col("lang").eqNullSafe(F.col("labelled"))
+    return found.where(wrong | ((F.col("seg_no") >= 0) & F.col("mixed"))).select("doc_id", "seg_no", "lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_golden": p2_golden,
@@ -121,6 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_language": p9_language,
 }
 
 _P2 = """
