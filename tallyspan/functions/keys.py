@@ -19,20 +19,23 @@ def coded_id(c: Column, prefix: str, digits: int) -> Column:
 
 def field_name(c: Column) -> Column:
     """snake_case field from spellings with other case, hyphens, blanks or outer blanks."""
-    return F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)[\s\-_]+", "_")
+    full = F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)[\s\-_]+", "_")
+    return F.when(c.rlike(r"^[a-z0-9]+(?:_[a-z0-9]+)*$"), c).otherwise(full)
 
 
 def period_year(c: Column) -> Column:
     """Year of a quarter text, null where there is none."""
-    return F.try_to_number(F.nullif(F.regexp_extract(c, r"(?<![0-9])([0-9]{4})(?![0-9])", 1), F.lit("")), F.lit("9999")).cast("int")
+    return F.regexp_extract(c, r"(?<![0-9])([0-9]{4})(?![0-9])", 1).try_cast("int")
+
+
+# Quarters by Roman or Arabic numeral.
+_QUARTERS = {"I": 1, "II": 2, "III": 3, "IV": 4, "1": 1, "2": 2, "3": 3, "4": 4}
 
 
 def period_quarter(c: Column) -> Column:
     """Quarter 1..4 of ``2024_Q2``, ``2024-QII``, ``IIQ2024``, ``Q2 2024``; null where there is none."""
     rest = F.upper(F.regexp_replace(c, r"(?<![0-9])[0-9]{4}(?![0-9])", " "))
+    after = F.nullif(F.regexp_extract(rest, r"Q ?(IV|I{1,3}|[1-4])(?![A-Z0-9])", 1), F.lit(""))
     before = F.regexp_extract(rest, r"(?<![A-Z0-9])(IV|I{1,3}|[1-4]) ?Q", 1)
-    after = F.regexp_extract(rest, r"Q ?(IV|I{1,3}|[1-4])(?![A-Z0-9])", 1)
-    said = F.when(after != "", after).otherwise(before)
-    return (
-        F.when(said.isin("I", "1"), 1).when(said.isin("II", "2"), 2).when(said.isin("III", "3"), 3).when(said.isin("IV", "4"), 4)
-    )
+    table = F.create_map(*[F.lit(x) for p in _QUARTERS.items() for x in p])
+    return F.try_element_at(table, F.coalesce(after, before))
