@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import field_name, period_quarter, period_year
 from tallyspan.llm import bpe, canonical, concepts, language, packing, survivors
+from tallyspan.session import written
 from tallyspan.sources.tables import table
 
-_FIGURE = ("filer", "segment", "year", "quarter", "fld")
+_FIGURE = ("filer", "segment", "quarter", "fld")
 
 
 def source_kind(c: Column) -> Column:
@@ -26,13 +27,18 @@ def confidence_share(c: Column) -> Column:
     return F.round(F.when(known > 1, known).otherwise(known * 100)).cast("int")
 
 
-def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of provenance with unified keys: numbers for ids and periods, snake_case fields."""
-    number = lambda c: F.regexp_replace(c, r"[^0-9]", "").try_cast("bigint")
-    return table(spark, sf_dir, "provenance").select(
-        number("filer_id").alias("filer"), number("segment_id").alias("segment"), period_year(F.col("period")).alias("year"), period_quarter(F.col("period")).alias("quarter"),
-        field_name(F.col("field")).alias("fld"), "prov_id", source_kind(F.col("source_type")).alias("kind"), confidence_share(F.col("confidence")).alias("share"), F.col("ts").cast("timestamp").alias("ts"), "raw_value", "location",
+def _figures(spark: SparkSession, sf_dir: str, texts: bool = False) -> DataFrame:
+    """Records of provenance with unified keys as a written table of narrow columns, since learning and ranking both read it.
+
+    Ids and periods become numbers, fields snake_case. ``texts`` keeps raw_value and location.
+    """
+    number = lambda c: F.regexp_replace(c, r"[^0-9]+", "").try_cast("bigint")
+    rows = table(spark, sf_dir, "provenance").select(
+        number("filer_id").alias("filer"), number("segment_id").alias("segment"), (period_year(F.col("period")) * 4 + period_quarter(F.col("period"))).alias("quarter"), field_name(F.col("field")).alias("fld"),
+        "prov_id", source_kind(F.col("source_type")).alias("kind"), confidence_share(F.col("confidence")).alias("share"), F.col("ts").cast("timestamp").alias("ts"),
+        F.coalesce(F.col("raw_value").rlike("[0-9]"), F.lit(False)).alias("usable"), F.coalesce(F.col("location").rlike(r"(?U)\S"), F.lit(False)).alias("placed"), *["raw_value", "location"] * texts,
     )
+    return written(rows, "p2-figures")
 
 
 def _trust(share: str = "share", kind: str = "kind") -> list[Column]:
@@ -50,26 +56,25 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _figures(spark, sf_dir)
     learnt = survivors.learn_precedence(rows, _FIGURE, "kind", "ts")
     ranks = [*_trust(), *survivors.latest_first(F.col("ts"), learnt.level(F.col("kind")), stamps_first=True)]
-    ids = {"raw_from_id": F.col("raw_value").rlike("[0-9]"), "location_from_id": F.col("location").rlike(r"(?U)\S")}
+    ids = {"raw_from_id": F.col("usable"), "location_from_id": F.col("placed")}
     return survivors.best_of_groups(rows, _FIGURE, "prov_id", ranks, ids).select("group_id", "survivor_id", "raw_from_id", "location_from_id")
 
 
 def p2_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record built per figure: the most trusted raw value and location, and the most current raw value, where a record without stamp is placed by its source kind."""
-    rows = _figures(spark, sf_dir)
+    rows = _figures(spark, sf_dir, texts=True)
     level = survivors.learn_precedence(rows, _FIGURE, "kind", "ts").level(F.col("kind"))
     trusted = [*_trust(), *survivors.latest_first(F.col("ts"), level, stamps_first=True)]
     current = survivors.latest_first(F.col("ts"), level, stamps_first=False)
-    usable, placed = F.col("raw_value").rlike("[0-9]"), F.col("location").rlike(r"(?U)\S")
     values = {
-        "raw_value": (trusted, usable, F.trim("raw_value")),
-        "location": (trusted, placed, F.trim("location")),
-        "current_raw": (current, usable, F.trim("raw_value")),
+        "raw_value": (trusted, F.col("usable"), F.trim("raw_value")),
+        "location": (trusted, F.col("placed"), F.trim("location")),
+        "current_raw": (current, F.col("usable"), F.trim("raw_value")),
         "confidence": (trusted, F.lit(True), F.col("share") / 100),
         "latest_ts": (survivors.latest_first(F.col("ts"), level, stamps_first=True), F.lit(True), F.col("ts")),
     }
     golden = survivors.best_of_groups(rows, _FIGURE, "prov_id", trusted, {}, values)
-    return golden.select("group_id", "n_rows", "survivor_id", F.col("fld").alias("field"), F.col("year").cast("int"), F.col("quarter").cast("int"), *values)
+    return golden.select("group_id", "n_rows", "survivor_id", F.col("fld").alias("field"), F.floor((F.col("quarter") - 1) / 4).cast("int").alias("year"), (F.pmod(F.col("quarter") - 1, F.lit(4)) + 1).cast("int").alias("quarter"), *values)
 
 
 def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
