@@ -160,12 +160,22 @@ def classify(df: DataFrame, payload: str = "payload", sep: str = "sep", kind: st
     return df.drop("__blank", "__quoted", "__fields")
 
 
+def invalid_rows(classified: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``reason`` of the lines that aren't valid.
+
+    The reason is exploded rather than filtered on: a filter would be pushed
+    below the projections and evaluate the parsed records once per use.
+    """
+    return classified.select(*keep, F.explode(F.when(F.col("reason").isNotNull(), F.array("reason"))).alias("reason"))
+
+
 def valid_rows(classified: DataFrame, layout: Layout, keep: list[str]) -> DataFrame:
     """The valid lines of one kind as typed rows."""
     record = F.col(f"parsed_{layout.kind}")
+    fine = classified.select(*keep, F.explode(F.when(F.col("reason").isNull() & record.isNotNull(), F.array(record))).alias("__r"))
     typed = []
     for n, how in layout.fields:
-        v = trimmed(record[n])
+        v = trimmed(F.col(f"__r.{n}"))
         e = {"amount": to_number(v).cast("long"), "figure": to_number(v).cast("double"), "share": v.try_cast("double"), "stamp": real_stamp(v)}.get(how, F.nullif(v, F.lit("")))
         typed.append(e.alias(n))
-    return classified.where(F.col("reason").isNull() & record.isNotNull()).select(*keep, *typed)
+    return fine.select(*keep, *typed)

@@ -17,7 +17,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line that isn't valid with the first reason that applies."""
-    return _lines(spark, sf_dir).where("reason is not null").select("raw_id", "reason")
+    return B.invalid_rows(_lines(spark, sf_dir), ["raw_id"])
 
 
 def p5_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
