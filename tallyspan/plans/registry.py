@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.plans import drift, quality, quality_sql, units
+from tallyspan.plans import drift, figures, figures_sql, quality, quality_sql, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "p5_source_records": quality.p5_source_records,
     "p6_found": quality.p6_found,
     "p6_comparison": quality.p6_comparison,
+    **figures.QUERIES,
 }
 
-SQL: dict[str, str] = {**quality_sql.SQL}
+SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL}
