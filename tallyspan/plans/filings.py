@@ -188,7 +188,7 @@ def pca_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per hour and kind, by a stream over what is there now."""
     shape = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/events.parque[t]")  # a glob, as the source takes a plain path for a folder
     events = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     return ingest.drain(ingest.window_totals(events, "ts", ["event_type"], "value", late=None), "totals", "complete").withColumn("total", F.round("total", 2))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.plans import drift, figures, figures_sql, quality, quality_sql, units
+from tallyspan.plans import drift, figures, figures_sql, filings, filings_sql, quality, quality_sql, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "p6_found": quality.p6_found,
     "p6_comparison": quality.p6_comparison,
     **figures.QUERIES,
+    **filings.QUERIES,
 }
 
-SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL}
+SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL, **filings_sql.SQL}
