@@ -12,7 +12,12 @@ from tallyspan.sources.tables import rule_rows, table
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tables in the common form that true_units takes, with the unit each reading is due in."""
+    """Both tables in the common form that true_units takes, with the unit each reading is due in.
+
+    A written table: the texts are taken apart once, and the passes that
+    follow read narrow columns. The filter on ``first`` comes after it, so that
+    it doesn't evaluate the number parser a second time.
+    """
     unit_rows = rule_rows(table(spark, sf_dir, "unit_ref"))
     base = {u.unit_code: u.quantity for u in sorted(unit_rows, key=lambda u: bool(u.is_base))}
     fields = [r for r in rule_rows(table(spark, sf_dir, "field_rule")) if r.sheet == "sheet2" and r.unit in base]
@@ -41,14 +46,14 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.when(said.isNull(), point).otherwise(comma), F.lit(0.0)).alias("first"), F.when(said.isNull(), point_other).otherwise(comma_other).alias("other"),
         U.spelling_key(F.col("unit_ref")).alias("said_unit"), said.alias("said_text"), F.lit(None).cast("string").alias("said_label"),
     )
-    return kpi.unionByName(facts).where("first is not null")
+    return written(kpi.unionByName(facts), "p1-readings").where("first is not null")
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reading with the unit it is really in. The stated units are cut into a written table, as three passes use them."""
+    """Every reading with the unit it is really in."""
     ship_package(spark)
     rows = U.resolve_stated(readings(spark, sf_dir), ["said_unit", "said_text", "said_label"])
-    return U.true_units(written(rows, "p1-stated"), rule_rows(table(spark, sf_dir, "unit_ref")))
+    return U.true_units(rows, rule_rows(table(spark, sf_dir, "unit_ref")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
