@@ -90,7 +90,7 @@ def check(c: Column, how: str) -> Column:
 
 def to_number(c: Column) -> Column:
     """The number of an amount or figure that passed its check; empty and ``-`` give null."""
-    v = F.regexp_replace(trimmed(c), r"^(?:MUS\$|US\$)", "")
+    v = F.regexp_replace(trimmed(c), r"^M?US\$ ?", "")
     plain = F.replace(F.regexp_replace(v, r"[.()\s]", ""), F.lit(","), F.lit("."))
     number = plain.try_cast("decimal(38,6)")
     return F.when(v.startswith("("), -number).otherwise(number)

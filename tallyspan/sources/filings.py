@@ -116,7 +116,7 @@ def read_contexts(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
 
 
 def read_errors(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Documents that can't be read, with the reason."""
+    """Documents that can't be read, with the reason. Files of no bytes yield no rows at all, as the file source skips them."""
     return _parsed(_documents(spark, path, pattern), None, ERRORS)
 
 
