@@ -145,18 +145,17 @@ class Matcher:
         # a beginning shared by several targets tells nothing
         self.cut = BKTree({f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= 4 and f not in whole})
 
-    def best(self, text: str) -> tuple[str, int, str] | None:
-        """(target, distance, entry): the nearest whole entry, else the nearest beginning; ties go to the least order."""
+    def best(self, text: str) -> tuple[int, int, int, str, str] | None:
+        """(stage, distance, order, target, entry): the nearest whole entry (stage 0), else the nearest beginning (1); ties go to the least order."""
         c = core(text)
-        for tree, most in ((self.whole, edits_allowed(c)), (self.cut, min(2, edits_allowed(c)))):
+        for stage, (tree, most) in enumerate(((self.whole, edits_allowed(c)), (self.cut, min(2, edits_allowed(c))))):
             near = [(0, c)] if c in tree.value else tree.within(c, most)
             if near:
-                d, _, target, entry = min((d, *tree.value[e], e) for d, e in near)
-                return target, d, entry
+                return (stage, *min((d, *tree.value[e], e) for d, e in near))
         return None
 
 
-_SHAPE = "target string, distance int, entry string"
+_FOUND = "stage int, distance int, order int, target string, entry string"
 
 
 def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str]):
@@ -177,42 +176,60 @@ def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str])
                         trees[at] = Matcher(by_block.get(at, []))
                     if len(seen) >= REMEMBERED:
                         seen.clear()
-                    seen[row] = (value is not None and trees[at].best(value)) or (None, None, None)
+                    seen[row] = (value is not None and trees[at].best(value)) or (None,) * 5
                 out.append(seen[row])
-            told = pd.DataFrame(out, columns=["target", "distance", "entry"]).astype({"distance": "Int32"})
-            yield pd.concat([batch[keep].reset_index(drop=True), told], axis=1)
+            told = pd.DataFrame(out, columns=["stage", "distance", "order", "target", "entry"]).astype({"stage": "Int32", "distance": "Int32", "order": "Int32"})
+            yield pd.concat([batch[keep].reset_index(drop=True).add_prefix("__k_"), told], axis=1)
 
     return run
 
 
+def _looked_up(rows: DataFrame, entries: list[tuple], block: list[str], text: str, keep: list[str]) -> DataFrame:
+    schema = ", ".join([*(f"`__k_{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema), _FOUND])
+    return rows.mapInPandas(_answers(entries, block, text, keep), schema)
+
+
 def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: DataFrame, keep: list[str], most: int = MOST_ENTRIES) -> DataFrame:
     """``keep`` with ``target``, ``distance`` and ``entry`` of the nearest reference entry of the row's block; null where none is within the threshold.
 
     ``entries`` has the block columns, ``entry``, ``target`` and ``order``
     (ties go to the least). Null, empty and unmatched values give nulls;
-    repeated rows come out each. With more than ``most`` entries the distinct
-    values are answered shard by shard and joined back on value and block
-    (a null block column matches nothing there).
+    repeated rows come out each. Longer lists are taken in shards of ``most``
+    entries: each shard answers the distinct values, their winners merge, and
+    the result is joined back on value and block (a null block column matches
+    nothing there).
     """
     ship_package(rows.sparkSession)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) + f", {_SHAPE}"
     columns = [*block, "entry", "target", "order"]
-    needed = [*dict.fromkeys([*keep, *block, text])]
+    slim = rows.select(*dict.fromkeys([*keep, *block, text]))
+    kept = [F.col(f"__k_{c}").alias(c) for c in keep]
     head = entries.select(*columns).limit(most + 1).collect()
     if len(head) <= most:
-        return rows.select(*needed).mapInPandas(_answers([tuple(r) for r in head], block, text, keep), schema)
-    shards = -(-entries.count() // (most // 2))
-    asked = written(rows.select(*block, text).distinct(), "asked")
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema) + f", {_SHAPE}"
+        return _looked_up(slim, [tuple(r) for r in head], block, text, keep).select(*kept, "target", "distance", "entry")
+    value = [*block, text]
+    asked = written(rows.select(*value).distinct(), "asked")
     won = None
-    for k in range(shards):
-        part = [tuple(r) for r in entries.select(*columns).where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == k).limit(most + 1).collect()]
-        if len(part) > most:
-            raise ValueError("one reference entry is repeated too often for a shard")
-        told = asked.mapInPandas(_answers(part, block, text, [*block, text]), shape).where("target is not null")
+    for shard in _shards(entries.select(*columns), most):
+        told = written(_looked_up(asked, shard, block, text, value).where("target is not null"), "shard")
         won = told if won is None else won.unionByName(told)
-    best = won.groupBy(*block, text).agg(F.min(F.struct("distance", "entry", "target")).alias("b")).select(*block, text, "b.target", "b.distance", "b.entry")
-    return rows.select(*needed).join(best, [*block, text], "left").select(*keep, "target", "distance", "entry")
+    hashed = [f"__k_{c}" for c in value]
+    # a beginning that stands for several targets tells nothing, whatever shards they are in
+    by_entry = won.groupBy(*hashed, "stage", "entry").agg(F.min(F.struct("distance", "order", "target")).alias("b"), F.count_distinct("target").alias("n")).where("stage = 0 or n = 1")
+    best = by_entry.groupBy(*hashed).agg(F.min(F.struct("stage", "b", "entry")).alias("w"))
+    best = best.select(*[F.col(h).alias(c) for h, c in zip(hashed, value)], F.col("w.b.target").alias("__target"), F.col("w.b.distance").alias("__distance"), F.col("w.entry").alias("__entry"))
+    return slim.join(best, value, "left").select(*keep, F.col("__target").alias("target"), F.col("__distance").alias("distance"), F.col("__entry").alias("entry"))
+
+
+def _shards(entries: DataFrame, most: int) -> Iterator[list[tuple]]:
+    """Shards of at most ``most`` entries, one at a time on the driver."""
+    shard: list[tuple] = []
+    for r in entries.toLocalIterator():
+        shard.append(tuple(r))
+        if len(shard) == most:
+            yield shard
+            shard = []
+    if shard:
+        yield shard
 
 
 def is_blank(c: Column) -> Column:

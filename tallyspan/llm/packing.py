@@ -6,10 +6,11 @@ room, closes the fullest and opens another. What is still open when a
 partition ends is left over: its items are packed again in fewer partitions,
 round by round, until one partition remains, whose open containers are final.
 
-A partition holds ``windows`` open containers and never more, whatever its
-size; each round shrinks the number of partitions by ``FAN_IN``, and what goes
-into a round is at most ``windows`` containers of items per partition of the
-round before.
+A partition of the input holds ``windows`` open containers and never more,
+whatever its size. Each later round shrinks the number of partitions by
+``FAN_IN`` and packs in order of size, with room for everything that meets in
+a partition: at most about ``FAN_IN * windows`` containers of items, since a
+partition hands on no more than its ``windows`` emptiest containers.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Packer:
         return closed
 
     def rest(self) -> list[tuple[int, int, list]]:
-        """What is open: (id, free space, items)."""
+        """What is open, the fullest first: (id, free space, items)."""
         return [(at, room, self.held[at]) for room, those in enumerate(self.by_room) for at in those]
 
 
@@ -94,7 +95,7 @@ def _pack_stream(items: Callable[[pa.RecordBatch], list[tuple]], capacity: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        packer = Packer(capacity, windows, (round_no << 56) | (TaskContext.get().partitionId() << 32))
+        packer = Packer(capacity, windows if round_no == 0 else 1 << 30, (round_no << 56) | (TaskContext.get().partitionId() << 32))
         for batch in batches:
             out = []
             for item in items(batch):
@@ -105,7 +106,9 @@ def _pack_stream(items: Callable[[pa.RecordBatch], list[tuple]], capacity: int,
                         out += [(*x, at, False) for x in held]
             if out:
                 yield _batch(out)
-        yield _batch([(*x, at, not final and room > capacity * (1 - FULL)) for at, room, held in packer.rest() for x in held])
+        rest = packer.rest()
+        handed_on = set() if final else {at for at, room, _ in rest[-windows:] if room > capacity * (1 - FULL)}
+        yield _batch([(*x, at, at in handed_on) for at, _, held in rest for x in held])
 
     return run
 
@@ -163,7 +166,7 @@ def _rounds(packed: DataFrame, capacity: int, windows: int) -> DataFrame:
         round_no, parts = round_no + 1, math.ceil(parts / FAN_IN)
         final = parts == 1
         spread = left.repartition(parts, F.xxhash64("doc_id", "piece_no")).sortWithinPartitions(F.desc("n_tokens"), "doc_id", "piece_no")
-        now = written(spread.mapInArrow(_pack_stream(again, capacity, windows * (4 if final else 1), round_no, final), _SHAPE), "packing")
+        now = written(spread.mapInArrow(_pack_stream(again, capacity, windows, round_no, final), _SHAPE), "packing")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
