@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspan.functions.numbers import scale_floor, scale_trunc
 from tallyspan.functions.periods import quarter_end
 from tallyspan.operators.select import pick_first
+from tallyspan.sources.tables import broadcast_if_small, with_each
 
 
 def with_contexts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def mapped_values(facts: DataFrame, mappings: DataFrame, duration: DataFrame, in
     chosen = duration.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("duration").alias("context_type"))
     if instant is not None:
         chosen = chosen.unionByName(instant.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("instant").alias("context_type")))
-    slim = facts.select("doc_id", "name", "context_ref", "value", "fact_ord").join(F.broadcast(names), "name")
+    slim = facts.select("doc_id", "name", "context_ref", "value", "fact_ord").join(broadcast_if_small(names), "name")
     there = slim.join(chosen, ["doc_id", "context_ref", "context_type"])
     by_name = pick_first(there, ["doc_id", "field", "rank"], [F.col("fact_ord")], ["name", "value", "apply_scaling", "ensure_negative"])
     read = by_name.withColumn("v", number_text(F.col("value")))
@@ -77,7 +78,7 @@ def mapped_values(facts: DataFrame, mappings: DataFrame, duration: DataFrame, in
     value = F.when(F.col("ensure_negative") & (scaled > 0), -scaled).otherwise(scaled)
     found = best.select("doc_id", "field", value.alias("value"), F.col("name").alias("fact"))
     defaults = mappings.where("default_value is not null").select("field", F.col("default_value").alias("value"))
-    absent = duration.select("doc_id").join(F.broadcast(defaults)).join(found.select("doc_id", "field"), ["doc_id", "field"], "left_anti")
+    absent = with_each(duration.select("doc_id"), defaults).join(found.select("doc_id", "field"), ["doc_id", "field"], "left_anti")
     return found.unionByName(absent.select("doc_id", "field", "value", F.lit(None).cast("string").alias("fact")))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.text import normalize_for_matching
 from tallyspan.operators.select import pick_first
+from tallyspan.sources.tables import as_literal
 
 
 def _texts(values: Sequence[str]) -> Column:
@@ -74,13 +75,15 @@ def match_keywords(text: Column, rules: Sequence[tuple[str, Sequence[str], Seque
 def keyword_values(lines: DataFrame, key: Sequence[str], line_no: str, text: str, value: Column, rules: DataFrame) -> DataFrame:
     """Per document and field, the value of the first line that holds a keyword of the field, no excluded one, and a value.
 
-    ``rules``: field, match_words, exclude_words (arrays of a rule table,
-    broadcast). Lines without any keyword are dropped before the join.
+    ``rules``: field, match_words, exclude_words, a rule table. Each line is
+    matched with all rules inside one expression; only lines that match are
+    parsed for a value.
     """
     low = F.lower(F.col(text))
-    valued = lines.withColumn("__v", value).where(F.col("__v").isNotNull())
-    joined = valued.join(F.broadcast(rules), F.exists("match_words", lambda w: low.contains(F.lower(w))) & ~F.exists(F.coalesce("exclude_words", F.array().cast("array<string>")), lambda w: low.contains(F.lower(w))))
-    return pick_first(joined, [*key, "field"], [F.col(line_no)], ["__v"]).withColumnRenamed("__v", "value")
+    has = lambda words: F.exists(F.coalesce(words, F.array().cast("array<string>")), lambda w: low.contains(F.lower(w)))
+    meant = F.filter(as_literal(rules.select("field", "match_words", "exclude_words")), lambda r: has(r["match_words"]) & ~has(r["exclude_words"]))
+    matched = lines.select(*key, line_no, text, F.explode(F.transform(meant, lambda r: r["field"])).alias("field"))
+    return pick_first(matched.withColumn("value", value), [*key, "field"], [F.col(line_no)], ["value"], F.col("value").isNotNull())
 
 
 def table_text(cells: Column) -> Column:

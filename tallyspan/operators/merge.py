@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.sources.tables import with_each
+
 
 def coalesce_merge(first: DataFrame, second: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Full outer merge where the first source's values win and the second fills nulls; ``source`` says who contributed."""
@@ -59,5 +61,5 @@ def unpivot_matrix(matrix: DataFrame, rows: Sequence[str], periods: Sequence[str
 
 
 def period_cross(years: DataFrame, months: DataFrame) -> DataFrame:
-    """Every year with every quarter-end month. ``months``: (month, quarter), a fixed table of four rows, broadcast."""
-    return years.join(F.broadcast(months.where("quarter is not null")))
+    """Every year with every quarter-end month. ``months``: (month, quarter), a rule table; months without quarter are dropped."""
+    return with_each(years, months.where("quarter is not null"))

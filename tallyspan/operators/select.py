@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.sources.tables import broadcast_if_small
+
 
 def _ordered(order: Sequence[Column]) -> Column:
     return F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
@@ -33,7 +35,7 @@ def fallback_chain(candidates: DataFrame, wanted: DataFrame, name: str, rank: st
     ``need_value``: a name counts only with a non-null value; otherwise its
     first row decides even if null.
     """
-    joined = candidates.join(F.broadcast(wanted), name)
+    joined = candidates.join(broadcast_if_small(wanted), name)
     return pick_first(joined, key, [F.col(rank), *order], [name, value], F.col(value).isNotNull() if need_value else None)
 
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.sources.tables import broadcast_if_small
+
 
 def difference(a: Column, b: Column, signed: bool = True) -> Column:
     """Absolute difference; unsigned compares magnitudes. Null where either is null."""
@@ -32,7 +34,7 @@ def sum_check(values: DataFrame, rules: DataFrame, key: Sequence[str], tolerance
     over key and rule with map-side combine; the rules are broadcast.
     """
     own = F.coalesce(F.col("tolerance"), F.lit(tolerance)) if "tolerance" in rules.columns else F.lit(tolerance)
-    joined = values.select(*key, "field", "value").join(F.broadcast(rules), "field")
+    joined = values.select(*key, "field", "value").join(broadcast_if_small(rules), "field")
     summed = joined.groupBy(*key, "rule").agg(
         F.sum(F.when(~F.col("is_total"), F.coalesce("value", F.lit(0)))).alias("expected"),
         F.max(F.when(F.col("is_total"), F.col("value"))).alias("actual"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import period_quarter, period_year
 from tallyspan.session import ship_package
+from tallyspan.sources.tables import broadcast_if_small
 
 FACTS = "doc_id string, fact_ord int, name string, namespace string, value string, context_ref string, unit_ref string, decimals string"
 CONTEXTS = "doc_id string, ctx_ord int, ctx_id string, period_type string, instant string, start_date string, end_date string, entity_id string, entity_scheme string"
@@ -187,7 +188,7 @@ def first_existing(listing: DataFrame, patterns: DataFrame) -> DataFrame:
     """Per period key, the file of the first pattern that exists. ``listing``: key, file; ``patterns`` (small): key, file, rank."""
     from tallyspan.operators.select import pick_first
 
-    return pick_first(listing.join(F.broadcast(patterns), ["key", "file"]), ["key"], [F.col("rank")], ["file", "rank"])
+    return pick_first(listing.join(broadcast_if_small(patterns), ["key", "file"]), ["key"], [F.col("rank")], ["file", "rank"])
 
 
 def ocr_pages(images: DataFrame, provider, fallbacks=(), attempts: int = 3) -> DataFrame:

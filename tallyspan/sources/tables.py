@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows up to which a rule table may be sent to every executor.
 RULE_ROWS = 10_000
@@ -31,3 +32,15 @@ def rule_rows(df: DataFrame, most: int = RULE_ROWS) -> list:
     if len(rows) > most:
         raise ValueError(f"a rule table may have {most} rows at most")
     return rows
+
+
+def as_literal(rules: DataFrame, most: int = RULE_ROWS) -> Column:
+    """The rows of a rule table as one array literal of structs, so that rows can be matched with rules inside an expression, without a join."""
+    kind = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in rules.schema]))
+    rows = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in rules.schema]) for r in rule_rows(rules, most)]
+    return F.array(*rows).cast(kind)
+
+
+def with_each(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every row of ``df`` with each row of a rule table."""
+    return df.select("*", F.inline(as_literal(rules)))
