@@ -93,7 +93,7 @@ def kind_of(value: object) -> str | None:
 def sketch(value: object) -> object:
     """A bounded form of a value: numbers and flags as they are, texts as their letter-digit shape and first characters."""
     if isinstance(value, str):
-        shape = re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", value[:64]))
+        shape = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", value[:64]))
         return [shape, value[:32]]
     if isinstance(value, (list, dict)):
         return len(value)
@@ -126,7 +126,7 @@ def rename_score(old: str, a: list, new: str, b: list, known: frozenset[str]) ->
         return 0.0
     by_name, by_value = name_likeness(old, new), value_likeness(a, b)
     score = 0.8 * by_name + 0.2 * by_value
-    telling = a[0] == b[0] == "text" and bool(a[1]) and len(a[1][1]) >= 6 and (a[1][1] == b[1][1] or (a[1][0] == b[1][0] and "9" in a[1][0]))
+    telling = a[0] == b[0] == "text" and bool(a[1]) and bool(b[1]) and min(len(a[1][1]), len(b[1][1])) >= 6 and (a[1][1] == b[1][1] or (a[1][0] == b[1][0] and "9" in a[1][0]))
     return max(score, 0.62) if telling and by_name > 0 and new not in known else score
 
 
