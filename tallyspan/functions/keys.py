@@ -14,7 +14,8 @@ def coded_id(c: Column, prefix: str, digits: int) -> Column:
     """
     number = F.regexp_replace(c, r"[^0-9]", "")
     short = F.regexp_replace(number, r"^0+(?=[0-9])", "")
-    return F.when(number != "", F.concat(F.lit(prefix + "-"), F.when(F.length(short) >= digits, short).otherwise(F.lpad(short, digits, "0"))))
+    plain = c.rlike(f"^{prefix}-[0-9]{{{digits}}}$")
+    return F.when(plain, c).when(number != "", F.concat(F.lit(prefix + "-"), F.when(F.length(short) >= digits, short).otherwise(F.lpad(short, digits, "0"))))
 
 
 def field_name(c: Column) -> Column:

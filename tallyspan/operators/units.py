@@ -133,7 +133,16 @@ def number_readings(text: Column, point_first: bool) -> tuple[Column, Column]:
     point groups thousands and the comma marks decimals, unless
     ``point_first`` says that the point marks decimals.
     """
-    s = F.regexp_extract(text, _NUMBER, 0)
+    return readings_of(number_token(text), point_first)
+
+
+def number_token(text: Column) -> Column:
+    """The first number of a text as it is written; empty if there is none."""
+    return F.regexp_extract(text, _NUMBER, 0)
+
+
+def readings_of(s: Column, point_first: bool) -> tuple[Column, Column]:
+    """number_readings of a token that is already cut out, best a column of its own, as it is used many times."""
     dots = F.length(s) - F.length(F.replace(s, F.lit("."), F.lit("")))
     commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
     as_point = F.replace(s, F.lit(","), F.lit("")).try_cast("double")
@@ -155,16 +164,16 @@ def number_readings(text: Column, point_first: bool) -> tuple[Column, Column]:
 
 def said_in_text(c: Column) -> Column:
     """What a reading's text says besides its first number."""
-    return spelling_key(F.regexp_replace(c, rf"[-(]?\s*(?:{_NUMBER})", " "))
+    return F.when(c.rlike(r"[^0-9.,()\s\-]"), spelling_key(F.regexp_replace(c, rf"[-(]?\s*(?:{_NUMBER})", " ")))
 
 
 def said_in_label(label: Column, rule_label: Column) -> Column:
-    """What a label says after the field's own label: in brackets, after ``, en`` or at the end."""
+    """What a label says after the field's own label: in brackets, after ``, en`` or at the end. A label that is just the field's own says nothing."""
     plain, own = F.lower(strip_accents(F.trim(label))), F.lower(strip_accents(F.trim(rule_label)))
     rest = F.when(F.startswith(plain, own), F.substr(plain, F.length(own) + 1, F.length(plain)))
     bracket = F.nullif(F.regexp_extract(plain, r"[\[(]([^\])]*)[\])]\s*$", 1), F.lit(""))
     after = F.nullif(F.regexp_extract(plain, r",\s*en\s+(.*)$", 1), F.lit(""))
-    return spelling_key(F.regexp_replace(F.coalesce(rest, bracket, after), r"^\s*,?\s*(?:en\s+)?", ""))
+    return F.when(F.lower(label) != F.lower(rule_label), spelling_key(F.regexp_replace(F.coalesce(rest, bracket, after), r"^\s*,?\s*(?:en\s+)?", "")))
 
 
 def resolve_stated(rows: DataFrame, said: list[str]) -> DataFrame:
@@ -216,11 +225,11 @@ def true_units(rows: DataFrame, units: list) -> DataFrame:
     else is known), ``first`` and ``other`` (readings of the figure, absolute),
     ``spread`` (periods the figure adds up, 1 at least), ``segment``, ``fkey``
     and ``scales``. A zero figure keeps its stated or usual unit; a null one
-    gives no code.
+    gives no code. The sizes are a written table, of which the medians read
+    four columns several times.
     """
     size = lambda n, code: F.log10(F.nullif(n, F.lit(0.0)) / F.col("spread")) + log_factor(F.col("quantity"), code, units)
-    rows = rows.withColumn("size", size(F.col("first"), F.coalesce("stated", "usual")))
-    rows = expected_sizes(rows)
+    rows = expected_sizes(written(rows.withColumn("size", size(F.col("first"), F.coalesce("stated", "usual"))), "unit-sizes"))
     options = []
     for q in sorted({u.quantity for u in units}):
         base = [u for u in units if u.quantity == q]

@@ -23,8 +23,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [r for r in rule_rows(table(spark, sf_dir, "field_rule")) if r.sheet == "sheet2" and r.unit in base]
     rules = F.broadcast(spark.createDataFrame([(r.field, r.unit, base[r.unit], r.label) for r in fields], "f string, usual string, quantity string, rule_label string"))
     kpi = table(spark, sf_dir, "kpi_value").select("value_id", "segment_id", "quarter", "field", "value", "value_text", "unit", "label")
-    kpi = kpi.join(rules, field_name(F.col("field")) == F.col("f"))
-    first, other = U.number_readings(F.col("value_text"), point_first=False)
+    kpi = kpi.withColumn("__f", field_name(F.col("field"))).join(rules, F.col("__f") == F.col("f")).withColumn("token", U.number_token(F.col("value_text")))
+    first, other = U.readings_of(F.col("token"), point_first=False)
     value = F.when(~F.isnan("value"), F.col("value"))
     kpi = kpi.select(
         F.lit("kpi_value").alias("row_table"), F.col("value_id").alias("row_id"), coded_id(F.col("segment_id"), "SG", 9).alias("segment"),
@@ -36,9 +36,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = [(n, m.field) for m in rule_rows(table(spark, sf_dir, "fact_mapping")) if m.apply_scaling for n in [m.primary_fact, *(m.fallbacks or [])]]
     names = F.broadcast(spark.createDataFrame(mapped, "n string, f string").groupBy("n").agg(F.min("f").alias("f")))
     facts = table(spark, sf_dir, "xbrl_fact").select("fact_id", "doc_id", "name", "value", "unit_ref").join(names, F.trim("name") == F.col("n"))
-    said = U.said_in_text(F.col("value"))
-    point, point_other = U.number_readings(F.col("value"), point_first=True)
-    comma, comma_other = U.number_readings(F.col("value"), point_first=False)
+    facts = facts.withColumns({"token": U.number_token(F.col("value")), "said": U.said_in_text(F.col("value"))})
+    said = F.col("said")
+    point, point_other = U.readings_of(F.col("token"), point_first=True)
+    comma, comma_other = U.readings_of(F.col("token"), point_first=False)
     facts = facts.select(
         F.lit("xbrl_fact").alias("row_table"), F.col("fact_id").alias("row_id"), coded_id(F.regexp_extract("doc_id", r"^(.*?)_[0-9]{4}", 1), "SG", 9).alias("segment"),
         F.concat(F.lit("fact "), "f").alias("fkey"), F.lit(True).alias("scales"), F.lit("money").alias("quantity"), F.lit("usd").alias("usual"), F.lit("usd").alias("due"),
