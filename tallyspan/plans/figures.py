@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import numbers, periods, text
 from tallyspan.functions.keys import field_name
-from tallyspan.operators import formula, merge, select, validate
+from tallyspan.operators import formula, merge, reshape, select, validate
 from tallyspan.sources.tables import table
 
 
@@ -207,11 +207,36 @@ def period_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.period_cross(years, months)
 
 
+def normalize_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivered table with cleaned names, its texts read as numbers and time stamps."""
+    raw = table(spark, sf_dir, "kpi_value").select(F.col("value_id").alias("Value ID"), F.col("value_text").alias("Valor (texto)"), F.col("loaded_at").cast("string").alias("Fecha de carga"))
+    return reshape.normalize_frame(raw, ["Fecha de carga"], ["Valor (texto)"])
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines of the checks of the notes' totals."""
+    checks = section_total(spark, sf_dir).withColumnsRenamed({"calculated": "expected", "reported": "actual"})
+    return reshape.report_rows(checks, "section", "doc_id")
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of each segment's documents before and from the first page that speaks of the auditors."""
+    pages = table(spark, sf_dir, "documents").where("segment_id is not null").select("segment_id", "doc_id", "page_no", "text")
+    return reshape.split_document(pages, ["segment_id"], "page_no", F.lower("text").contains("auditores")).select("doc_id", "segment_id", "part")
+
+
+def combined_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings joined end to end with those of an equal label half: first and last element."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    both = reshape.combine_vectors([rows, rows.where("label % 2 = 0")], "vec_id", "embedding")
+    return both.select("vec_id", F.size("embedding").alias("width"), F.round(F.element_at("embedding", -1), 6).alias("last"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         reconcile_order_totals, reconcile_sources, formula_check, validation_summary, parse_thousands, parse_locale_decimal, parse_mixed_number, normalize_line, number_tokens, current_value,
         normalize_text, clean_whitespace, snake_case_names, content_hash, scale_floor_trunc, period_key, period_parse, provenance_primary, fallback_chain, top_orders, reference_check, section_total,
-        coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross,
+        coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross, normalize_frame, report_rows, split_documents, combined_vectors,
     )
 }

@@ -124,4 +124,20 @@ SQL = {
     "missing_keys": "select c_custkey as k from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
     "valid_keys": "select vec_id as k, label from embeddings where exists (select 1 from documents where doc_id = vec_id)",
     "period_cross": "select year, month, (month // 3)::int as quarter from (select distinct year(o_orderdate)::int as year from orders), (select unnest([3, 6, 9, 12])::int as month)",
+    "report_rows": """
+      select section as category, case when match then 'ok: ' || doc_id || ' = ' || coalesce(format('{:,}', actual), '-')
+             else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{:,}', expected), '-') || ', found ' || coalesce(format('{:,}', actual), '-') || ', off by ' || coalesce(format('{:,}', difference), '-') end as line
+      from (select doc_id, section, calculated as expected, reported as actual, (reported - calculated) as difference, coalesce(reported = calculated, false) as match
+            from (select doc_id, section, sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end)::bigint as calculated, max(ytd_actual) filter (t) as reported
+                  from (select *, contains(lower(replace(concepto, 'Suma', 'Total')), 'total') as t from line_item where section in ('nota_21', 'nota_22')) group by 1, 2))""",
+    "split_documents": """
+      with f as (select segment_id, min(page_no) as p from documents where contains(lower(text), 'auditores') group by 1)
+      select doc_id, d.segment_id, case when page_no >= p then 2 else 1 end as part from documents d left join f on f.segment_id = d.segment_id where d.segment_id is not null""",
+    "combined_vectors": """
+      select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last
+      from embeddings where label % 2 = 0""",
 }
+
+SQL["normalize_frame"] = (
+    SQL["parse_mixed_number"].replace("select value_id, case when w then -n else n end as value from", "select value_id, case when w then -n else n end as valor_texto, loaded_at as fecha_de_carga from").replace("select value_id, trim(value_text)", "select value_id, loaded_at, trim(value_text)")
+)

@@ -72,13 +72,13 @@ def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user between a signup and the next error or signup."""
-    rows = segments.segment_rows(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type") == "signup", F.col("event_type") == "error")
+    rows = segments.segment_rows(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type") == "signup", F.col("event_type") == "error", F.floor(F.col("event_id") / 10_000))
     return rows.groupBy("user_id", "seg_no").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
 def chosen_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's first segment with a large purchase, else the longest of three or more."""
-    rows = segments.segment_rows(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type") == "signup", F.col("event_type") == "error")
+    rows = segments.segment_rows(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type") == "signup", F.col("event_type") == "error", F.floor(F.col("event_id") / 10_000))
     return segments.choose_segment(rows, ["user_id"], (F.col("event_type") == "purchase") & (F.col("value") > 60), 3)
 
 

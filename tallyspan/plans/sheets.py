@@ -37,7 +37,7 @@ def from_lines(pages: DataFrame, keywords: DataFrame, fields: DataFrame) -> Data
 def from_statement(pages: DataFrame, start: Column, end: Column, tells: Column, keywords: DataFrame, fields: DataFrame, least: int = 10) -> DataFrame:
     """Figures from the right segment of a document: segments lie between start and end lines; the first with a telling line counts, else the longest. Conditions are over ``line``."""
     lines = segments.text_lines(pages, ["doc_id", "page_no"], "text")
-    marked = segments.segment_rows(lines, ["doc_id"], ["page_no", "line_no"], start, end)
+    marked = segments.segment_rows(lines, ["doc_id"], ["page_no", "line_no"], start, end, F.col("page_no"))
     chosen = segments.choose_segment(marked, ["doc_id"], tells, least).select("doc_id", "seg_no")
     inside = marked.join(chosen, ["doc_id", "seg_no"], "left_semi").select("doc_id", F.struct("page_no", "line_no").alias("place"), "line")
     found = matching.keyword_values(inside, ["doc_id"], "place", "line", current_value(F.col("line")), keywords.select("field", "match_words", "exclude_words"))

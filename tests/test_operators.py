@@ -113,6 +113,9 @@ def test_segments(spark):
     df = spark.createDataFrame([("d", i, t) for i, t in enumerate(lines)], "doc string, i int, t string")
     seg = segments.segment_rows(df, ["doc"], ["i"], F.col("t") == "START", F.col("t") == "END")
     assert [(r.t, r.seg_no) for r in seg.orderBy("i").collect()] == [("a", 1), ("c", 2), ("bruta", 2), ("d", 3)]
+    for width in (1, 2, 3, 100):
+        split = segments.segment_rows(df, ["doc"], ["i"], F.col("t") == "START", F.col("t") == "END", F.floor(F.col("i") / width))
+        assert rows(split) == rows(seg)
     assert rows(segments.choose_segment(seg, ["doc"], F.col("t") == "bruta", 10)) == [("d", 2, 2)]
     assert rows(segments.choose_segment(seg, ["doc"], F.col("t") == "none", 1)) == [("d", 2, 2)]
     assert rows(segments.choose_segment(seg, ["doc"], F.col("t") == "none", 10)) == []
