@@ -142,12 +142,20 @@ class Matcher:
                 for f in cut_forms(text):
                     cut.setdefault(f, set()).add((order, target))
         self.whole = BKTree(whole)
+        self.told: dict[str, tuple | None] = {}
         # a beginning shared by several targets tells nothing
         self.cut = BKTree({f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= 4 and f not in whole})
 
     def best(self, text: str) -> tuple[int, int, int, str, str] | None:
         """(stage, distance, order, target, entry): the nearest whole entry (stage 0), else the nearest beginning (1); ties go to the least order."""
         c = core(text)
+        if c not in self.told:
+            if len(self.told) >= REMEMBERED:
+                self.told.clear()
+            self.told[c] = self._nearest(c)
+        return self.told[c]
+
+    def _nearest(self, c: str) -> tuple[int, int, int, str, str] | None:
         for stage, (tree, most) in enumerate(((self.whole, edits_allowed(c)), (self.cut, min(2, edits_allowed(c))))):
             near = [(0, c)] if c in tree.value else tree.within(c, most)
             if near:
