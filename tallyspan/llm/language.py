@@ -16,6 +16,7 @@ the stretches. Only the fitted matrix is broadcast; its size is fixed.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import pairwise
@@ -25,6 +26,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tallyspan.functions.text import strip_accents
 from tallyspan.session import ship_package
@@ -99,10 +101,12 @@ def presence(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
             inside = place[:m] + n <= ends[:m]
             bucket = ((rolled + np.uint64(n)) * _MULTIPLIER) >> np.uint64(64 - BUCKETS.bit_length() + 1)
             keys.append(rows[:m][inside] * BUCKETS + bucket[inside].astype(np.int64))
-    seen = np.zeros(len(texts) * BUCKETS, dtype=bool)
-    for k in keys:
-        seen[k] = True
-    flat = np.flatnonzero(seen)
+    flat = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
+    if len(texts) * BUCKETS < 1 << 31:
+        flat = flat.astype(np.int32)  # sorts much faster
+    flat.sort()
+    if len(flat):
+        flat = flat[np.concatenate([[True], flat[1:] != flat[:-1]])].astype(np.int64)
     starts = np.searchsorted(flat, np.arange(len(texts) + 1, dtype=np.int64) * BUCKETS)
     return (flat % BUCKETS).astype(np.int64), starts
 
@@ -160,22 +164,10 @@ def _fit_once(rows: list[str], y: np.ndarray, n_classes: int) -> np.ndarray:
     return (marks.T @ (root @ np.linalg.solve(gram, cross))).astype(np.float32)
 
 
-def fit(samples: Sequence[tuple[str, str]]) -> Classifier:
-    """Fit on (language, text) samples with noisy labels. Languages without a sample are never given."""
-    rows, y = [], []
-    for lang, text in samples:
-        for a, b in sentences(text):
-            s = letters_only(text[a:b])
-            if len(s) >= 10:
-                rows.append(s)
-                y.append(LANGUAGES.index(lang))
+def fit_sentences(rows: list[str], label: np.ndarray) -> Classifier:
+    """Fit on normalised sentences with noisy labels: two rounds relabel the sentences by the fit and drop the unsure ones. Languages without a sentence are never given."""
     if not rows:
         return Classifier(np.zeros((BUCKETS, len(LANGUAGES)), dtype=np.float32))
-    order = np.argsort([hash_text(r) for r in rows], kind="stable")
-    label = np.array(y)
-    share = max(1, FIT_SENTENCES // len(LANGUAGES))
-    kept = np.sort(np.concatenate([order[label[order] == c][:share] for c in range(len(LANGUAGES))]))
-    rows, label = [rows[i] for i in kept], label[kept]
     for _ in range(2):
         model = Classifier(_fit_once(rows, label, len(LANGUAGES)))
         scored = model.scores(rows)
@@ -187,25 +179,43 @@ def fit(samples: Sequence[tuple[str, str]]) -> Classifier:
     return Classifier(_fit_once(rows, label, len(LANGUAGES)))
 
 
-def hash_text(text: str) -> int:
-    import zlib
+def training_sentences(lang: str, text: str) -> list[tuple[str, int, str]]:
+    """(language, hash, normalised sentence) of a labelled text's sentences; the shortest tell nothing."""
+    plain = (letters_only(text[a:b]) for a, b in sentences(text))
+    return [(lang, zlib.crc32(s.encode("utf-8", "replace")), s) for s in plain if len(s) >= 10]
+
 
-    return zlib.crc32(text.encode("utf-8", "replace"))
+def fit(samples: Sequence[tuple[str, str]]) -> Classifier:
+    """Fit on (language, text) samples: of each language the FIT_SENTENCES / 5 sentences with the smallest hash."""
+    found = sorted(x for lang, text in samples for x in training_sentences(lang, text))
+    kept = [x for lang in LANGUAGES for x in [y for y in found if y[0] == lang][: FIT_SENTENCES // len(LANGUAGES)]]
+    return fit_sentences([s for _, _, s in kept], np.array([LANGUAGES.index(lang) for lang, _, _ in kept]))
 
 
 def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int = FIT_DOCUMENTS) -> Classifier:
     """Fit on at most ``per_language`` labelled documents of each language, those with the smallest hash of their id.
 
-    The ids are chosen from the id and label columns alone; only their texts
-    are then read in full.
+    The ids are chosen from the id and label columns alone. Their texts are
+    read in full and cut into sentences by the executors; the driver gets
+    FIT_SENTENCES sentences at most.
     """
+    ship_package(df.sparkSession)
     coded = df.select(F.col(doc_id).alias("__id"), language_code(F.col(label)).alias("__code"))
     chosen = None
     for code in LANGUAGES:
         part = coded.where(F.col("__code") == code).orderBy(F.xxhash64("__id"), "__id").limit(per_language)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = df.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id")).where(F.col(text).isNotNull()).select("__code", F.col(text).alias("__text"))
-    return fit(sorted((r[0], r[1]) for r in rows.collect()))
+    texts = df.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text")).where("__text is not null")
+    rows = texts.join(F.broadcast(chosen.distinct()), F.col("__doc") == F.col("__id")).limit(per_language * len(LANGUAGES)).select("__code", "__text")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [x for lang, t in zip(batch["__code"], batch["__text"]) for x in training_sentences(lang, t)]
+            yield pd.DataFrame(found, columns=["lang", "hash", "sentence"])
+
+    ranked = rows.mapInPandas(cut, "lang string, hash bigint, sentence string").withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("hash", "sentence")))
+    kept = sorted(map(tuple, ranked.where(F.col("n") <= FIT_SENTENCES // len(LANGUAGES)).select("lang", "hash", "sentence").collect()))
+    return fit_sentences([s for _, _, s in kept], np.array([LANGUAGES.index(lang) for lang, _, _ in kept], dtype=int))
 
 
 def best_path(scores: np.ndarray, weights: np.ndarray) -> list[int]:
