@@ -41,6 +41,8 @@ RIDGE = 1.0
 BLOCK = 512
 #: Cost of a change of language between sentences, and letters from which a sentence counts in full.
 CHANGE, FULL_LETTERS = 0.42, 55
+#: Share of its weight that a short line without an end mark keeps (headings, rows of tables).
+FRAGMENT = 0.3
 
 # Names and codes of the languages.
 LANGUAGE_NAMES = {
@@ -62,6 +64,7 @@ def language_code(label: Column) -> Column:
 
 _SHORT = r"(?<!\b(?:S\.A|S\.p\.A|Ltda|Ltd|Cía|Cia|Inc|Corp|Nr|No|Art|Sr|Sra|Dr))"
 _END = regex.compile(rf"\r?\n\s*|{_SHORT}(?<=[.!?…][\"»”')\]]*)\s+(?=[¿¡\"«“(]*\p{{Lu}})")
+_MARKS = frozenset(".!?…")
 _NOT_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
@@ -248,18 +251,21 @@ def stretches(texts: Sequence[str | None], model: Classifier) -> list[list[tuple
     """For each text its stretches (language, confidence, start, end, letters); none for a text without letters."""
     spans: list[tuple[int, int, int]] = []
     plain: list[str] = []
+    ended: list[bool] = []
     for i, t in enumerate(texts):
         for a, b in sentences(t) if t else []:
             s = letters_only(t[a:b])
             if len(s) > 2:
                 spans.append((i, a, b))
                 plain.append(s)
+                ended.append(t[max(a, b - 8) : b].rstrip(" \"»”')]\u200b")[-1:] in _MARKS)
     out: list[list[tuple]] = [[] for _ in texts]
     if not plain:
         return out
     scores = model.scores(plain)
     count = np.array([len(s.replace(" ", "")) for s in plain])
     weight = np.minimum(1.0, count / FULL_LETTERS) ** 1.5
+    weight = np.where(np.array(ended) | (count >= FULL_LETTERS), weight, weight * FRAGMENT)
     border = np.flatnonzero(np.diff([-1, *(s[0] for s in spans), -1]))
     for lo, hi in pairwise(border):
         path = best_path(scores[lo:hi], weight[lo:hi])
