@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,19 +81,38 @@ def number_tokens(c: Column) -> Column:
     return F.filter(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), lambda x: x.rlike("[0-9]"))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it. For use inside lambdas, where Spark shares no subexpressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _token_value(token: Column) -> Column:
+    """Struct ``(v, note)`` of a number token: parse_locale_decimal without what a token can't hold, and whether it looks like a note reference."""
+
+    def read(k: Column) -> Column:
+        dots, comma = count_of(k, F.lit(".")), k.contains(",")
+        whole = ~comma & ((dots == 0) | (dots > 1) | (F.locate(".", k) == F.length(k) - 3))
+        plain = F.when(comma, F.replace(F.replace(k, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).when(whole, F.replace(k, F.lit("."), F.lit(""))).otherwise(k)
+        return bound(F.struct(plain.try_cast("double").alias("v"), whole.alias("w")), lambda p: F.struct(F.when(token.startswith("-"), -p["v"]).otherwise(p["v"]).alias("v"), (p["w"] & ~token.startswith("-") & (p["v"] > 0) & (p["v"] < 100)).alias("note")))
+
+    return bound(F.when(token.startswith("-"), F.substr(token, F.lit(2), F.length(token))).otherwise(token), read)
+
+
 def line_values(c: Column) -> Column:
     """Array of parsed numbers of a line, without whole numbers of 1 to 99 that stand before the first value (note references)."""
-    parsed = F.filter(F.transform(number_tokens(normalize_line(c)), lambda t: parse_locale_decimal(t)), lambda p: p.isNotNull())
-    note = lambda p: p["is_int"] & (p["v"] > 0) & (p["v"] < 100)
-    marked = F.transform(parsed, lambda p: F.struct(p["v"].alias("v"), note(p).alias("note")))
-    first = F.array_position(F.transform(marked, lambda p: p["note"]), F.lit(False))
-    return F.when(first > 0, F.transform(F.slice(marked, first.cast("int"), F.size(marked)), lambda p: p["v"])).otherwise(F.array().cast("array<double>"))
+
+    def from_first(marked: Column) -> Column:
+        return bound(
+            F.array_position(F.transform(marked, lambda p: p["note"]), F.lit(False)).cast("int"),
+            lambda first: F.when(first > 0, F.transform(F.slice(marked, F.greatest(first, F.lit(1)), F.size(marked)), lambda p: p["v"])).otherwise(F.array().cast("array<double>")),
+        )
+
+    return bound(F.filter(F.transform(number_tokens(normalize_line(c)), _token_value), lambda p: p["v"].isNotNull()), from_first)
 
 
 def current_value(c: Column, index: int = 0) -> Column:
     """The value in a column of a text line, or the first if the line has fewer; null without values."""
-    values = line_values(c)
-    return F.coalesce(F.get(values, F.lit(index)), F.get(values, F.lit(0)))
+    return bound(line_values(c), lambda v: F.coalesce(F.get(v, F.lit(index)), F.get(v, F.lit(0))))
 
 
 def scale_floor(c: Column, factor: int = 1000) -> Column:

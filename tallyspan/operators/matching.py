@@ -7,14 +7,19 @@ no rule x row join is materialised.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.functions.text import normalize_for_matching
+from tallyspan.functions.text import ACCENTED, PLAIN, normalize_for_matching
 from tallyspan.operators.select import pick_first
-from tallyspan.sources.tables import as_literal
+from tallyspan.sources.tables import rule_rows
+
+_FOLD = str.maketrans(ACCENTED, PLAIN)
 
 
 def _texts(values: Sequence[str]) -> Column:
@@ -46,30 +51,40 @@ def section_context(text: Column, pattern: Column | str, before: int = 100, afte
     return F.when(at > 0, F.struct(at.alias("position"), F.substr(text, start, at + after - start).alias("context")))
 
 
-def match_label(concept: Column, labels: Sequence[str]) -> Column:
-    """The expected label a concept means: the longest that is contained in it, or of whose words four fifths occur in its words. Ties keep list order; null if none."""
-    ordered = sorted(labels, key=lambda x: -len(x))
-    own = normalize_for_matching(concept)
-    words = F.split(own, " ")
-    entries = F.transform(_texts(ordered), lambda e: F.struct(e.alias("label"), normalize_for_matching(e).alias("n")))
+def normalized(text: str) -> str:
+    """normalize_for_matching of a text known on the driver."""
+    plain = "".join(c for c in unicodedata.normalize("NFD", text.translate(_FOLD)).lower() if not unicodedata.combining(c))
+    return re.sub(r"\s+", " ", re.sub(r"[.,;:()\[\]]", " ", plain)).strip()
 
-    def meant(e: Column) -> Column:
-        parts = F.filter(F.split(e["n"], " "), lambda w: w != "")
-        shared = F.size(F.filter(parts, lambda w: F.exists(words, lambda c: c.contains(w))))
-        return own.contains(e["n"]) | ((F.size(parts) > 0) & (shared >= F.size(parts) * 0.8))
 
-    return F.get(F.filter(entries, meant), F.lit(0))["label"]
+def match_label(concept: Column, labels: Sequence[str]) -> Column:
+    """The expected label a concept means: the longest that is contained in it, or of whose words four fifths occur in its words. Ties keep list order; null if none.
+
+    Labels are normalised here, so the expression only tests for parts; a word
+    without blanks occurs in the text where it occurs in one of its words.
+    """
+    own, tests = normalize_for_matching(concept), []
+    for label in sorted(labels, key=lambda x: -len(x)):
+        n = normalized(label)
+        words = n.split()
+        shared = reduce(lambda x, y: x + y, [own.contains(w).cast("int") for w in words], F.lit(0))
+        tests.append(F.when(own.contains(n) | (F.lit(bool(words)) & (shared >= len(words) * 0.8)), F.lit(label)))
+    return F.coalesce(*tests, F.lit(None).cast("string"))
 
 
 def match_label_or_total(concept: Column, labels: Sequence[str], total: str = "Totales") -> Column:
     return F.coalesce(match_label(concept, labels), F.when(F.lower(concept).contains("total"), F.lit(total)))
 
 
+def _holds(low: Column, words: Sequence[str] | None) -> Column:
+    """Whether a lower-cased text holds one of the words."""
+    return reduce(lambda x, y: x | y, [low.contains(w.lower()) for w in words or ()], F.lit(False))
+
+
 def match_keywords(text: Column, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]]) -> Column:
     """The first field (in list order) of whose match words one occurs and of whose exclude words none does; null if none."""
     low = F.lower(text)
-    has = lambda words: F.exists(F.transform(_texts(words), lambda w: F.lower(w)), lambda w: low.contains(w))
-    return F.coalesce(*[F.when(has(match) & ~has(exclude) if exclude else has(match), F.lit(field)) for field, match, exclude in rules], F.lit(None).cast("string"))
+    return F.coalesce(*[F.when(_holds(low, match) & ~_holds(low, exclude), F.lit(field)) for field, match, exclude in rules], F.lit(None).cast("string"))
 
 
 def keyword_values(lines: DataFrame, key: Sequence[str], line_no: str, text: str, value: Column, rules: DataFrame) -> DataFrame:
@@ -80,10 +95,11 @@ def keyword_values(lines: DataFrame, key: Sequence[str], line_no: str, text: str
     parsed for a value.
     """
     low = F.lower(F.col(text))
-    has = lambda words: F.exists(F.coalesce(words, F.array().cast("array<string>")), lambda w: low.contains(F.lower(w)))
-    meant = F.filter(as_literal(rules.select("field", "match_words", "exclude_words")), lambda r: has(r["match_words"]) & ~has(r["exclude_words"]))
-    matched = lines.select(*key, line_no, text, F.explode(F.transform(meant, lambda r: r["field"])).alias("field"))
-    return pick_first(matched.withColumn("value", value), [*key, "field"], [F.col(line_no)], ["value"], F.col("value").isNotNull())
+    meant = F.array_compact(F.array(*[F.when(_holds(low, r.match_words) & ~_holds(low, r.exclude_words), F.lit(r.field)) for r in rule_rows(rules)]).cast("array<string>"))
+    matched = lines.select(*key, line_no, text, F.explode(meant).alias("field"))
+    # exploded rather than filtered, as a filter would be pushed down and evaluate the value twice
+    valued = matched.select(*key, "field", line_no, F.explode(F.array_compact(F.array(value))).alias("value"))
+    return pick_first(valued, [*key, "field"], [F.col(line_no)], ["value"])
 
 
 def table_text(cells: Column) -> Column:
