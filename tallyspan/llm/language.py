@@ -62,8 +62,9 @@ def language_code(label: Column) -> Column:
     return F.try_element_at(table, plain)
 
 
-_SHORT = r"(?<!\b(?:S\.A|S\.p\.A|Ltda|Ltd|Cía|Cia|Inc|Corp|Nr|No|Art|Sr|Sra|Dr))"
-_END = regex.compile(rf"\r?\n\s*|{_SHORT}(?<=[.!?…][\"»”')\]]*)\s+(?=[¿¡\"«“(]*\p{{Lu}})")
+# Abbreviations whose point ends no sentence.
+ABBREVIATIONS = frozenset("S.A S.p.A Ltda Ltd Cía Cia Inc Corp Nr No Art Sr Sra Dr".split())
+_END = regex.compile(r"\r?\n\s*|[.!?…][\"»”')\]]*(\s+)(?=[¿¡\"«“(]*\p{Lu})")
 _MARKS = frozenset(".!?…")
 _NOT_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
 
@@ -72,8 +73,11 @@ def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of the sentences of a text: lines, and within them ends of sentences before a capital."""
     cuts, at = [], 0
     for m in _END.finditer(text):
-        if m.start() > at:
-            cuts.append((at, m.start()))
+        end = m.start(1) if m[1] is not None else m.start()
+        if m[1] is not None and text[m.start()] == "." and text[max(at, m.start() - 8) : m.start()].rpartition(" ")[2] in ABBREVIATIONS:
+            continue
+        if end > at:
+            cuts.append((at, end))
         at = m.end()
     if at < len(text):
         cuts.append((at, len(text)))
@@ -224,9 +228,6 @@ def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int
 def best_path(scores: np.ndarray, weights: np.ndarray) -> list[int]:
     """Language of each sentence: the path of greatest weighted score with a cost per change."""
     e = scores * weights[:, None]
-    first = e.argmax(axis=1)
-    if (first == first[0]).all():
-        return first.tolist()
     total, back = e[0], []
     for row in e[1:]:
         top = int(total.argmax())
@@ -240,13 +241,6 @@ def best_path(scores: np.ndarray, weights: np.ndarray) -> list[int]:
     return path[::-1]
 
 
-def confidence(scores: np.ndarray, weights: np.ndarray, lang: int) -> float:
-    """Softmax share of a language over a stretch's weighted mean scores, 0 to 1."""
-    mean = (scores * weights[:, None]).sum(axis=0) / max(weights.sum(), 1e-9)
-    e = np.exp(4 * (mean - mean.max()))
-    return float(e[lang] / e.sum())
-
-
 def stretches(texts: Sequence[str | None], model: Classifier) -> list[list[tuple]]:
     """For each text its stretches (language, confidence, start, end, letters); none for a text without letters."""
     spans: list[tuple[int, int, int]] = []
@@ -266,13 +260,24 @@ def stretches(texts: Sequence[str | None], model: Classifier) -> list[list[tuple
     count = np.array([len(s.replace(" ", "")) for s in plain])
     weight = np.minimum(1.0, count / FULL_LETTERS) ** 1.5
     weight = np.where(np.array(ended) | (count >= FULL_LETTERS), weight, weight * FRAGMENT)
+    top = scores.argmax(axis=1)
     border = np.flatnonzero(np.diff([-1, *(s[0] for s in spans), -1]))
-    for lo, hi in pairwise(border):
+    found: list[tuple[int, int, int]] = []
+    for lo, hi in pairwise(border.tolist()):
+        if (top[lo:hi] == top[lo]).all():
+            found.append((int(top[lo]), lo, hi))
+            continue
         path = best_path(scores[lo:hi], weight[lo:hi])
         turns = [0, *(k for k in range(1, hi - lo) if path[k] != path[k - 1]), hi - lo]
-        for k, m in pairwise(turns):
-            x, y = lo + k, lo + m
-            out[spans[lo][0]].append((model.languages[path[k]], confidence(scores[x:y], weight[x:y], path[k]), spans[x][1], spans[y - 1][2], int(count[x:y].sum())))
+        found += [(path[k], lo + k, lo + m) for k, m in pairwise(turns)]
+    lang, first, last = (np.array(x) for x in zip(*found))
+    sums = lambda x: (c := np.concatenate([np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0)]))[last] - c[first]
+    # confidence: softmax share of the language over a stretch's weighted mean scores
+    mean = sums(scores * weight[:, None]) / np.maximum(sums(weight), 1e-9)[:, None]
+    share = np.exp(4 * (mean - mean.max(axis=1, keepdims=True)))
+    sure, letters = share[np.arange(len(lang)), lang] / share.sum(axis=1), sums(count).astype(int)
+    for k, (l, x, y) in enumerate(found):
+        out[spans[x][0]].append((model.languages[l], float(sure[k]), spans[x][1], spans[y - 1][2], int(letters[k])))
     return out
 
 
