@@ -15,7 +15,7 @@ all rows is no hot spot.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -162,9 +162,14 @@ def readings_of(s: Column, point_first: bool) -> tuple[Column, Column]:
     return first, other
 
 
+def text_rest(c: Column) -> Column:
+    """A reading's text without its first number, as it is written; null where only figures are left."""
+    return F.when(c.rlike(r"[^0-9.,()\s\-]"), F.regexp_replace(c, rf"[-(]?\s*(?:{_NUMBER})", " "))
+
+
 def said_in_text(c: Column) -> Column:
     """What a reading's text says besides its first number."""
-    return F.when(c.rlike(r"[^0-9.,()\s\-]"), spelling_key(F.regexp_replace(c, rf"[-(]?\s*(?:{_NUMBER})", " ")))
+    return spelling_key(text_rest(c))
 
 
 def said_in_label(label: Column, rule_label: Column) -> Column:
@@ -176,18 +181,44 @@ def said_in_label(label: Column, rule_label: Column) -> Column:
     return F.when(F.lower(label) != F.lower(rule_label), spelling_key(F.regexp_replace(F.coalesce(rest, bracket, after), r"^\s*,?\s*(?:en\s+)?", "")))
 
 
-def resolve_stated(rows: DataFrame, said: list[str]) -> DataFrame:
+_APART = "\u0001"
+
+
+def label_pair(label: Column, rule_label: Column) -> Column:
+    """A label with the field's own, to be taken apart by said_in_pair; null where they are the same."""
+    return F.when(F.lower(label) != F.lower(rule_label), F.concat_ws(_APART, label, rule_label))
+
+
+def said_in_pair(pair: Column) -> Column:
+    parts = F.split(pair, _APART)
+    return said_in_label(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
+
+
+def stated_texts(rows: DataFrame, said: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``(quantity, source, raw, n, spelling)``: the distinct texts of the columns that may state a unit, counted, with the spelling each says.
+
+    Texts are aggregated as they stand, so the spelling is worked out once per
+    distinct text and not once per row. A written table, as it is small and
+    used twice.
+    """
+    counted = [
+        rows.where(F.col(c).isNotNull()).groupBy("quantity", F.col(c).alias("raw")).agg(F.count("*").alias("n")).select("quantity", F.lit(c).alias("source"), "raw", "n", key(F.col("raw")).alias("spelling"))
+        for c, key in said.items()
+    ]
+    return written(reduce(DataFrame.unionByName, counted).where("spelling is not null"), "unit-texts")
+
+
+def resolve_stated(rows: DataFrame, said: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """``stated``: the code of the first of the ``said`` columns that the alias dictionary knows for the row's quantity.
 
-    The columns are unpivoted only to find the distinct spellings; the
-    dictionary is then joined to all rows once per column, broadcast while its
-    checked size allows.
+    ``said`` maps a column of texts to the expression that finds the spelling
+    in one. The dictionary is joined to all rows on the texts as they stand,
+    once per column, broadcast while its checked size allows.
     """
-    asked = rows.select("quantity", F.explode(F.array(*said)).alias("spelling")).where("spelling is not null")
-    aliases = alias_dictionary(asked).select("quantity", "spelling", "code")
-    aliases = broadcast_if_small(written(aliases, "unit-aliases"))
+    texts = stated_texts(rows, said)
+    aliases = broadcast_if_small(written(texts.join(alias_dictionary(texts), ["quantity", "spelling"]).select("quantity", "source", "raw", "code"), "unit-aliases"))
     for i, c in enumerate(said):
-        part = aliases.select(F.col("quantity").alias("__q"), F.col("spelling").alias("__s"), F.col("code").alias(f"__said{i}"))
+        part = aliases.where(F.col("source") == c).select(F.col("quantity").alias("__q"), F.col("raw").alias("__s"), F.col("code").alias(f"__said{i}"))
         rows = rows.join(part, (F.col("quantity") == F.col("__q")) & (F.col(c) == F.col("__s")), "left").drop("__q", "__s")
     return rows.withColumn("stated", F.coalesce(*[F.col(f"__said{i}") for i in range(len(said))])).drop(*[f"__said{i}" for i in range(len(said))])
 

@@ -11,6 +11,10 @@ from tallyspan.session import ship_package, written
 from tallyspan.sources.tables import rule_rows, table
 
 
+#: Columns that may state a unit, in order of trust, and how each says it.
+SAID = {"said_unit": U.spelling_key, "said_text": U.spelling_key, "said_label": U.said_in_pair}
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables in the common form that true_units takes, with the unit each reading is due in.
 
@@ -31,12 +35,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("kpi "), "f").alias("fkey"), (F.col("quantity") != "price").alias("scales"), "quantity", "usual", F.col("usual").alias("due"),
         F.when(F.col("quantity") == "price", 1).otherwise(F.greatest(F.lit(1), F.coalesce("quarter", F.lit(1)))).alias("spread"),
         F.abs(F.coalesce(value, first)).alias("first"), F.when(value.isNull(), F.abs(other)).alias("other"),
-        U.spelling_key(F.col("unit")).alias("said_unit"), U.said_in_text(F.col("value_text")).alias("said_text"), U.said_in_label(F.col("label"), F.col("rule_label")).alias("said_label"),
+        F.col("unit").alias("said_unit"), U.text_rest(F.col("value_text")).alias("said_text"), U.label_pair(F.col("label"), F.col("rule_label")).alias("said_label"),
     )
     mapped = [(n, m.field) for m in rule_rows(table(spark, sf_dir, "fact_mapping")) if m.apply_scaling for n in [m.primary_fact, *(m.fallbacks or [])]]
     names = F.broadcast(spark.createDataFrame(mapped, "n string, f string").groupBy("n").agg(F.min("f").alias("f")))
     facts = table(spark, sf_dir, "xbrl_fact").select("fact_id", "doc_id", "name", "value", "unit_ref").join(names, F.trim("name") == F.col("n"))
-    facts = facts.withColumns({"token": U.number_token(F.col("value")), "said": U.said_in_text(F.col("value"))})
+    facts = facts.withColumns({"token": U.number_token(F.col("value")), "said": U.text_rest(F.col("value"))})
     said = F.col("said")
     point, point_other = U.readings_of(F.col("token"), point_first=True)
     comma, comma_other = U.readings_of(F.col("token"), point_first=False)
@@ -45,7 +49,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("fact "), "f").alias("fkey"), F.lit(True).alias("scales"), F.lit("money").alias("quantity"), F.lit("usd").alias("usual"), F.lit("usd").alias("due"),
         F.greatest(F.lit(1), F.coalesce(F.regexp_extract("doc_id", r"[0-9]{4}Q([1-4])$", 1).try_cast("int"), F.lit(1))).alias("spread"),
         F.nullif(F.when(said.isNull(), point).otherwise(comma), F.lit(0.0)).alias("first"), F.when(said.isNull(), point_other).otherwise(comma_other).alias("other"),
-        U.spelling_key(F.col("unit_ref")).alias("said_unit"), said.alias("said_text"), F.lit(None).cast("string").alias("said_label"),
+        F.col("unit_ref").alias("said_unit"), said.alias("said_text"), F.lit(None).cast("string").alias("said_label"),
     )
     return written(kpi.unionByName(facts), "p1-readings").where("first is not null")
 
@@ -53,7 +57,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading with the unit it is really in."""
     ship_package(spark)
-    rows = U.resolve_stated(readings(spark, sf_dir), ["said_unit", "said_text", "said_label"])
+    rows = U.resolve_stated(readings(spark, sf_dir), SAID)
     return U.true_units(rows, rule_rows(table(spark, sf_dir, "unit_ref")))
 
 
@@ -73,7 +77,6 @@ def p1_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct unit spellings with the code they map to, null where none fits."""
     ship_package(spark)
-    rows = readings(spark, sf_dir)
-    asked = rows.select("quantity", F.explode(F.array("said_unit", "said_text", "said_label")).alias("spelling")).where("spelling is not null")
-    counted = asked.groupBy("quantity", "spelling").agg(F.count("*").alias("n"))
-    return counted.join(U.alias_dictionary(asked), ["quantity", "spelling"], "left").select("quantity", "spelling", "n", "code", F.round("apart", 4).alias("apart"))
+    texts = U.stated_texts(readings(spark, sf_dir), SAID)
+    counted = texts.groupBy("quantity", "spelling").agg(F.sum("n").alias("n"))
+    return counted.join(U.alias_dictionary(texts), ["quantity", "spelling"], "left").select("quantity", "spelling", "n", "code", F.round("apart", 4).alias("apart"))
