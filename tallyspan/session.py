@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -66,13 +68,15 @@ def ship_package(spark: SparkSession) -> None:
         return
     import zipfile
 
-    at = os.path.join(tempfile.mkdtemp(prefix="tallyspan-zip-"), "tallyspan.zip")
+    folder = tempfile.mkdtemp(prefix="tallyspan-zip-")  # the driver serves the file from here while it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    at = os.path.join(folder, "tallyspan.zip")
     package = os.path.dirname(os.path.abspath(__file__))
     with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, files in os.walk(package):
+        for inside, _, files in os.walk(package):
             for f in files:
                 if f.endswith(".py"):
-                    full = os.path.join(folder, f)
+                    full = os.path.join(inside, f)
                     z.write(full, os.path.relpath(full, _PACKAGE_ROOT))
     sc.addPyFile(at)
     sc._tallyspan_shipped = True
