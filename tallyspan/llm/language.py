@@ -16,6 +16,8 @@ the stretches. Only the fitted matrix is broadcast; its size is fixed.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -66,7 +68,7 @@ def language_code(label: Column) -> Column:
 ABBREVIATIONS = frozenset("S.A S.p.A Ltda Ltd Cía Cia Inc Corp Nr No Art Sr Sra Dr".split())
 _END = regex.compile(r"\r?\n\s*|[.!?…][\"»”')\]]*(\s+)(?=[¿¡\"«“(]*\p{Lu})")
 _MARKS = frozenset(".!?…")
-_NOT_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
+_NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -85,7 +87,9 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def letters_only(text: str) -> str:
-    """Lower case; runs of other characters become one blank; blanks around."""
+    """Lower case in composed form; runs of characters that are no letters become one blank; blanks around."""
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
     return " " + _NOT_LETTER.sub(" ", text.lower()).strip() + " "
 
 
