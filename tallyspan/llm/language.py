@@ -36,8 +36,8 @@ from tallyspan.session import ship_package
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3, 4)
 LANDMARKS = 400
-#: Labelled documents per language and sentences in all that the classifier is fitted on.
-FIT_DOCUMENTS, FIT_SENTENCES = 250, 5000
+#: What the classifier is fitted on at most: labelled documents per language, sentences in all, sentences per document.
+FIT_DOCUMENTS, FIT_SENTENCES, PER_DOCUMENT = 400, 8000, 16
 RIDGE = 1.0
 #: Texts whose presence is held at once.
 BLOCK = 512
@@ -175,32 +175,53 @@ def _fit_once(rows: list[str], y: np.ndarray, n_classes: int) -> np.ndarray:
     return (marks.T @ (root @ np.linalg.solve(gram, cross))).astype(np.float32)
 
 
-def fit_sentences(rows: list[str], label: np.ndarray) -> Classifier:
-    """Fit on normalised sentences with noisy labels: two rounds relabel the sentences by the fit and drop the unsure ones. Languages without a sentence are never given."""
+def fit_sentences(rows: list[str], label: np.ndarray, doc: np.ndarray) -> Classifier:
+    """Fit on normalised sentences with the noisy labels of their documents. Languages without a sentence are never given.
+
+    Two rounds fit the full sentences, relabel them and drop the unsure ones.
+    Headings and rows of tables say too little to be judged alone: they take
+    the language that their document's full sentences agree on, and are left
+    out where there is none.
+    """
     if not rows:
         return Classifier(np.zeros((BUCKETS, len(LANGUAGES)), dtype=np.float32))
+    size = np.array([len(r.replace(" ", "")) for r in rows])
+    at = np.flatnonzero(size >= FULL_LETTERS) if (size >= FULL_LETTERS).any() else np.arange(len(rows))
+    y = label[at]
     for _ in range(2):
-        model = Classifier(_fit_once(rows, label, len(LANGUAGES)))
-        scored = model.scores(rows)
+        texts = [rows[i] for i in at]
+        scored = Classifier(_fit_once(texts, y, len(LANGUAGES))).scores(texts)
         best = np.sort(scored, axis=1)
         sure = best[:, -1] - best[:, -2] > 0.25
         if not sure.any():
             break
-        rows, label = [r for r, s in zip(rows, sure) if s], scored.argmax(axis=1)[sure]
-    return Classifier(_fit_once(rows, label, len(LANGUAGES)))
+        at, y = at[sure], scored.argmax(axis=1)[sure]
+    told: dict[int, set[int]] = {}
+    for d, lang in zip(doc[at].tolist(), y.tolist()):
+        told.setdefault(d, set()).add(lang)
+    short = [i for i in range(len(rows)) if size[i] < FULL_LETTERS and len(told.get(int(doc[i]), ())) == 1]
+    more = np.array([next(iter(told[int(doc[i])])) for i in short], dtype=int)
+    return Classifier(_fit_once([rows[i] for i in [*at, *short]], np.concatenate([y, more]), len(LANGUAGES)))
 
 
-def training_sentences(lang: str, text: str) -> list[tuple[str, int, str]]:
-    """(language, hash, normalised sentence) of a labelled text's sentences; the shortest tell nothing."""
+def training_sentences(text: str) -> list[tuple[int, str]]:
+    """(hash, normalised sentence) of a text's sentences; the shortest tell nothing."""
     plain = (letters_only(text[a:b]) for a, b in sentences(text))
-    return [(lang, zlib.crc32(s.encode("utf-8", "replace")), s) for s in plain if len(s) >= 10]
+    return [(zlib.crc32(s.encode("utf-8", "replace")), s) for s in plain if len(s) >= 10]
+
+
+def _fitted(kept: list[tuple[str, int, str]]) -> Classifier:
+    """Fit on (language, document, sentence) rows."""
+    return fit_sentences([s for _, _, s in kept], np.array([LANGUAGES.index(lang) for lang, _, _ in kept], dtype=int), np.array([d for _, d, _ in kept], dtype=np.int64))
 
 
 def fit(samples: Sequence[tuple[str, str]]) -> Classifier:
-    """Fit on (language, text) samples: of each language the FIT_SENTENCES / 5 sentences with the smallest hash."""
-    found = sorted(x for lang, text in samples for x in training_sentences(lang, text))
-    kept = [x for lang in LANGUAGES for x in [y for y in found if y[0] == lang][: FIT_SENTENCES // len(LANGUAGES)]]
-    return fit_sentences([s for _, _, s in kept], np.array([LANGUAGES.index(lang) for lang, _, _ in kept]))
+    """Fit on (language, text) samples: of each language FIT_SENTENCES / 5 sentences, of each text PER_DOCUMENT, those with the smallest hashes."""
+    kept = []
+    for lang in LANGUAGES:
+        of_lang = [(lang, d, s) for d, (x, text) in enumerate(samples) if x == lang for _, s in sorted(training_sentences(text))[:PER_DOCUMENT]]
+        kept += of_lang[: FIT_SENTENCES // len(LANGUAGES)]
+    return _fitted(kept)
 
 
 def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int = FIT_DOCUMENTS) -> Classifier:
@@ -217,16 +238,18 @@ def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int
         part = coded.where(F.col("__code") == code).orderBy(F.xxhash64("__id"), "__id").limit(per_language)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = df.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text")).where("__text is not null")
-    rows = texts.join(F.broadcast(chosen.distinct()), F.col("__doc") == F.col("__id")).limit(per_language * len(LANGUAGES)).select("__code", "__text")
+    rows = texts.join(F.broadcast(chosen.distinct()), F.col("__doc") == F.col("__id")).limit(per_language * len(LANGUAGES))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [x for lang, t in zip(batch["__code"], batch["__text"]) for x in training_sentences(lang, t)]
-            yield pd.DataFrame(found, columns=["lang", "hash", "sentence"])
-
-    ranked = rows.mapInPandas(cut, "lang string, hash bigint, sentence string").withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("hash", "sentence")))
-    kept = sorted(map(tuple, ranked.where(F.col("n") <= FIT_SENTENCES // len(LANGUAGES)).select("lang", "hash", "sentence").collect()))
-    return fit_sentences([s for _, _, s in kept], np.array([LANGUAGES.index(lang) for lang, _, _ in kept], dtype=int))
+            found = [(lang, d, h, s) for lang, d, t in zip(batch["lang"], batch["doc"], batch["text"]) for h, s in sorted(training_sentences(t))[:PER_DOCUMENT]]
+            yield pd.DataFrame(found, columns=["lang", "doc", "hash", "sentence"])
+
+    slim = rows.select(F.col("__code").alias("lang"), F.xxhash64("__id").alias("doc"), F.col("__text").alias("text"))
+    pieces = slim.mapInPandas(cut, "lang string, doc bigint, hash bigint, sentence string")
+    ranked = pieces.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("doc", "hash", "sentence")))
+    kept = ranked.where(F.col("n") <= FIT_SENTENCES // len(LANGUAGES)).select("lang", "doc", "sentence").collect()
+    return _fitted(sorted(map(tuple, kept)))
 
 
 def best_path(scores: np.ndarray, weights: np.ndarray) -> list[int]:
