@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.text import strip_accents
 from tallyspan.session import written
-from tallyspan.sources.tables import broadcast_if_small
+from tallyspan.sources.tables import broadcast_if_small, settled_if_small
 
 # Known spellings of units by quantity and code.
 KNOWN_SPELLINGS: dict[tuple[str, str], tuple[str, ...]] = {
@@ -238,7 +238,7 @@ def expected_sizes(rows: DataFrame) -> DataFrame:
     of what remains over the segment's fields that scale; each is refined
     once. Sketches replace exact medians (relative rank error 1/1000).
     """
-    fields = lambda d, v: broadcast_if_small(d.groupBy("fkey").agg(F.percentile_approx(v, 0.5, 1000).alias("f")))
+    fields = lambda d, v: settled_if_small(d.groupBy("fkey").agg(F.percentile_approx(v, 0.5, 1000).alias("f")))
     segments = lambda d: d.where("scales").groupBy("segment").agg(F.percentile_approx(F.col("size") - F.col("f"), 0.5, 1000).alias("g"))
     seen = rows.where("size is not null").select("segment", "fkey", "scales", "size")
     first = fields(seen, F.col("size"))

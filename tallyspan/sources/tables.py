@@ -22,6 +22,12 @@ def broadcast_if_small(df: DataFrame, most: int = RULE_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def settled_if_small(df: DataFrame, most: int = RULE_ROWS) -> DataFrame:
+    """A computed table of few rows as a local one, to be broadcast, so that later uses don't compute it again; a larger one comes back as it is."""
+    rows = df.limit(most + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else df
+
+
 def rule_rows(df: DataFrame, most: int = RULE_ROWS) -> list:
     """All rows of a rule table on the driver; an error if it holds more than ``most``.
 
