@@ -56,5 +56,6 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same differences with both values side by side."""
-    return _compared(spark, sf_dir)
+    """The same differences with both values side by side as text, figures with six decimals."""
+    shown = lambda c: F.when(F.col("difference") == "value", F.col(c).try_cast("double").cast("decimal(38,6)").cast("string")).otherwise(F.col(c)).alias(c)
+    return _compared(spark, sf_dir).select("segment_id", "year", "quarter", "sheet", "field", "difference", shown("value_a"), shown("value_b"), "match")
