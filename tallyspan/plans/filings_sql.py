@@ -1,5 +1,7 @@
 """Oracle SQL (DuckDB) of plans.filings."""
 
+from tallyspan.plans.figures_sql import _LOCALE, _NORMAL
+
 _NORM = "trim(regexp_replace(regexp_replace(lower(strip_accents(replace({0}, chr(160), ' '))), '[.,;:()\\[\\]]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 _SCORE = """
@@ -103,6 +105,34 @@ SQL = {
     "sheet_items": f"""
       with n as ({_keyword_case("nota_21", "concepto").format("doc_id, item_ord, item_id, ytd_actual")})
       select doc_id, field, ytd_actual from n where field is not null and ytd_actual is not null qualify row_number() over (partition by doc_id, field order by item_ord desc, item_id desc) = 1""",
+    "line_values": f"""
+      with m as (
+        select l.doc_id, l.line_no, l.line, k.field from ({_LINES}) l join keyword_rule k on k.section = 'resultados'
+          and len(list_filter(k.match_words, lambda w: contains(lower(l.line), lower(w)))) > 0 and len(list_filter(k.exclude_words, lambda w: contains(lower(l.line), lower(w)))) = 0
+      ), tok as (
+        select doc_id, line_no, list_filter(regexp_extract_all({_NORMAL}, '-?[0-9.,]+'), lambda x: regexp_matches(x, '[0-9]')) as ts from (select distinct doc_id, line_no, line from m)
+      ), parts as (
+        select doc_id, line_no, u.t, u.i from (select doc_id, line_no, unnest(list_transform(ts, lambda x, i: {{'t': x, 'i': i}})) as u from tok)
+      ), num as (
+        select doc_id, line_no, i, whole, case when t like '-%' then -n else n end as v from (
+          select *, try_cast(case when regexp_full_match(plain, '[0-9]*\\.?[0-9]*') and regexp_matches(plain, '[0-9]') then plain end as double) as n from ({_LOCALE.format("select doc_id, line_no, i, t from parts")})) where n is not null
+      ), first as (
+        select doc_id, line_no, v from num where not (whole and v > 0 and v < 100) qualify row_number() over (partition by doc_id, line_no order by i) = 1
+      )
+      select m.doc_id, field, v as value from m join first on first.doc_id = m.doc_id and first.line_no = m.line_no qualify row_number() over (partition by m.doc_id, field order by m.line_no) = 1""",
+    "grid_rows": f"""
+      with cells as (select *, string_split(concepto, chr(10)) as ls from line_item where section = 'nota_22' and concepto is not null),
+           lines as (select doc_id, item_id, i - 1 as line, t, ytd_actual, ytd_anterior, quarter_actual, quarter_anterior
+                     from (select *, unnest(ls) as t, generate_subscripts(ls, 1) as i from cells) where trim(t) <> ''),
+           named as (select *, {_NORM.format("t")} as n from lines),
+           labels as (select labels[1] as label, rule_ord, {_NORM.format("labels[1]")} as m from keyword_rule where section = 'nota_22'),
+           hits as (
+             select item_id, line, label from named, labels
+             where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: contains(n, w))) >= 0.8 * len(string_split(m, ' '))
+             qualify row_number() over (partition by item_id, line order by -length(label), rule_ord) = 1)
+      select doc_id, d.item_id, d.line::int as line, coalesce(label, 'Totales') as concepto, case when d.line = 0 then ytd_actual end as ytd_actual, case when d.line = 0 then ytd_anterior end as ytd_anterior,
+             case when d.line = 0 then quarter_actual end as quarter_actual, case when d.line = 0 then quarter_anterior end as quarter_anterior
+      from named d left join hits h on h.item_id = d.item_id and h.line = d.line where label is not null or contains(lower(t), 'total')""",
     "vector_topk": """
       with q as (select vec_id as query_id, embedding as qe from embeddings where vec_id % 50 = 0),
            s as (select query_id, vec_id as neighbor_id, round(list_cosine_similarity(qe::double[], embedding::double[]), 9) as sim from q, embeddings where vec_id <> query_id)
