@@ -191,8 +191,8 @@ def layout_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without orders."""
-    return merge.missing_keys(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), ["k"])
+    """Documents without an embedding."""
+    return merge.missing_keys(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k")), table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k")), ["k"])
 
 
 def valid_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,7 +121,7 @@ SQL = {
     "layout_map": """
       with s as (select sheet, field, count(value) as n, round(sum(value), 2) as total from value_pdf where quarter = 4 group by 1, 2)
       select r.sheet, r.field, row_no, label, n, total from field_rule r left join s on r.sheet = s.sheet and r.field = s.field""",
-    "missing_keys": "select c_custkey as k from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
+    "missing_keys": "select doc_id as k from documents where not exists (select 1 from embeddings where vec_id = doc_id)",
     "valid_keys": "select vec_id as k, label from embeddings where exists (select 1 from documents where doc_id = vec_id)",
     "period_cross": "select year, month, (month // 3)::int as quarter from (select distinct year(o_orderdate)::int as year from orders), (select unnest([3, 6, 9, 12])::int as month)",
     "report_rows": """
