@@ -78,10 +78,9 @@ def p2_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The learnt precedence of source kinds: clear transitions with their counts and the level of either side."""
+    """The counted transitions between source kinds, and whether the learnt precedence keeps them."""
     learnt = survivors.learn_precedence(_figures(spark, sf_dir), _FIGURE, "kind", "ts")
-    rows = [(a, b, n, m, learnt.levels[a], learnt.levels[b]) for a, b, n, m in learnt.edges]
-    return spark.createDataFrame(rows, "earlier string, later string, seen bigint, reversed bigint, earlier_level int, later_level int")
+    return spark.createDataFrame(list(learnt.transitions), "earlier string, later string, seen bigint, reversed bigint, kept boolean")
 
 
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,4 +161,23 @@ select min(prov_id) as group_id, max(case when rn = 1 then prov_id end) as survi
 from r group by filer, segment, year, quarter, fld having count(*) >= 2
 """
 
-SQL: dict[str, str] = {"p2_found": _P2}
+_P2_TRANSITIONS = """
+with p as (
+  select regexp_replace(filer_id, '[^0-9]', '', 'g') as filer, regexp_replace(segment_id, '[^0-9]', '', 'g') as segment, regexp_extract(period, '[0-9]{4}') as year,
+         replace(replace(replace(replace(regexp_extract(regexp_replace(upper(period), '[0-9]{4}', ''), '(IV|III|II|I|[1-4])'), 'IV', '4'), 'III', '3'), 'II', '2'), 'I', '1') as quarter,
+         regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as fld,
+         case when lower(source_type) like '%ocr%' then 'ocr' when lower(source_type) in ('xml', 'xbrl') then 'xml' when lower(source_type) like '%pdf%' then 'text' end as kind, ts
+  from provenance
+), f as (
+  select filer, segment, year, quarter, fld, kind, min(ts) as t from p where ts is not null and kind is not null group by all
+), kinds as (select distinct kind from f), n as (
+  select a.kind as earlier, b.kind as later, count(*) as n from f a join f b
+  on a.filer = b.filer and a.segment = b.segment and a.year = b.year and a.quarter = b.quarter and a.fld = b.fld and a.t < b.t group by 1, 2
+), pairs as (
+  select x.kind as earlier, y.kind as later, coalesce(n.n, 0) as seen, coalesce(m.n, 0) as reversed from kinds x join kinds y on x.kind <> y.kind
+  left join n on n.earlier = x.kind and n.later = y.kind left join n m on m.earlier = y.kind and m.later = x.kind
+)
+select earlier, later, seen, reversed, seen >= 5 and seen >= 1.2 * reversed as kept from pairs
+"""
+
+SQL: dict[str, str] = {"p2_found": _P2, "p2_precedence": _P2_TRANSITIONS}

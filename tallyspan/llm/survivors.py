@@ -31,10 +31,10 @@ _LAST = 2**63 - 1
 
 @dataclass(frozen=True)
 class Precedence:
-    """Topological level of each value of an attribute: the higher, the later. ``edges`` are (earlier, later, seen, seen in reverse)."""
+    """Topological level of each value of an attribute: the higher, the later. ``transitions`` are (earlier, later, seen, seen in reverse, whether the precedence keeps it)."""
 
     levels: dict[str, int]
-    edges: tuple[tuple[str, str, int, int], ...]
+    transitions: tuple[tuple[str, str, int, int, bool], ...]
 
     def level(self, value: Column) -> Column:
         """Level of a value; null where nothing was learnt about it."""
@@ -70,7 +70,7 @@ def learn_precedence(df: DataFrame, keys: Sequence[str], value: str, ts: str, ma
     clear = {(a, b): (c, n[b, a]) for (a, b), c in n.items() if c >= least and c >= margin * n[b, a]}
     while (levels := topological_levels(values, clear)) is None:
         del clear[min(clear, key=lambda e: (clear[e][0] / (clear[e][1] + 1), e))]
-    return Precedence(levels, tuple((a, b, *c) for (a, b), c in sorted(clear.items())))
+    return Precedence(levels, tuple((a, b, c, n[b, a], (a, b) in clear) for (a, b), c in sorted(n.items())))
 
 
 def topological_levels(values: list[str], edges) -> dict[str, int] | None:
