@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tallyspan.functions.numbers import parse_thousands
-from tallyspan.operators.matching import match_label_or_total
+from tallyspan.operators.matching import match_label_or_total, with_section_label
 
 
 def value_columns(cells: Column) -> Column:
@@ -23,10 +23,18 @@ def values_at(columns: Column, index: Column, compact: bool = False) -> Column:
     return F.filter(parsed, lambda v: v.isNotNull()) if compact else parsed
 
 
-def parse_grid(rows: DataFrame, key: Sequence[str], row: str, cells: str, labels: Sequence[str], compact: bool = False) -> DataFrame:
-    """``(key, row, line, concepto, values)``: a label cell with k lines gives k rows. Rows whose label matches none of ``labels`` or no total are dropped, as are blank rows."""
+def parse_grid(rows: DataFrame, key: Sequence[str], row: str, cells: str, labels: Sequence[str] | Mapping[str, Sequence[str]], compact: bool = False, section: str | None = None) -> DataFrame:
+    """``(key, row, line, concepto, values)``: a label cell with k lines gives k rows. Rows whose label matches none of ``labels`` or no total are dropped, as are blank rows.
+
+    ``section``: a column of ``key``; ``labels`` are then by section, and a row is matched with those of its own.
+    """
     lines = rows.select(*key, row, F.col(cells).alias("__cells"), F.posexplode(F.split(F.coalesce(F.get(cells, F.lit(0)), F.lit("")), "\n")).alias("line", "__text"))
-    named = lines.where(F.trim("__text") != "").withColumn("concepto", match_label_or_total(F.col("__text"), labels)).where("concepto is not null")
+    there = lines.where(F.trim("__text") != "")
+    if section is None:
+        named = there.withColumn("concepto", match_label_or_total(F.col("__text"), labels)).where("concepto is not null")
+    else:
+        labelled = with_section_label(there, F.col("__text"), section, labels, "__label")
+        named = labelled.withColumn("concepto", F.coalesce("__label", match_label_or_total(F.col("__text"), []))).where("concepto is not null")
     return named.select(*key, row, "line", "concepto", values_at(value_columns(F.col("__cells")), F.col("line"), compact).alias("values"))
 
 

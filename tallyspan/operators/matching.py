@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +63,11 @@ def match_label(concept: Column, labels: Sequence[str]) -> Column:
     Labels are normalised here, so the expression only tests for parts; a word
     without blanks occurs in the text where it occurs in one of its words.
     """
-    own, tests = normalize_for_matching(concept), []
+    return _match_normalized(normalize_for_matching(concept), labels)
+
+
+def _match_normalized(own: Column, labels: Sequence[str]) -> Column:
+    tests = []
     for label in sorted(labels, key=lambda x: -len(x)):
         n = normalized(label)
         words = n.split()
@@ -72,6 +76,18 @@ def match_label(concept: Column, labels: Sequence[str]) -> Column:
     return F.coalesce(*tests, F.lit(None).cast("string"))
 
 
+def of_section(section: Column, matched: Mapping[str, Column]) -> Column:
+    """What the rules of a row's own section match, ``matched`` by section; null in sections without rules."""
+    return F.coalesce(*[F.when(section == s, m) for s, m in matched.items()], F.lit(None).cast("string"))
+
+
+def with_section_label(rows: DataFrame, concept: Column, section: str, labels: Mapping[str, Sequence[str]], name: str) -> DataFrame:
+    """Rows with the label of their own section that a concept means, as match_label finds it; all sections in one scan."""
+    # a column of its own, as a text normalised inside the section's branch would be normalised for each label
+    own = rows.withColumn("__own", normalize_for_matching(concept))
+    return own.withColumn(name, of_section(F.col(section), {s: _match_normalized(F.col("__own"), x) for s, x in labels.items()})).drop("__own")
+
+
 def match_label_or_total(concept: Column, labels: Sequence[str], total: str = "Totales") -> Column:
     return F.coalesce(match_label(concept, labels), F.when(F.lower(concept).contains("total"), F.lit(total)))
 

@@ -153,6 +153,18 @@ def section_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.section_total(items, ["doc_id", "section"], "concepto", "ytd_actual")
 
 
+def section_total_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of every section that the field rules give one total, against its total row.
+
+    Sections without a total have nothing to check, and several totals are
+    subtotals, not the section's sum.
+    """
+    totals = table(spark, sf_dir, "field_rule").where("is_total").groupBy("section").agg(F.count("*").alias("n")).where("n = 1")
+    items = table(spark, sf_dir, "line_item").join(F.broadcast(totals.select("section")), "section", "left_semi")
+    named = items.select("doc_id", "section", F.regexp_replace("concepto", r"(?i)\bsuma\b", "Total").alias("concepto"), "ytd_actual")
+    return validate.section_total(named, ["doc_id", "section"], "concepto", "ytd_actual")
+
+
 def coalesce_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two copies of the figures merged, the tagged one first."""
     one = lambda t: table(spark, sf_dir, t).groupBy("segment_id", "year", "quarter", field_name(F.col("field")).alias("field")).agg(F.max("value").alias("value"), F.max("note_ref").alias("note_ref"))
@@ -219,6 +231,12 @@ def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.report_rows(checks, "section", "doc_id")
 
 
+def report_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines of the checks of all sections' totals."""
+    checks = section_total_all(spark, sf_dir).withColumnsRenamed({"calculated": "expected", "reported": "actual"})
+    return reshape.report_rows(checks, "section", "doc_id")
+
+
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of each segment's documents before and from the first page that speaks of the auditors."""
     pages = table(spark, sf_dir, "documents").where("segment_id is not null").select("segment_id", "doc_id", "page_no", "text")
@@ -238,5 +256,6 @@ QUERIES = {
         reconcile_order_totals, reconcile_sources, formula_check, validation_summary, parse_thousands, parse_locale_decimal, parse_mixed_number, normalize_line, number_tokens, current_value,
         normalize_text, clean_whitespace, snake_case_names, content_hash, scale_floor_trunc, period_key, period_parse, provenance_primary, fallback_chain, top_orders, reference_check, section_total,
         coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross, normalize_frame, report_rows, split_documents, combined_vectors,
+        section_total_all, report_rows_all,
     )
 }

@@ -141,3 +141,15 @@ SQL = {
 SQL["normalize_frame"] = (
     SQL["parse_mixed_number"].replace("select value_id, case when w then -n else n end as value from", "select value_id, case when w then -n else n end as valor_texto, loaded_at as fecha_de_carga from").replace("select value_id, trim(value_text)", "select value_id, loaded_at, trim(value_text)")
 )
+
+_TOTALS = """
+  select doc_id, section, sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end)::bigint as calculated, max(ytd_actual) filter (t) as reported
+  from (select *, contains(lower(concepto), 'total') or regexp_matches(lower(concepto), '\\bsuma\\b') as t from line_item
+        where section in (select section from field_rule where is_total group by 1 having count(*) = 1)) group by 1, 2
+"""
+
+SQL["section_total_all"] = f"select doc_id, section, calculated, reported, (reported - calculated)::bigint as difference, coalesce(reported = calculated, false) as match from ({_TOTALS})"
+SQL["report_rows_all"] = f"""
+  select section as category, case when coalesce(reported = calculated, false) then 'ok: ' || doc_id || ' = ' || coalesce(format('{{:,}}', reported), '-')
+         else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{{:,}}', calculated), '-') || ', found ' || coalesce(format('{{:,}}', reported), '-') || ', off by ' || coalesce(format('{{:,}}', reported - calculated), '-') end as line
+  from ({_TOTALS})"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.functions import vectors
@@ -33,6 +33,35 @@ def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("item_id", matching.match_keywords(F.col("concepto"), rules).alias("field"))
 
 
+def _by_section(spark: SparkSession, sf_dir: str) -> dict[str, list]:
+    """The keyword rules of each section in their order."""
+    rules: dict[str, list] = {}
+    for r in sorted(rule_rows(table(spark, sf_dir, "keyword_rule")), key=lambda r: (r.section, r.rule_ord)):
+        rules.setdefault(r.section, []).append(r)
+    return rules
+
+
+def _section_labels(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    return {s: [x for r in rules for x in r.labels or ()] for s, rules in _by_section(spark, sf_dir).items()}
+
+
+def _section_field(spark: SparkSession, sf_dir: str) -> Column:
+    """The field that an item's concept means by the keywords of the item's own section."""
+    rules = {s: [(r.field, r.match_words, r.exclude_words) for r in rs] for s, rs in _by_section(spark, sf_dir).items()}
+    return matching.of_section(F.col("section"), {s: matching.match_keywords(F.col("concepto"), rs) for s, rs in rules.items()})
+
+
+def label_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """label_match for the items of every section, each with the labels of its own."""
+    items = table(spark, sf_dir, "line_item").select("item_id", "section", "concepto")
+    return matching.with_section_label(items, F.col("concepto"), "section", _section_labels(spark, sf_dir), "label").select("item_id", "label")
+
+
+def keyword_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """keyword_match for the items of every section, each with the rules of its own."""
+    return table(spark, sf_dir, "line_item").select("item_id", _section_field(spark, sf_dir).alias("field"))
+
+
 def page_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First page of each segment's documents that speaks of cost and of energy or debt."""
     pages = table(spark, sf_dir, "documents").select("segment_id", "page_no", "text")
@@ -70,6 +99,15 @@ def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.keyword_values(lines, ["doc_id"], "line_no", "line", current_value(F.col("line")), rules)
 
 
+def line_values_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """line_values with every keyword rule; a field that two sections have comes out once for each."""
+    lines = segments.text_lines(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    rules = table(spark, sf_dir, "keyword_rule").select(F.concat_ws("/", "section", "field").alias("field"), "match_words", "exclude_words")
+    found = matching.keyword_values(lines, ["doc_id"], "line_no", "line", current_value(F.col("line")), rules)
+    part = lambda n: F.split_part("field", F.lit("/"), F.lit(n))
+    return found.select("doc_id", part(1).alias("section"), part(2).alias("field"), "value")
+
+
 def line_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user between a signup and the next error or signup."""
     rows = segments.segment_rows(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type") == "signup", F.col("event_type") == "error", F.floor(F.col("event_id") / 10_000))
@@ -150,6 +188,22 @@ def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.line_items(parsed, ["doc_id", "item_id", "line"])
 
 
+def sheet_items_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sheet_items for every section, a figure for each document, section and field."""
+    items = table(spark, sf_dir, "line_item").where("ytd_actual is not null")
+    named = items.select("doc_id", "section", "item_ord", "item_id", "ytd_actual", _section_field(spark, sf_dir).alias("field")).where("field is not null")
+    return pick_first(named, ["doc_id", "section", "field"], [-F.col("item_ord"), -F.col("item_id")], ["ytd_actual"])
+
+
+def grid_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """grid_rows for the items of every section, each parsed by the labels of its own."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    cells = F.array("concepto", *[text(c) for c in ("ytd_actual", "ytd_anterior", "quarter_actual", "quarter_anterior")])
+    rows = table(spark, sf_dir, "line_item").where("concepto is not null").select("doc_id", "section", "item_id", cells.alias("cells"))
+    parsed = grids.parse_grid(rows, ["doc_id", "section"], "item_id", "cells", _section_labels(spark, sf_dir), section="section")
+    return grids.line_items(parsed, ["doc_id", "section", "item_id", "line"])
+
+
 def _queries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "embeddings")
     return rows, rows.where("vec_id % 50 = 0")
@@ -198,6 +252,6 @@ QUERIES = {
     for f in (
         label_match, keyword_match, page_find, section_context, table_score, best_table, explode_lines, line_values, line_segments, chosen_segment, latest_context, current_context, year_context,
         fact_contexts, facts_by_substring, mapped_facts, ytd_max, fact_categories, units_distinct, sheet_listing, sheet_items, grid_rows, vector_topk, neighbor_counts, concat_normalize, refactor_index,
-        pca_clusters, stream_totals,
+        pca_clusters, stream_totals, label_match_all, keyword_match_all, line_values_all, sheet_items_all, grid_rows_all,
     )
 }

@@ -147,3 +147,38 @@ SQL = {
     "refactor_index": "select p_partkey, round(0.25 * p_size + 0.15 * (p_size % 7) + 0.6 * 25.403 * power((p_partkey % 100) / 100.0, 5), 6)::double as score from part",
     "stream_totals": "select date_trunc('hour', ts) as window_start, event_type, count(*) as n, round(sum(value), 2) as total from events group by 1, 2",
 }
+
+_FIELD_OF = """(select arg_min(k.field, k.rule_ord) from keyword_rule k where k.section = l.section
+  and len(list_filter(k.match_words, lambda w: contains(lower(l.concepto), lower(w)))) > 0
+  and len(list_filter(k.exclude_words, lambda w: contains(lower(l.concepto), lower(w)))) = 0)"""
+
+_SECTION_LABELS = f"select *, {_NORM.format('label')} as m from (select section, rule_ord, unnest(labels) as label, generate_subscripts(labels, 1) as place from keyword_rule)"
+
+SQL["label_match_all"] = f"""
+  with items as (select item_id, section, {_NORM.format("concepto")} as n from line_item), labels as ({_SECTION_LABELS}),
+       hits as (
+         select item_id, label from items i join labels l on i.section = l.section
+         where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: contains(n, w))) >= 0.8 * len(string_split(m, ' '))
+         qualify row_number() over (partition by item_id order by -length(label), rule_ord, place) = 1)
+  select i.item_id, label from items i left join hits h on h.item_id = i.item_id"""
+SQL["keyword_match_all"] = f"select item_id, {_FIELD_OF} as field from line_item l"
+SQL["sheet_items_all"] = f"""
+  with n as (select doc_id, section, item_ord, item_id, ytd_actual, {_FIELD_OF} as field from line_item l)
+  select doc_id, section, field, ytd_actual from n where field is not null and ytd_actual is not null
+  qualify row_number() over (partition by doc_id, section, field order by item_ord desc, item_id desc) = 1"""
+SQL["grid_rows_all"] = f"""
+  with lines as (select doc_id, section, item_id, i - 1 as line, t, ytd_actual, ytd_anterior, quarter_actual, quarter_anterior
+                 from (select *, unnest(ls) as t, generate_subscripts(ls, 1) as i from (select *, string_split(concepto, chr(10)) as ls from line_item where concepto is not null)) where trim(t) <> ''),
+       named as (select *, {_NORM.format("t")} as n from lines), labels as ({_SECTION_LABELS}),
+       hits as (
+         select item_id, line, label from named d join labels l on d.section = l.section
+         where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: contains(n, w))) >= 0.8 * len(string_split(m, ' '))
+         qualify row_number() over (partition by item_id, line order by -length(label), rule_ord, place) = 1)
+  select doc_id, section, d.item_id, d.line::int as line, coalesce(label, 'Totales') as concepto, case when d.line = 0 then ytd_actual end as ytd_actual, case when d.line = 0 then ytd_anterior end as ytd_anterior,
+         case when d.line = 0 then quarter_actual end as quarter_actual, case when d.line = 0 then quarter_anterior end as quarter_anterior
+  from named d left join hits h on h.item_id = d.item_id and h.line = d.line where label is not null or contains(lower(t), 'total')"""
+# as line_values, with every rule and a value for each section and field
+SQL["line_values_all"] = (
+    SQL["line_values"].replace("select l.doc_id, l.line_no, l.line, k.field", "select l.doc_id, l.line_no, l.line, k.section, k.field").replace("on k.section = 'resultados'\n          and", "on")
+    .replace("select m.doc_id, field,", "select m.doc_id, section, field,").replace("partition by m.doc_id, field order", "partition by m.doc_id, section, field order")
+)
