@@ -250,12 +250,19 @@ def combined_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("vec_id", F.size("embedding").alias("width"), F.round(F.element_at("embedding", -1), 6).alias("last"))
 
 
+def combined_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding joined end to end with the one of its id in a second table, here the whole table again: width and last element."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    both = reshape.combine_vectors([rows, rows], "vec_id", "embedding")
+    return both.select("vec_id", F.size("embedding").alias("width"), F.round(F.element_at("embedding", -1), 6).alias("last"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         reconcile_order_totals, reconcile_sources, formula_check, validation_summary, parse_thousands, parse_locale_decimal, parse_mixed_number, normalize_line, number_tokens, current_value,
         normalize_text, clean_whitespace, snake_case_names, content_hash, scale_floor_trunc, period_key, period_parse, provenance_primary, fallback_chain, top_orders, reference_check, section_total,
         coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross, normalize_frame, report_rows, split_documents, combined_vectors,
-        section_total_all, report_rows_all,
+        section_total_all, report_rows_all, combined_vectors_all,
     )
 }

@@ -153,3 +153,4 @@ SQL["report_rows_all"] = f"""
   select section as category, case when coalesce(reported = calculated, false) then 'ok: ' || doc_id || ' = ' || coalesce(format('{{:,}}', reported), '-')
          else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{{:,}}', calculated), '-') || ', found ' || coalesce(format('{{:,}}', reported), '-') || ', off by ' || coalesce(format('{{:,}}', reported - calculated), '-') end as line
   from ({_TOTALS})"""
+SQL["combined_vectors_all"] = "select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last from embeddings"

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallyspan.operators import grids
+from tallyspan.operators import grids, reshape
 from tallyspan.plans import registry
 
 
@@ -32,3 +32,13 @@ def test_grid_labels_of_own_section(spark):
     rows = spark.createDataFrame([("d", "a", 1, ["Energia", "5"]), ("d", "b", 2, ["Energia", "6"]), ("d", "b", 3, ["Fletes", "7"]), ("d", "c", 4, ["Suma total", "8"])], "doc string, section string, row int, cells array<string>")
     got = grids.parse_grid(rows, ["doc", "section"], "row", "cells", {"a": ["Energia"], "b": ["Fletes"]}, section="section")
     assert sorted((r.row, r.concepto) for r in got.collect()) == [(1, "Energia"), (3, "Fletes"), (4, "Totales")]
+
+
+def test_every_vector_is_combined(spark, data):
+    assert rows_of(spark, data, "combined_vectors_all").count() == spark.read.parquet(f"{data}/embeddings.parquet").count()
+
+
+def test_key_lacking_in_a_table(spark):
+    make = lambda rows: spark.createDataFrame(rows, "id long, v array<float>")
+    got = reshape.combine_vectors([make([(1, [3.0]), (2, [1.0])]), make([(1, [4.0]), (3, [1.0])])], "id", "v").collect()
+    assert [(r.id, r.v) for r in got] == [(1, [0.6, 0.8])]
