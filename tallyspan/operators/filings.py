@@ -50,6 +50,12 @@ def chosen_context(contexts: DataFrame, year: Column, quarter: Column, yearly: b
     return pick_first(ranked, ["doc_id"], [F.col("strategy"), newest, F.col("ctx_ord")], ["ctx_id", "strategy"])
 
 
+def instant_of_year(contexts: DataFrame, year: Column) -> DataFrame:
+    """``(doc_id, ctx_id, strategy)``: the first instant within a document's year, to follow where the chosen yearly context is a duration that holds no instant facts."""
+    there = contexts.where((F.col("period_type") == "instant") & F.col("instant").startswith(year.cast("string"))).withColumn("strategy", F.lit(4))
+    return pick_first(there, ["doc_id"], [F.col("ctx_ord")], ["ctx_id", "strategy"])
+
+
 def number_text(c: Column) -> Column:
     """A fact's number; texts that are none give null."""
     return F.trim(F.regexp_replace(c, r"\s+", " ")).try_cast("double")
@@ -61,19 +67,20 @@ def mapped_values(facts: DataFrame, mappings: DataFrame, duration: DataFrame, in
     ``mappings`` (small, broadcast): field, primary_fact, fallbacks,
     context_type, apply_scaling, ensure_negative, default_value. The first
     name with a readable value in the chosen context counts; of a name's
-    repeated facts the first decides. Values are scaled towards zero (``floor``:
+    repeated facts the first decides. ``instant`` may hold several contexts of
+    a document, tried in the order of their ``strategy``. Values are scaled towards zero (``floor``:
     down), made negative where asked, and default where missing. Fields without
     value and default don't come out.
     """
     names = mappings.select("field", "context_type", "apply_scaling", "ensure_negative", F.posexplode(F.concat(F.array("primary_fact"), F.coalesce("fallbacks", F.array().cast("array<string>")))).alias("rank", "name"))
-    chosen = duration.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("duration").alias("context_type"))
+    chosen = duration.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("duration").alias("context_type"), F.lit(0).alias("turn"))
     if instant is not None:
-        chosen = chosen.unionByName(instant.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("instant").alias("context_type")))
+        chosen = chosen.unionByName(instant.select("doc_id", F.col("ctx_id").alias("context_ref"), F.lit("instant").alias("context_type"), F.col("strategy").alias("turn")))
     slim = facts.select("doc_id", "name", "context_ref", "value", "fact_ord").join(broadcast_if_small(names), "name")
     there = slim.join(chosen, ["doc_id", "context_ref", "context_type"])
-    by_name = pick_first(there, ["doc_id", "field", "rank"], [F.col("fact_ord")], ["name", "value", "apply_scaling", "ensure_negative"])
+    by_name = pick_first(there, ["doc_id", "field", "turn", "rank"], [F.col("fact_ord")], ["name", "value", "apply_scaling", "ensure_negative"])
     read = by_name.withColumn("v", number_text(F.col("value")))
-    best = pick_first(read, ["doc_id", "field"], [F.col("rank")], ["name", "v", "apply_scaling", "ensure_negative"], F.col("v").isNotNull())
+    best = pick_first(read, ["doc_id", "field"], [F.col("turn"), F.col("rank")], ["name", "v", "apply_scaling", "ensure_negative"], F.col("v").isNotNull())
     scaled = F.when(F.col("apply_scaling"), (scale_floor if floor else scale_trunc)(F.col("v"), factor).cast("double")).otherwise(F.col("v"))
     value = F.when(F.col("ensure_negative") & (scaled > 0), -scaled).otherwise(scaled)
     found = best.select("doc_id", "field", value.alias("value"), F.col("name").alias("fact"))

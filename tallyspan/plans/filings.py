@@ -9,6 +9,7 @@ from tallyspan.functions import vectors
 from tallyspan.functions.numbers import current_value
 from tallyspan.operators import filings, grids, matching, segments, similarity
 from tallyspan.operators.select import pick_first
+from tallyspan.plans import sheets
 from tallyspan.sources import filings as sources
 from tallyspan.sources.tables import rule_rows, table
 from tallyspan.streaming import ingest
@@ -153,6 +154,12 @@ def mapped_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filings.mapped_values(table(spark, sf_dir, "xbrl_fact"), mappings, _current(spark, sf_dir))
 
 
+def mapped_facts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All mapped fields of each filing: durations in its current context, instants in its yearly one."""
+    year, quarter = F.regexp_extract("doc_id", r"_([0-9]{4})Q", 1).try_cast("int"), F.regexp_extract("doc_id", r"Q([1-4])$", 1).try_cast("int")
+    return sheets.from_filings(table(spark, sf_dir, "xbrl_fact"), table(spark, sf_dir, "xbrl_context"), table(spark, sf_dir, "fact_mapping"), year, quarter)
+
+
 def ytd_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filings.year_to_date_max(table(spark, sf_dir, "xbrl_fact"), table(spark, sf_dir, "xbrl_context"), "Revenue")
 
@@ -253,5 +260,6 @@ QUERIES = {
         label_match, keyword_match, page_find, section_context, table_score, best_table, explode_lines, line_values, line_segments, chosen_segment, latest_context, current_context, year_context,
         fact_contexts, facts_by_substring, mapped_facts, ytd_max, fact_categories, units_distinct, sheet_listing, sheet_items, grid_rows, vector_topk, neighbor_counts, concat_normalize, refactor_index,
         pca_clusters, stream_totals, label_match_all, keyword_match_all, line_values_all, sheet_items_all, grid_rows_all,
+        mapped_facts_all,
     )
 }

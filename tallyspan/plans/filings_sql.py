@@ -182,3 +182,21 @@ SQL["line_values_all"] = (
     SQL["line_values"].replace("select l.doc_id, l.line_no, l.line, k.field", "select l.doc_id, l.line_no, l.line, k.section, k.field").replace("on k.section = 'resultados'\n          and", "on")
     .replace("select m.doc_id, field,", "select m.doc_id, section, field,").replace("partition by m.doc_id, field order", "partition by m.doc_id, section, field order")
 )
+SQL["mapped_facts_all"] = f"""
+  with cur as ({_CURRENT}), instants as (
+    select doc_id, ctx_id from xbrl_context where period_type = 'instant' and starts_with(instant, regexp_extract(doc_id, '_([0-9]{{4}})Q', 1)) qualify row_number() over (partition by doc_id order by ctx_ord) = 1
+  ), chosen as (
+    select doc_id, ctx_id, 'duration' as context_type, 0 as turn from cur union all select doc_id, ctx_id, 'instant', strategy from ({_YEARLY}) union all select doc_id, ctx_id, 'instant', 4 from instants
+  ),
+  names as (
+    select field, context_type, apply_scaling, ensure_negative, unnest(ns) as name, generate_subscripts(ns, 1) as rank from (select *, [primary_fact] || coalesce(fallbacks, []) as ns from fact_mapping)
+  ), firsts as (
+    select f.doc_id, n.field, turn, n.rank, apply_scaling, ensure_negative, {_NUMBER} as v
+    from xbrl_fact f join names n on f.name = n.name join chosen c on c.doc_id = f.doc_id and c.ctx_id = f.context_ref and c.context_type = n.context_type
+    qualify row_number() over (partition by f.doc_id, n.field, turn, n.rank order by fact_ord) = 1
+  ), best as (
+    select *, case when apply_scaling then trunc(v / 1000)::bigint::double else v end as s from firsts where v is not null qualify row_number() over (partition by doc_id, field order by turn, rank) = 1
+  ), found as (select doc_id, field, case when ensure_negative and s > 0 then -s else s end as value from best)
+  select * from found union all
+  select cur.doc_id, m.field, m.default_value from cur, fact_mapping m
+  where m.default_value is not null and not exists (select 1 from found where found.doc_id = cur.doc_id and found.field = m.field)"""

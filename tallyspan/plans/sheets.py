@@ -69,9 +69,9 @@ def from_grids(rows: DataFrame, keywords: DataFrame, fields: DataFrame, section:
 
 
 def from_filings(facts: DataFrame, contexts: DataFrame, mappings: DataFrame, year: Column, quarter: Column, factor: int = 1000) -> DataFrame:
-    """Figures from tagged filings: each mapped field in the context chosen by its type."""
+    """Figures from tagged filings: each mapped field in the context chosen by its type; an instant field not found in the yearly context in the first instant of the year."""
     duration = filings.chosen_context(contexts, year, quarter)
-    instant = filings.chosen_context(contexts, year, quarter, yearly=True)
+    instant = filings.chosen_context(contexts, year, quarter, yearly=True).unionByName(filings.instant_of_year(contexts, year))
     return filings.mapped_values(facts, mappings, duration, instant, factor).select("doc_id", "field", "value")
 
 

@@ -1,9 +1,10 @@
 """Queries over whole tables leave no part out."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspan.operators import grids, reshape
-from tallyspan.plans import registry
+from tallyspan.plans import registry, sheets
 
 
 def rows_of(spark, data, name):
@@ -42,3 +43,17 @@ def test_key_lacking_in_a_table(spark):
     make = lambda rows: spark.createDataFrame(rows, "id long, v array<float>")
     got = reshape.combine_vectors([make([(1, [3.0]), (2, [1.0])]), make([(1, [4.0]), (3, [1.0])])], "id", "v").collect()
     assert [(r.id, r.v) for r in got] == [(1, [0.6, 0.8])]
+
+
+def test_every_mapped_field_comes_out(spark, data):
+    mapped = {r.field for r in spark.read.parquet(f"{data}/fact_mapping.parquet").select("field").collect()}
+    assert {r.field for r in rows_of(spark, data, "mapped_facts_all").select("field").distinct().collect()} == mapped
+
+
+def test_instant_field_of_a_fourth_quarter(spark):
+    facts = spark.createDataFrame([("d", 0, "Shares", "I", "50"), ("d", 1, "Sales", "AcumuladoActual", "2000")], "doc_id string, fact_ord int, name string, context_ref string, value string")
+    contexts = spark.createDataFrame([("d", 0, "AcumuladoActual", "duration", None, "2024-01-01", "2024-12-31"), ("d", 1, "I", "instant", "2024-12-31", None, None)], "doc_id string, ctx_ord int, ctx_id string, period_type string, instant string, start_date string, end_date string")
+    kind = "field string, primary_fact string, fallbacks array<string>, context_type string, apply_scaling boolean, ensure_negative boolean, default_value double"
+    mappings = spark.createDataFrame([("acciones", "Shares", [], "instant", False, False, None), ("ventas", "Sales", [], "duration", True, False, None)], kind)
+    got = sheets.from_filings(facts, contexts, mappings, F.lit(2024), F.lit(4)).collect()
+    assert {(r.field, r.value) for r in got} == {("acciones", 50.0), ("ventas", 2.0)}
