@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspan.functions import numbers, periods, text
 from tallyspan.functions.keys import field_name
 from tallyspan.operators import formula, merge, reshape, select, validate
-from tallyspan.sources.tables import table
+from tallyspan.sources.tables import table, with_each
 
 
 def _order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +202,14 @@ def layout_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.layout_map(layout, sums, ["sheet", "field"], "row_no")
 
 
+def layout_map_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a sheet's layout in every year and quarter with the sum of their figures, null where there are none. Fields count however spelled."""
+    values = table(spark, sf_dir, "value_pdf").withColumn("field", field_name(F.col("field")))
+    layout = with_each(values.select("year", "quarter").distinct(), table(spark, sf_dir, "field_rule").select("sheet", "field", "row_no", "label"))
+    sums = values.groupBy("sheet", "field", "year", "quarter").agg(F.count("value").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return merge.layout_map(layout, sums, ["sheet", "field", "year", "quarter"], "row_no")
+
+
 def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without an embedding."""
     return merge.missing_keys(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k")), table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k")), ["k"])
@@ -263,6 +271,6 @@ QUERIES = {
         reconcile_order_totals, reconcile_sources, formula_check, validation_summary, parse_thousands, parse_locale_decimal, parse_mixed_number, normalize_line, number_tokens, current_value,
         normalize_text, clean_whitespace, snake_case_names, content_hash, scale_floor_trunc, period_key, period_parse, provenance_primary, fallback_chain, top_orders, reference_check, section_total,
         coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross, normalize_frame, report_rows, split_documents, combined_vectors,
-        section_total_all, report_rows_all, combined_vectors_all,
+        section_total_all, report_rows_all, combined_vectors_all, layout_map_all,
     )
 }

@@ -154,3 +154,8 @@ SQL["report_rows_all"] = f"""
          else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{{:,}}', calculated), '-') || ', found ' || coalesce(format('{{:,}}', reported), '-') || ', off by ' || coalesce(format('{{:,}}', reported - calculated), '-') end as line
   from ({_TOTALS})"""
 SQL["combined_vectors_all"] = "select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last from embeddings"
+SQL["layout_map_all"] = """
+  with v as (select * replace (regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as field) from value_pdf),
+       s as (select sheet, field, year, quarter, count(value) as n, round(sum(value), 2) as total from v group by all)
+  select r.sheet, r.field, p.year, p.quarter, row_no, label, n, total from field_rule r cross join (select distinct year, quarter from v) p
+  left join s on r.sheet = s.sheet and r.field = s.field and p.year = s.year and p.quarter = s.quarter"""

@@ -57,3 +57,8 @@ def test_instant_field_of_a_fourth_quarter(spark):
     mappings = spark.createDataFrame([("acciones", "Shares", [], "instant", False, False, None), ("ventas", "Sales", [], "duration", True, False, None)], kind)
     got = sheets.from_filings(facts, contexts, mappings, F.lit(2024), F.lit(4)).collect()
     assert {(r.field, r.value) for r in got} == {("acciones", 50.0), ("ventas", 2.0)}
+
+
+def test_layout_holds_every_figure(spark, data):
+    values = spark.read.parquet(f"{data}/value_pdf.parquet")
+    assert rows_of(spark, data, "layout_map_all").agg(F.sum("n")).first()[0] == values.where("value is not null").count()
