@@ -65,16 +65,16 @@ def p2_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _figures(spark, sf_dir, texts=True)
     level = survivors.learn_precedence(rows, _FIGURE, "kind", "ts").level(F.col("kind"))
     trusted = [*_trust(), *survivors.latest_first(F.col("ts"), level, stamps_first=True)]
-    current = survivors.latest_first(F.col("ts"), level, stamps_first=False)
     values = {
         "raw_value": (trusted, F.col("usable"), F.trim("raw_value")),
         "location": (trusted, F.col("placed"), F.trim("location")),
-        "current_raw": (current, F.col("usable"), F.trim("raw_value")),
         "confidence": (trusted, F.lit(True), F.col("share") / 100),
         "latest_ts": (survivors.latest_first(F.col("ts"), level, stamps_first=True), F.lit(True), F.col("ts")),
     }
-    golden = survivors.best_of_groups(rows, _FIGURE, "prov_id", trusted, {}, values)
-    return golden.select("group_id", "n_rows", "survivor_id", F.col("fld").alias("field"), F.floor((F.col("quarter") - 1) / 4).cast("int").alias("year"), (F.pmod(F.col("quarter") - 1, F.lit(4)) + 1).cast("int").alias("quarter"), *values)
+    order = survivors.partial_order_values("current", F.col("ts"), level, F.col("usable"), F.trim("raw_value"))
+    golden = survivors.best_of_groups(rows, _FIGURE, "prov_id", trusted, {}, values | order)
+    current_raw = survivors.topologically_latest("current").alias("current_raw")
+    return golden.select("group_id", "n_rows", "survivor_id", F.col("fld").alias("field"), F.floor((F.col("quarter") - 1) / 4).cast("int").alias("year"), (F.pmod(F.col("quarter") - 1, F.lit(4)) + 1).cast("int").alias("quarter"), "raw_value", "location", current_raw, "confidence", "latest_ts")
 
 
 def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:

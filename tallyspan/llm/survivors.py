@@ -101,6 +101,32 @@ def latest_first(ts: Column, level: Column, stamps_first: bool) -> list[Column]:
     return [stamp, step] if stamps_first else [step, stamp]
 
 
+def partial_order_values(prefix: str, ts: Column, level: Column, meets: Column, value: Column) -> dict[str, tuple[Sequence[Column], Column, Column]]:
+    """Entries of best_of_groups' ``values`` from which topologically_latest takes the latest row that meets a condition: the newest stamped row, the unstamped one of the highest level, and the highest level of a stamped row."""
+    stamped, row = ts.isNotNull(), F.struct(level.alias("level"), value.alias("value"))
+    step = -F.coalesce(level, F.lit(-1)).cast("int")
+    return {
+        f"{prefix}_stamped": ([-F.unix_micros(ts), step], meets & stamped, row),
+        f"{prefix}_unstamped": ([step], meets & ~stamped, row),
+        f"{prefix}_highest": ([step], meets & stamped & level.isNotNull(), level),
+    }
+
+
+def topologically_latest(prefix: str) -> Column:
+    """Value of the latest row of a group's partial order; null where no row meets the condition.
+
+    Stamps decide between stamped rows, levels where a stamp is missing, and
+    an unknown level isn't comparable. So the newest stamped row is the
+    latest, unless an unstamped one has a higher level than it and than all
+    other stamped rows: were one of those higher, it would be later than the
+    unstamped row, and the newest stamped row later still. Of rows that aren't
+    comparable the stamped one counts.
+    """
+    stamped, unstamped = F.col(f"{prefix}_stamped"), F.col(f"{prefix}_unstamped")
+    replaces = stamped["level"].isNotNull() & (unstamped["level"] > F.col(f"{prefix}_highest"))
+    return F.when(stamped.isNull() | F.coalesce(replaces, F.lit(False)), unstamped["value"]).otherwise(stamped["value"])
+
+
 def best_of_groups(
     df: DataFrame,
     keys: Sequence[str],
