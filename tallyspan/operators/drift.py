@@ -15,6 +15,7 @@ of the partitions, and each holds one file's profile.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import re
@@ -90,11 +91,19 @@ def kind_of(value: object) -> str | None:
     return "list" if isinstance(value, list) else "object"
 
 
+def _bounded(text: str, most: int) -> str:
+    """The text, or a hash of the whole of it where it is longer than ``most``; the hash has a 9 if the text has one."""
+    if len(text) <= most:
+        return text
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    return ("9~" if "9" in text else "~") + digest.replace("9", "x")
+
+
 def sketch(value: object) -> object:
-    """A bounded form of a value: numbers and flags as they are, texts as their letter-digit shape and first characters."""
+    """A bounded form of a value: numbers and flags as they are, texts as the letter-digit shape and the content of the whole text, hashed where long."""
     if isinstance(value, str):
-        shape = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", value[:64]))
-        return [shape, value[:32]]
+        shape = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", value))
+        return [_bounded(shape, 64), _bounded(value, 32)]
     if isinstance(value, (list, dict)):
         return len(value)
     if isinstance(value, float) and not math.isfinite(value):
