@@ -3,9 +3,10 @@
 A BK-tree per block (here a sheet and section) holds the reference entries
 under the Levenshtein distance, a true metric, so that the triangle inequality
 prunes whole subtrees and every entry within the threshold comes back. Lists
-up to ``MOST_ENTRIES`` are broadcast; longer ones are cut into shards of that
-size by hash, each shard answers the distinct values, and the shards' winners
-merge by distance. A task looks up each distinct value once.
+up to ``MOST_ENTRIES`` are broadcast; of longer ones the entries and their
+beginnings are settled over the whole list and cut into shards of that size,
+each shard answers the distinct values, and the shards' winners merge by
+distance. A task looks up each distinct value once.
 
 Values are normalised before the distance is taken (case, accents, numbering,
 notes, units, letters read as digits, short connecting words), and forms that
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -141,10 +142,19 @@ class Matcher:
                 whole[c] = min(whole.get(c, (order, target)), (order, target))
                 for f in cut_forms(text):
                     cut.setdefault(f, set()).add((order, target))
-        self.whole = BKTree(whole)
-        self.told: dict[str, tuple | None] = {}
         # a beginning shared by several targets tells nothing
-        self.cut = BKTree({f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= 4 and f not in whole})
+        self._plant(whole, {f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= 4 and f not in whole})
+
+    @classmethod
+    def of_forms(cls, forms: Sequence[tuple[str, str, int, int]]) -> Matcher:
+        """The trees of some of a block's forms (form, target, order, stage), which settled_forms has chosen over all of its entries."""
+        self = cls.__new__(cls)
+        self._plant(*({f: (order, target) for f, target, order, at in forms if at == stage} for stage in (0, 1)))
+        return self
+
+    def _plant(self, whole: dict[str, tuple[int, str]], cut: dict[str, tuple[int, str]]) -> None:
+        self.whole, self.cut = BKTree(whole), BKTree(cut)
+        self.told: dict[str, tuple | None] = {}
 
     def best(self, text: str) -> tuple[int, int, int, str, str] | None:
         """(stage, distance, order, target, entry): the nearest whole entry (stage 0), else the nearest beginning (1); ties go to the least order."""
@@ -166,11 +176,11 @@ class Matcher:
 _FOUND = "stage int, distance int, order int, target string, entry string"
 
 
-def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str]):
-    """Task function: looks up the values of its rows, each distinct one once."""
+def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str], make: Callable[[Sequence[tuple]], Matcher]):
+    """Task function: looks up the values of its rows, each distinct one once. ``make`` builds a block's trees from its entries without the block."""
     by_block: dict[tuple, list] = {}
-    for *b, entry, target, order in entries:
-        by_block.setdefault(tuple(b), []).append((entry, target, order))
+    for e in entries:
+        by_block.setdefault(e[: len(block)], []).append(e[len(block) :])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees: dict[tuple, Matcher] = {}
@@ -181,7 +191,7 @@ def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str])
                 if row not in seen:
                     at, value = row[:-1], row[-1]
                     if at not in trees:
-                        trees[at] = Matcher(by_block.get(at, []))
+                        trees[at] = make(by_block.get(at, []))
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen[row] = (value is not None and trees[at].best(value)) or (None,) * 5
@@ -192,9 +202,29 @@ def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str])
     return run
 
 
-def _looked_up(rows: DataFrame, entries: list[tuple], block: list[str], text: str, keep: list[str]) -> DataFrame:
+def _looked_up(rows: DataFrame, entries: list[tuple], block: list[str], text: str, keep: list[str], make: Callable[[Sequence[tuple]], Matcher] = Matcher) -> DataFrame:
     schema = ", ".join([*(f"`__k_{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema), _FOUND])
-    return rows.mapInPandas(_answers(entries, block, text, keep), schema)
+    return rows.mapInPandas(_answers(entries, block, text, keep, make), schema)
+
+
+def settled_forms(entries: DataFrame, block: list[str]) -> DataFrame:
+    """``(block, form, target, order, stage)``: what Matcher looks up, for lists of any length: whole entries (stage 0), and the beginnings (1) that stand for one target and aren't whole entries, over all entries of a block."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for *b, entry, target, order in zip(*[batch[c] for c in (*block, "entry", "target", "order")]):
+                if c := core(entry):
+                    out += [(*b, f, target, order, stage) for stage, fs in enumerate(([c], [f for f in cut_forms(entry) if len(f) >= 4])) for f in fs]
+            yield pd.DataFrame(out, columns=[*block, "form", "target", "order", "stage"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in entries.schema}
+    shape = ", ".join([*(f"`{b}` {kinds[b]}" for b in block), "form string", "target string", "order int", "stage int"])
+    forms = entries.mapInPandas(run, shape)
+    first = lambda stage: F.min(F.when(F.col("stage") == stage, F.struct("order", "target")))
+    told = forms.groupBy(*block, "form").agg(first(0).alias("w"), first(1).alias("c"), F.count_distinct(F.when(F.col("stage") == 1, F.col("target"))).alias("n"))
+    kept = told.where("w is not null or n = 1").withColumn("b", F.coalesce("w", "c"))
+    return kept.select(*block, "form", "b.target", "b.order", F.when(F.col("w").isNull(), 1).otherwise(0).alias("stage"))
 
 
 def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: DataFrame, keep: list[str], most: int = MOST_ENTRIES) -> DataFrame:
@@ -202,10 +232,11 @@ def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: Data
 
     ``entries`` has the block columns, ``entry``, ``target`` and ``order``
     (ties go to the least). Null, empty and unmatched values give nulls;
-    repeated rows come out each. Longer lists are taken in shards of ``most``
-    entries: each shard answers the distinct values, their winners merge, and
+    repeated rows come out each. Longer lists are taken in shards
+    of ``most`` entries and beginnings: each shard answers the distinct values, their winners merge, and
     the result is joined back on value and block (a null block column matches
-    nothing there).
+    nothing there). Which beginnings count is settled over the whole list before
+    it is cut, so that the shards answer as one tree would.
     """
     ship_package(rows.sparkSession)
     columns = [*block, "entry", "target", "order"]
@@ -217,14 +248,12 @@ def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: Data
     value = [*block, text]
     asked = written(rows.select(*value).distinct(), "asked")
     won = None
-    for shard in _shards(entries.select(*columns), most):
-        told = written(_looked_up(asked, shard, block, text, value).where("target is not null"), "shard")
+    for shard in _shards(written(settled_forms(entries.select(*columns), block), "forms"), most):
+        told = written(_looked_up(asked, shard, block, text, value, Matcher.of_forms).where("target is not null"), "shard")
         won = told if won is None else won.unionByName(told)
     hashed = [f"__k_{c}" for c in value]
-    # a beginning that stands for several targets tells nothing, whatever shards they are in
-    by_entry = won.groupBy(*hashed, "stage", "entry").agg(F.min(F.struct("distance", "order", "target")).alias("b"), F.count_distinct("target").alias("n")).where("stage = 0 or n = 1")
-    best = by_entry.groupBy(*hashed).agg(F.min(F.struct("stage", "b", "entry")).alias("w"))
-    best = best.select(*[F.col(h).alias(c) for h, c in zip(hashed, value)], F.col("w.b.target").alias("__target"), F.col("w.b.distance").alias("__distance"), F.col("w.entry").alias("__entry"))
+    best = won.groupBy(*hashed).agg(F.min(F.struct("stage", "distance", "order", "target", "entry")).alias("w"))
+    best = best.select(*[F.col(h).alias(c) for h, c in zip(hashed, value)], F.col("w.target").alias("__target"), F.col("w.distance").alias("__distance"), F.col("w.entry").alias("__entry"))
     return slim.join(best, value, "left").select(*keep, F.col("__target").alias("target"), F.col("__distance").alias("distance"), F.col("__entry").alias("entry"))
 
 
