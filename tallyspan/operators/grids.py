@@ -34,7 +34,9 @@ def parse_grid(rows: DataFrame, key: Sequence[str], row: str, cells: str, labels
         named = there.withColumn("concepto", match_label_or_total(F.col("__text"), labels)).where("concepto is not null")
     else:
         labelled = with_section_label(there, F.col("__text"), section, labels, "__label")
-        named = labelled.withColumn("concepto", F.coalesce("__label", match_label_or_total(F.col("__text"), []))).where("concepto is not null")
+        meant = F.coalesce("__label", match_label_or_total(F.col("__text"), []))
+        # exploded rather than filtered, as a filter would be pushed down and match the labels again
+        named = labelled.select(*key, row, "__cells", "line", F.explode(F.array_compact(F.array(meant))).alias("concepto"))
     return named.select(*key, row, "line", "concepto", values_at(value_columns(F.col("__cells")), F.col("line"), compact).alias("values"))
 
 
