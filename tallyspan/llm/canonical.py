@@ -5,8 +5,9 @@ under the Levenshtein distance, a true metric, so that the triangle inequality
 prunes whole subtrees and every entry within the threshold comes back. Lists
 up to ``MOST_ENTRIES`` are broadcast; of longer ones the entries and their
 beginnings are settled over the whole list and cut into shards of that size,
-each shard answers the distinct values, and the shards' winners merge by
-distance. A task looks up each distinct value once.
+each shard answers every chunk of the distinct values in one distributed job,
+and the shards' winners merge by distance. A task looks up each distinct value
+once.
 
 Values are normalised before the distance is taken (case, accents, numbering,
 notes, units, letters read as digits, short connecting words), and forms that
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,12 +27,27 @@ from pyspark.sql import functions as F
 
 from tallyspan.session import ship_package, written
 
-#: Entries of one broadcast tree.
+#: Entries of one broadcast tree, and about as many of a shard.
 MOST_ENTRIES = 20_000
-#: Edits allowed per character, and at most.
-EDITS_PER_CHARACTER, MOST_EDITS = 0.28, 6
-#: Least share of an entry that a cut-off form must keep.
-KEPT_SHARE = 0.55
+#: Distinct values that meet a shard in one group.
+CHUNK = 50_000
+
+
+@dataclass(frozen=True)
+class Tolerance:
+    """How far a value may be from an entry: edits allowed per character and at most, and for cut-off forms the least share of the entry that must be kept, the least length of a beginning, and its edits."""
+
+    per_character: float = 0.28
+    most_edits: int = 6
+    kept_share: float = 0.55
+    least_beginning: int = 4
+    beginning_edits: int = 2
+
+    def edits(self, text: str) -> int:
+        return min(self.most_edits, int(len(text) * self.per_character))
+
+
+USUAL = Tolerance()
 #: Values that a task remembers before it forgets all.
 REMEMBERED = 200_000
 
@@ -120,35 +137,33 @@ class BKTree:
         return sorted(found)
 
 
-def edits_allowed(text: str) -> int:
-    return min(MOST_EDITS, int(len(text) * EDITS_PER_CHARACTER))
-
-
-def cut_forms(text: str) -> list[str]:
+def cut_forms(text: str, tolerance: Tolerance = USUAL) -> list[str]:
     """The beginnings of an entry that a cut-off value may show, compared as cores."""
     plain = undecorated(text)
-    return [core(plain[:n]) for n in range(max(4, int(len(plain) * KEPT_SHARE)), len(plain))]
+    return [core(plain[:n]) for n in range(max(tolerance.least_beginning, int(len(plain) * tolerance.kept_share)), len(plain))]
 
 
 class Matcher:
     """The trees of one block: whole entries and their beginnings. Entries are (text, target, order)."""
 
-    def __init__(self, entries: Sequence[tuple[str, str, int]]):
+    def __init__(self, entries: Sequence[tuple[str, str, int]], tolerance: Tolerance = USUAL):
+        self.tolerance = tolerance
         whole: dict[str, tuple[int, str]] = {}
         cut: dict[str, set[tuple[int, str]]] = {}
         for text, target, order in entries:
             c = core(text)
             if c:
                 whole[c] = min(whole.get(c, (order, target)), (order, target))
-                for f in cut_forms(text):
+                for f in cut_forms(text, tolerance):
                     cut.setdefault(f, set()).add((order, target))
         # a beginning shared by several targets tells nothing
-        self._plant(whole, {f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= 4 and f not in whole})
+        self._plant(whole, {f: min(t) for f, t in cut.items() if len({x for _, x in t}) == 1 and len(f) >= tolerance.least_beginning and f not in whole})
 
     @classmethod
-    def of_forms(cls, forms: Sequence[tuple[str, str, int, int]]) -> Matcher:
+    def of_forms(cls, forms: Sequence[tuple[str, str, int, int]], tolerance: Tolerance = USUAL) -> Matcher:
         """The trees of some of a block's forms (form, target, order, stage), which settled_forms has chosen over all of its entries."""
         self = cls.__new__(cls)
+        self.tolerance = tolerance
         self._plant(*({f: (order, target) for f, target, order, at in forms if at == stage} for stage in (0, 1)))
         return self
 
@@ -166,7 +181,8 @@ class Matcher:
         return self.told[c]
 
     def _nearest(self, c: str) -> tuple[int, int, int, str, str] | None:
-        for stage, (tree, most) in enumerate(((self.whole, edits_allowed(c)), (self.cut, min(2, edits_allowed(c))))):
+        allowed = self.tolerance.edits(c)
+        for stage, (tree, most) in enumerate(((self.whole, allowed), (self.cut, min(self.tolerance.beginning_edits, allowed)))):
             near = [(0, c)] if c in tree.value else tree.within(c, most)
             if near:
                 return (stage, *min((d, *tree.value[e], e) for d, e in near))
@@ -174,40 +190,46 @@ class Matcher:
 
 
 _FOUND = "stage int, distance int, order int, target string, entry string"
+_NONE = (None,) * 5
+
 
+def _told(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=["stage", "distance", "order", "target", "entry"]).astype({"stage": "Int32", "distance": "Int32", "order": "Int32"})
 
-def _answers(entries: list[tuple], block: list[str], text: str, keep: list[str], make: Callable[[Sequence[tuple]], Matcher]):
-    """Task function: looks up the values of its rows, each distinct one once. ``make`` builds a block's trees from its entries without the block."""
-    by_block: dict[tuple, list] = {}
+
+def _by_block(entries: Sequence[tuple], width: int) -> dict[tuple, list[tuple]]:
+    found: dict[tuple, list] = {}
     for e in entries:
-        by_block.setdefault(e[: len(block)], []).append(e[len(block) :])
+        found.setdefault(tuple(e[:width]), []).append(tuple(e[width:]))
+    return found
+
+
+def _looked_up(rows: DataFrame, entries: list[tuple], block: list[str], text: str, keep: list[str], tolerance: Tolerance) -> DataFrame:
+    """Rows with the best entry of their block, looked up in one tree per block; each distinct value of a task once."""
+    by_block, asked = _by_block(entries, len(block)), [f"__b{i}" for i in range(len(block))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees: dict[tuple, Matcher] = {}
         seen: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
-            for row in zip(*[batch[b] for b in block], batch[text]):
+            for row in zip(*[batch[b] for b in asked], batch["__text"]):
                 if row not in seen:
                     at, value = row[:-1], row[-1]
                     if at not in trees:
-                        trees[at] = make(by_block.get(at, []))
+                        trees[at] = Matcher(by_block.get(at, []), tolerance)
                     if len(seen) >= REMEMBERED:
                         seen.clear()
-                    seen[row] = (value is not None and trees[at].best(value)) or (None,) * 5
+                    seen[row] = (value is not None and trees[at].best(value)) or _NONE
                 out.append(seen[row])
-            told = pd.DataFrame(out, columns=["stage", "distance", "order", "target", "entry"]).astype({"stage": "Int32", "distance": "Int32", "order": "Int32"})
-            yield pd.concat([batch[keep].reset_index(drop=True).add_prefix("__k_"), told], axis=1)
-
-    return run
-
+            yield pd.concat([batch[[f"__k_{k}" for k in keep]].reset_index(drop=True), _told(out)], axis=1)
 
-def _looked_up(rows: DataFrame, entries: list[tuple], block: list[str], text: str, keep: list[str], make: Callable[[Sequence[tuple]], Matcher] = Matcher) -> DataFrame:
+    slim = rows.select(*[F.col(k).alias(f"__k_{k}") for k in keep], *[F.col(b).cast("string").alias(a) for b, a in zip(block, asked)], F.col(text).alias("__text"))
     schema = ", ".join([*(f"`__k_{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema), _FOUND])
-    return rows.mapInPandas(_answers(entries, block, text, keep, make), schema)
+    return slim.mapInPandas(run, schema)
 
 
-def settled_forms(entries: DataFrame, block: list[str]) -> DataFrame:
+def settled_forms(entries: DataFrame, block: list[str], tolerance: Tolerance = USUAL) -> DataFrame:
     """``(block, form, target, order, stage)``: what Matcher looks up, for lists of any length: whole entries (stage 0), and the beginnings (1) that stand for one target and aren't whole entries, over all entries of a block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,7 +237,8 @@ def settled_forms(entries: DataFrame, block: list[str]) -> DataFrame:
             out = []
             for *b, entry, target, order in zip(*[batch[c] for c in (*block, "entry", "target", "order")]):
                 if c := core(entry):
-                    out += [(*b, f, target, order, stage) for stage, fs in enumerate(([c], [f for f in cut_forms(entry) if len(f) >= 4])) for f in fs]
+                    cut = [f for f in cut_forms(entry, tolerance) if len(f) >= tolerance.least_beginning]
+                    out += [(*b, f, target, order, stage) for stage, fs in enumerate(([c], cut)) for f in fs]
             yield pd.DataFrame(out, columns=[*block, "form", "target", "order", "stage"])
 
     kinds = {f.name: f.dataType.simpleString() for f in entries.schema}
@@ -227,46 +250,54 @@ def settled_forms(entries: DataFrame, block: list[str]) -> DataFrame:
     return kept.select(*block, "form", "b.target", "b.order", F.when(F.col("w").isNull(), 1).otherwise(0).alias("stage"))
 
 
-def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: DataFrame, keep: list[str], most: int = MOST_ENTRIES) -> DataFrame:
-    """``keep`` with ``target``, ``distance`` and ``entry`` of the nearest reference entry of the row's block; null where none is within the threshold.
+def map_to_reference(rows: DataFrame, text: str, block: list[str], entries: DataFrame, keep: list[str], most: int = MOST_ENTRIES, tolerance: Tolerance = USUAL, chunk: int = CHUNK) -> DataFrame:
+    """``keep`` with ``target``, ``distance`` and ``entry`` of the nearest reference entry of the row's block; null where none is within the tolerance.
 
     ``entries`` has the block columns, ``entry``, ``target`` and ``order``
     (ties go to the least). Null, empty and unmatched values give nulls;
-    repeated rows come out each. Longer lists are taken in shards
-    of ``most`` entries and beginnings: each shard answers the distinct values, their winners merge, and
-    the result is joined back on value and block (a null block column matches
-    nothing there). Which beginnings count is settled over the whole list before
-    it is cut, so that the shards answer as one tree would.
+    repeated rows come out each; blocks are compared as text, and a null block
+    is a block of its own. Lists above ``most`` entries are answered in shards,
+    with the same results.
     """
     ship_package(rows.sparkSession)
-    columns = [*block, "entry", "target", "order"]
-    slim = rows.select(*dict.fromkeys([*keep, *block, text]))
+    columns = [*[F.col(b).cast("string").alias(b) for b in block], "entry", "target", "order"]
     kept = [F.col(f"__k_{c}").alias(c) for c in keep]
     head = entries.select(*columns).limit(most + 1).collect()
     if len(head) <= most:
-        return _looked_up(slim, [tuple(r) for r in head], block, text, keep).select(*kept, "target", "distance", "entry")
-    value = [*block, text]
-    asked = written(rows.select(*value).distinct(), "asked")
-    won = None
-    for shard in _shards(written(settled_forms(entries.select(*columns), block), "forms"), most):
-        told = written(_looked_up(asked, shard, block, text, value, Matcher.of_forms).where("target is not null"), "shard")
-        won = told if won is None else won.unionByName(told)
-    hashed = [f"__k_{c}" for c in value]
-    best = won.groupBy(*hashed).agg(F.min(F.struct("stage", "distance", "order", "target", "entry")).alias("w"))
-    best = best.select(*[F.col(h).alias(c) for h, c in zip(hashed, value)], F.col("w.target").alias("__target"), F.col("w.distance").alias("__distance"), F.col("w.entry").alias("__entry"))
-    return slim.join(best, value, "left").select(*keep, F.col("__target").alias("target"), F.col("__distance").alias("distance"), F.col("__entry").alias("entry"))
-
-
-def _shards(entries: DataFrame, most: int) -> Iterator[list[tuple]]:
-    """Shards of at most ``most`` entries, one at a time on the driver."""
-    shard: list[tuple] = []
-    for r in entries.toLocalIterator():
-        shard.append(tuple(r))
-        if len(shard) == most:
-            yield shard
-            shard = []
-    if shard:
-        yield shard
+        return _looked_up(rows, [tuple(r) for r in head], block, text, keep, tolerance).select(*kept, "target", "distance", "entry")
+    return _sharded(rows, text, block, entries.select(*columns), keep, most, tolerance, chunk)
+
+
+def _sharded(rows: DataFrame, text: str, block: list[str], entries: DataFrame, keep: list[str], most: int, tolerance: Tolerance, chunk: int) -> DataFrame:
+    """The answers of a list of any length: each shard of about ``most`` forms meets each chunk of about ``chunk`` distinct values in one group of one job, and the shards' winners merge.
+
+    Which beginnings count is settled over the whole list before it is cut, so
+    that the shards answer as one tree would.
+    """
+    asked = [f"__b{i}" for i in range(len(block))]
+    value = [*asked, "__text"]
+    slim = rows.select(*[F.col(k).alias(f"__k_{k}") for k in keep], *[F.col(b).cast("string").alias(a) for b, a in zip(block, asked)], F.col(text).alias("__text"))
+    forms = written(settled_forms(entries, block, tolerance).select(*[F.col(b).alias(a) for b, a in zip(block, asked)], "form", "target", "order", "stage"), "forms")
+    texts = written(slim.select(*value).where("__text is not null").distinct(), "asked")
+    shards, chunks = -(-forms.count() // most), max(1, -(-texts.count() // chunk))
+    part = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = texts.withColumn("__chunk", part(chunks, *value)).withColumn("__shard", each(shards))
+    right = forms.withColumn("__shard", part(shards, *asked, "form")).withColumn("__chunk", each(chunks))
+
+    def answer(values: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+        by_block = _by_block(list(zip(*[those[c] for c in (*asked, "form", "target", "order", "stage")])), len(asked))
+        trees = {at: Matcher.of_forms(fs, tolerance) for at, fs in by_block.items()}
+        found = [(row, b) for row in zip(*[values[c] for c in value]) if row[:-1] in trees and (b := trees[row[:-1]].best(row[-1]))]
+        return pd.concat([pd.DataFrame([r for r, _ in found], columns=value), _told([b for _, b in found])], axis=1)
+
+    schema = ", ".join([*(f"`{c}` string" for c in value), _FOUND])
+    won = left.groupBy("__shard", "__chunk").cogroup(right.groupBy("__shard", "__chunk")).applyInPandas(answer, schema)
+    best = won.groupBy(*[F.col(c).alias(f"w{i}") for i, c in enumerate(value)]).agg(F.min(F.struct("stage", "distance", "order", "target", "entry")).alias("w"))
+    same = F.lit(True)
+    for i, c in enumerate(value):
+        same = same & F.col(c).eqNullSafe(F.col(f"w{i}"))
+    return slim.join(best, same, "left").select(*[F.col(f"__k_{c}").alias(c) for c in keep], "w.target", "w.distance", "w.entry")
 
 
 def is_blank(c: Column) -> Column:

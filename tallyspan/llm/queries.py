@@ -83,6 +83,11 @@ def p2_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(learnt.transitions), "earlier string, later string, seen bigint, reversed bigint, kept boolean")
 
 
+def p3_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wordings learnt as aliases of a field of their section, with the documents whose figures speak for it."""
+    return concepts.aliases(spark, sf_dir)
+
+
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, entries = concepts.free_items(spark, sf_dir), concepts.reference_entries(spark, sf_dir)
     return canonical.map_to_reference(items, "concepto", ["sheet", "section"], entries, ["item_id", "sheet", "section", "concepto"])
@@ -135,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_precedence": p2_precedence,
     "p3_found": p3_found,
     "p3_unmatched": p3_unmatched,
+    "p3_aliases": p3_aliases,
     "p7_ids": p7_ids,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,

@@ -67,6 +67,28 @@ def test_empty_tables(spark):
     assert canonical.map_to_reference(one, "text", ["block"], entries.where("false"), ["id"]).first().target is None
 
 
+def test_recall_by_length(spark):
+    """Entries with a tenth of their letters changed come back at every length; a tighter tolerance finds fewer."""
+    import random
+
+    rng = random.Random(3)
+    made = ["".join(rng.choice("bcdfgaeiou ") for _ in range(n)) for n in range(8, 90) for _ in range(3)]
+    entries = [(e, e, i) for i, e in enumerate(made) if len(canonical.core(e)) > 7]
+
+    def worn(e):
+        for _ in range(max(1, min(6, len(e) // 10))):
+            at = rng.randrange(len(e))
+            e = e[:at] + "z" + e[at + 1 :]
+        return e
+
+    asked = [(e, worn(canonical.core(e))) for e, _, _ in entries]
+    found = lambda t, lo, hi: [(m := canonical.Matcher(entries, t).best) and (b := m(w)) is not None and b[3] == e for e, w in asked if lo <= len(e) < hi]
+    for lo, hi in ((8, 22), (22, 45), (45, 90)):
+        right = found(canonical.USUAL, lo, hi)
+        assert sum(right) >= 0.97 * len(right)
+        assert sum(found(canonical.Tolerance(0.01, 0, 1.0), lo, hi)) < sum(right)
+
+
 def test_ties_go_to_the_first_entry():
     m = canonical.Matcher([("abcdefgh1x", "late", 2), ("abcdefgh2x", "early", 1)])
     assert m.best("abcdefgh3x")[3] == "early"
