@@ -26,6 +26,7 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import regex
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -36,8 +37,8 @@ from tallyspan.session import ship_package
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3, 4)
 LANDMARKS = 400
-#: What the classifier is fitted on at most: labelled documents per language, sentences in all, sentences per document.
-FIT_DOCUMENTS, FIT_SENTENCES, PER_DOCUMENT = 400, 8000, 16
+#: What the classifier is fitted on at most: labelled documents per language, sentences in all, sentences per document, and files of the table.
+FIT_DOCUMENTS, FIT_SENTENCES, PER_DOCUMENT, FIT_FILES = 400, 8000, 16, 64
 RIDGE = 1.0
 #: Texts whose presence is held at once.
 BLOCK = 512
@@ -76,7 +77,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
     cuts, at = [], 0
     for m in _END.finditer(text):
         end = m.start(1) if m[1] is not None else m.start()
-        if m[1] is not None and text[m.start()] == "." and text[max(at, m.start() - 8) : m.start()].rpartition(" ")[2] in ABBREVIATIONS:
+        if m[1] is not None and text[m.start()] == "." and text[max(at, text.rfind(" ", at, m.start()) + 1) : m.start()] in ABBREVIATIONS:
             continue
         if end > at:
             cuts.append((at, end))
@@ -224,32 +225,47 @@ def fit(samples: Sequence[tuple[str, str]]) -> Classifier:
     return _fitted(kept)
 
 
-def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int = FIT_DOCUMENTS) -> Classifier:
-    """Fit on at most ``per_language`` labelled documents of each language, those with the smallest hash of their id.
+def _of_few_files(df: DataFrame, most: int) -> DataFrame:
+    """The rows of the ``most`` files with the smallest hashes of their paths, where ``df`` reads more files than that; the other files aren't opened."""
+    paths = df.inputFiles()
+    if len(paths) <= most:
+        return df
+    picked = sorted(paths, key=lambda p: (zlib.crc32(p.encode()), p))[:most]
+    local = [p.replace("file:///", "file:/", 1) for p in picked]  # how the metadata column writes local paths
+    try:
+        return df.where(F.col("_metadata.file_path").isin(*{*picked, *local}))
+    except AnalysisException:  # not a plain file source: all its rows are looked at
+        return df
 
-    The ids are chosen from the id and label columns alone. Their texts are
-    read in full and cut into sentences by the executors; the driver gets
-    FIT_SENTENCES sentences at most.
+
+def fit_on(df: DataFrame, doc_id: str, text: str, label: str, per_language: int = FIT_DOCUMENTS, files: int = FIT_FILES) -> Classifier:
+    """Fit on at most ``per_language`` labelled documents of each language, those with the smallest hash of their id among ``files`` files at most.
+
+    One scan of the label column counts each language; from the counts follows
+    a bound of the hash below which twice the wanted documents lie, and one
+    scan of the texts cuts those into sentences on the executors. The driver
+    gets FIT_SENTENCES sentences at most.
     """
     ship_package(df.sparkSession)
-    coded = df.select(F.col(doc_id).alias("__id"), language_code(F.col(label)).alias("__code"))
-    chosen = None
-    for code in LANGUAGES:
-        part = coded.where(F.col("__code") == code).orderBy(F.xxhash64("__id"), "__id").limit(per_language)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    texts = df.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text")).where("__text is not null")
-    rows = texts.join(F.broadcast(chosen.distinct()), F.col("__doc") == F.col("__id")).limit(per_language * len(LANGUAGES))
+    code, hashed = language_code(F.col(label)), F.xxhash64(F.col(doc_id))
+    few = _of_few_files(df, files)
+    there = {r[0]: r[1] for r in few.groupBy(code.alias("code")).count().where("code is not null").collect()}
+    if not there:
+        return _fitted([])
+    bound = lambda n: min(2**63 - 1, int(2**64 * 2 * per_language / n) - 2**63)
+    below = F.create_map(*[F.lit(x) for lang, n in sorted(there.items()) for x in (lang, bound(n))])
+    rows = few.select(code.alias("lang"), hashed.alias("doc"), F.col(text).alias("text")).where(F.col("text").isNotNull() & (F.col("doc") <= F.try_element_at(below, F.col("lang"))))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(lang, d, h, s) for lang, d, t in zip(batch["lang"], batch["doc"], batch["text"]) for h, s in sorted(training_sentences(t))[:PER_DOCUMENT]]
             yield pd.DataFrame(found, columns=["lang", "doc", "hash", "sentence"])
 
-    slim = rows.select(F.col("__code").alias("lang"), F.xxhash64("__id").alias("doc"), F.col("__text").alias("text"))
-    pieces = slim.mapInPandas(cut, "lang string, doc bigint, hash bigint, sentence string")
-    ranked = pieces.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("doc", "hash", "sentence")))
-    kept = ranked.where(F.col("n") <= FIT_SENTENCES // len(LANGUAGES)).select("lang", "doc", "sentence").collect()
-    return _fitted(sorted(map(tuple, kept)))
+    pieces = rows.mapInPandas(cut, "lang string, doc bigint, hash bigint, sentence string")
+    by_lang = W.partitionBy("lang")
+    ranked = pieces.withColumn("d", F.dense_rank().over(by_lang.orderBy("doc"))).withColumn("n", F.row_number().over(by_lang.orderBy("doc", "hash", "sentence")))
+    wanted = (F.col("d") <= per_language) & (F.col("n") <= FIT_SENTENCES // len(LANGUAGES))
+    return _fitted(sorted(map(tuple, ranked.where(wanted).select("lang", "doc", "sentence").collect())))
 
 
 def best_path(scores: np.ndarray, weights: np.ndarray) -> list[int]:
@@ -279,7 +295,7 @@ def stretches(texts: Sequence[str | None], model: Classifier) -> list[list[tuple
             if len(s) > 2:
                 spans.append((i, a, b))
                 plain.append(s)
-                ended.append(t[max(a, b - 8) : b].rstrip(" \"»”')]\u200b")[-1:] in _MARKS)
+                ended.append(t[a:b].rstrip(" \"»”')]\u200b")[-1:] in _MARKS)
     out: list[list[tuple]] = [[] for _ in texts]
     if not plain:
         return out

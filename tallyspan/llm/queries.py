@@ -186,4 +186,32 @@ with p as (
 select earlier, later, seen, reversed, seen >= 5 and seen >= 1.2 * reversed as kept from pairs
 """
 
-SQL: dict[str, str] = {"p2_found": _P2, "p2_precedence": _P2_TRANSITIONS}
+_P2_GOLDEN = f"""
+with edges as (select earlier, later from ({_P2_TRANSITIONS}) where kept), kinds as (select distinct earlier as kind from ({_P2_TRANSITIONS})),
+levels as (
+  select kind, case when exists (select 1 from edges a join edges b on a.later = b.earlier where b.later = kind) then 2 when exists (select 1 from edges where later = kind) then 1 else 0 end as level from kinds
+), p as (
+  select prov_id, ts, trim(raw_value) as raw, trim(location) as loc, regexp_matches(coalesce(raw_value, ''), '[0-9]') as usable, trim(coalesce(location, '')) <> '' as placed,
+         regexp_replace(filer_id, '[^0-9]', '', 'g') as filer, regexp_replace(segment_id, '[^0-9]', '', 'g') as segment, regexp_extract(period, '[0-9]{{4}}')::int as year,
+         replace(replace(replace(replace(regexp_extract(regexp_replace(upper(period), '[0-9]{{4}}', ''), '(IV|III|II|I|[1-4])'), 'IV', '4'), 'III', '3'), 'II', '2'), 'I', '1')::int as quarter,
+         regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as fld, round(case when confidence > 1 then confidence else confidence * 100 end)::int as share,
+         case when lower(source_type) like '%ocr%' then 'ocr' when lower(source_type) in ('xml', 'xbrl') then 'xml' when lower(source_type) like '%pdf%' then 'text' end as kind
+  from provenance
+), r as (
+  select p.*, level,
+         row_number() over (g order by share desc nulls last, case p.kind when 'xml' then 0 when 'text' then 1 when 'ocr' then 2 else 3 end, ts desc nulls last, prov_id) as rn,
+         row_number() over (g order by ts desc nulls last, level desc nulls last, prov_id) as newest, row_number() over (g order by level desc nulls last, prov_id) as top
+  from p left join levels on levels.kind = p.kind window g as (partition by filer, segment, year, quarter, fld)
+), a as (
+  select min(prov_id) as group_id, count(*) as n_rows, arg_min(prov_id, rn) as survivor_id, fld as field, year, quarter, arg_min(raw, rn) filter (usable) as raw_value, arg_min(loc, rn) filter (placed) as location,
+         arg_min(coalesce(share, -1), rn) as s, max(ts) as latest_ts,
+         arg_min(raw, newest) filter (usable and ts is not null) as stamped, arg_min(coalesce(level, -1), newest) filter (usable and ts is not null) as stamped_level,
+         arg_min(raw, top) filter (usable and ts is null) as unstamped, arg_min(coalesce(level, -1), top) filter (usable and ts is null) as unstamped_level, max(level) filter (usable and ts is not null) as highest
+  from r group by filer, segment, year, quarter, fld having count(*) >= 2
+)
+select group_id, n_rows, survivor_id, field, year, quarter, raw_value, location, case when s >= 0 then s / 100.0 end as confidence, latest_ts,
+       case when stamped is null or (stamped_level >= 0 and unstamped_level > highest) then unstamped else stamped end as current_raw
+from a
+"""
+
+SQL: dict[str, str] = {"p2_found": _P2, "p2_precedence": _P2_TRANSITIONS, "p2_golden": _P2_GOLDEN}

@@ -69,3 +69,22 @@ def test_whole_table(spark, data, theirs):
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
     got = {r.doc_id: r.ids for r in bpe.encode_column(docs, "text", ["doc_id"]).collect()}
     assert got == {d: theirs.encode_ordinary(t) if t else [] for d, t in texts.items()}
+
+
+def test_corpus_and_blocks_give_the_same_ids(spark, data, theirs):
+    """With the whole dictionary, a part of it and none: the ids don't depend on which words were replayed beforehand."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-i, t) for i, t in enumerate(ODD, 1)], docs.schema)
+    both = docs.unionByName(odd)
+    ids = lambda most: sorted((r.doc_id, r.ids) for r in bpe.encode_column(both, "text", ["doc_id"], most=most).collect())
+    whole = ids(bpe.DICTIONARY_WORDS)
+    assert whole == ids(300) == ids(0)
+    assert dict(whole)[-4] == theirs.encode_ordinary(ODD[3])
+
+
+def test_dictionary(spark, theirs):
+    df = spark.createDataFrame([("uno dos uno",), ("uno tres",), (None,), ("",)], "text string")
+    words = bpe.corpus_dictionary(df, "text")
+    assert sorted((r.word, r.n, r.ids) for r in words.collect()) == sorted((w, n, theirs.encode_ordinary(w)) for w, n in (("uno", 2), (" dos", 1), (" uno", 1), (" tres", 1)))
+    assert set(bpe.frequent_words(words, 2)) == {"uno"} and len(bpe.frequent_words(words, 4)) == 4 and bpe.frequent_words(words, 0) == {}
+    assert bpe.corpus_dictionary(df.where("false"), "text").count() == 0

@@ -75,17 +75,39 @@ def test_detect_rows(spark, model):
     assert language.detect(df.where("false")).count() == 0
 
 
+def _labelled(spark, data):
+    code = {n: c for c, names in language.LANGUAGE_NAMES.items() for n in names}
+    return [(code[r.lang], r.text) for r in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").collect() if r.lang in code and r.text]
+
+
 def test_held_out_accuracy_with_noisy_labels(spark, data):
-    """Fitted on half the documents with their given labels, a tenth of them made wrong, sentences of the others agree with clean labels."""
+    """Fitted on half the documents with their given labels, a tenth of them made wrong: sentences that no document holds get their language, and the other half mostly agrees with its labels."""
     rng = random.Random(5)
-    code = {n: c for c, names in language.LANGUAGE_NAMES.items() for n in names}
-    docs = [(code[r.lang], r.text) for r in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").collect() if r.lang in code and r.text]
-    fit = [(rng.choice(language.LANGUAGES) if rng.random() < 0.1 else lang, t) for lang, t in docs[::2]]
-    fit += [(lang, t) for lang, all_ in TEXTS.items() for t in all_]
-    model = language.fit(fit)
-    held = [(lang, s) for lang, all_ in TEXTS.items() for s in all_]
-    scored = model.scores([language.letters_only(s) for _, s in held])
+    docs = _labelled(spark, data)
+    seen = {language.letters_only(t[a:b]) for _, t in docs for a, b in language.sentences(t)}
+    held = [(lang, p) for lang, all_ in TEXTS.items() for s in all_ if (p := language.letters_only(s)) not in seen]
+    assert len(held) == 20
+    model = language.fit([(rng.choice(language.LANGUAGES) if rng.random() < 0.1 else lang, t) for lang, t in docs[::2]])
+    scored = model.scores([p for _, p in held])
     assert np.mean([language.LANGUAGES[i] == lang for i, (lang, _) in zip(scored.argmax(axis=1), held)]) >= 0.9
     told = [language.main_language(p) for p in language.stretches([t for _, t in docs[1::2]], model)]
     agree = np.mean([m is not None and m[0] == lang for m, (lang, _) in zip(told, docs[1::2]) if m])
     assert agree >= 0.85  # about a tenth of the given labels are wrong themselves
+
+
+def test_fit_reads_few_files(spark, data, tmp_path):
+    """The sample is bounded by files, and a frame that is no file source is looked at whole."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
+    docs.repartition(6).write.parquet(f"{tmp_path}/d")
+    many = spark.read.parquet(f"{tmp_path}/d")
+    few = language._of_few_files(many, 2)
+    assert len({r[0] for r in few.select("_metadata.file_path").distinct().collect()}) == 2
+    assert language._of_few_files(many, 6) is many
+    assert language._of_few_files(many.join(docs.select("doc_id").distinct(), "doc_id"), 2).count() == docs.join(docs.select("doc_id").distinct(), "doc_id").count()
+    assert language.fit_on(many, "doc_id", "text", "lang", files=3).weights.any()
+    assert not language.fit_on(docs.withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang").weights.any()
+
+
+def test_long_marks():
+    """Closing marks and words of any length before the end of a sentence."""
+    assert [len(p) for p in [language.sentences("Uno dos." + '"' * 20 + " Tres cuatro."), language.sentences("Abcdefghijklmn S.p.A. Siguiente.")]] == [2, 1]
