@@ -5,6 +5,11 @@ files of a series are compared; fields that vanish and fields that appear are
 matched as a bipartite assignment over name similarity and sketches, and the
 matches above a threshold are renames.
 
+Names that have nothing in common but mean the same field are learnt from all
+files, without a list: a *standing* field is one that half of the records have;
+another name stands for it if its values lie in the standing field's domain and
+it is there only where the standing field isn't, more often than chance allows.
+
 The files are range-partitioned by series and order, so that a series holding
 a third of all files is spread over many tasks, and each task streams through
 its sorted files holding one file at a time. What a task can't know, the state
@@ -19,7 +24,8 @@ import hashlib
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field as dc_field
 
 import pandas as pd
@@ -28,19 +34,10 @@ from pyspark.sql import functions as F
 
 from tallyspan.session import ship_package, written
 
-# Other names of the record's own descriptive fields.
-SYNONYMS = {
-    "quarter": ("quarter", "quarter_label", "periodo", "trimestre", "period"),
-    "year": ("year", "anio", "ano", "ejercicio", "fiscal_year"),
-    "quarter_num": ("quarter_num", "q_num", "num_trimestre", "numero_trimestre", "quarter_number"),
-    "period_type": ("period_type", "tipo_periodo", "periodicidad"),
-    "source": ("source", "source_name", "origen", "fuente"),
-    "xbrl_available": ("xbrl_available", "has_xbrl", "tiene_xbrl"),
-}
-_GROUP = {name: group for group, names in SYNONYMS.items() for name in names}
-
-#: Words that a renamed field may gain in front or behind.
-AFFIXES = frozenset(("val", "value", "valor", "musd", "kusd", "usd", "total", "name", "label", "new", "amount", "monto"))
+#: Share of the records that have a standing field, share of a name's values that its domain must hold, and the chance at which the name would miss the standing field that often anyway.
+STANDING, CONTAINED, CHANCE = 0.5, 0.8, 0.01
+#: Counts that a task holds before it hands them on.
+HELD = 100_000
 #: Least score of a rename.
 RENAMED = 0.6
 
@@ -56,23 +53,31 @@ def _short(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
     return len(a) == len(b) and all(x == y or (min(len(x), len(y)) >= 3 and (x.startswith(y) or y.startswith(x))) for x, y in zip(a, b))
 
 
-def name_likeness(a: str, b: str) -> float:
-    """1 for the same words, less for abbreviations, affixes and synonyms, else by shared bigrams."""
-    ta, tb = tokens(a), tokens(b)
+def plain_name(name: str) -> str:
+    return "_".join(tokens(name))
+
+
+def _without_end(t: tuple[str, ...]) -> tuple[tuple[str, ...], ...]:
+    """The words of a name without its first or its last one."""
+    return (t[1:], t[:-1]) if len(t) > 1 else ()
+
+
+def name_likeness(a: str, b: str, groups: Mapping[str, str] | None = None) -> float:
+    """1 for the same words, less where ``groups`` knows them as one field, one has a word more in front or behind, or the words are abbreviated; else by shared bigrams. ``groups``: plain name to standing field."""
+    ta, tb, told = tokens(a), tokens(b), groups or {}
     if ta == tb:
         return 1.0
-    ga, gb = _GROUP.get("_".join(ta)), _GROUP.get("_".join(tb))
+    ga, gb = told.get("_".join(ta)), told.get("_".join(tb))
     if ga is not None and ga == gb:
         return 0.95
     if ga is not None and gb is not None:
         return 0.0
-    core = lambda t: tuple(x for i, x in enumerate(t) if not (x in AFFIXES and i in (0, len(t) - 1)))
-    ca, cb = core(ta), core(tb)
-    if ca and cb and (ca == cb or ca == tb or ta == cb):
+    longer, shorter = (ta, tb) if len(ta) > len(tb) else (tb, ta)
+    if shorter and len(longer) == len(shorter) + 1 and shorter in _without_end(longer):
         return 0.92
     if _short(ta, tb):
         return 0.9
-    if ca and cb and _short(ca, cb):
+    if shorter and any(_short(t, shorter) for t in _without_end(longer)):
         return 0.85
     sa, sb = "".join(ta), "".join(tb)
     ba, bb = {sa[i : i + 2] for i in range(len(sa) - 1)}, {sb[i : i + 2] for i in range(len(sb) - 1)}
@@ -129,11 +134,20 @@ def value_likeness(a: list, b: list) -> float:
     return 0.6
 
 
-def rename_score(old: str, a: list, new: str, b: list, known: frozenset[str]) -> float:
+@dataclass(frozen=True)
+class Names:
+    """What is known of names: ``fields`` are different from each other, ``groups`` maps plain names to the standing field they mean."""
+
+    fields: frozenset[str] = frozenset()
+    groups: Mapping[str, str] = dc_field(default_factory=dict)
+
+
+def rename_score(old: str, a: list, new: str, b: list, names: Names) -> float:
     """Two different known fields are never one field; otherwise the name counts most, and a telling text may stand in for it."""
+    known = names.fields
     if old in known and new in known:
         return 0.0
-    by_name, by_value = name_likeness(old, new), value_likeness(a, b)
+    by_name, by_value = name_likeness(old, new, names.groups), value_likeness(a, b)
     score = 0.8 * by_name + 0.2 * by_value
     telling = a[0] == b[0] == "text" and bool(a[1]) and bool(b[1]) and min(len(a[1][1]), len(b[1][1])) >= 6 and (a[1][1] == b[1][1] or (a[1][0] == b[1][0] and "9" in a[1][0]))
     return max(score, 0.62) if telling and by_name > 0 and new not in known else score
@@ -175,9 +189,9 @@ def assign(score: list[list[float]]) -> list[tuple[int, int]]:
     return sorted((match[j] - 1, j - 1) for j in range(1, m + 1) if match[j])
 
 
-def match_renames(gone: dict[str, list], come: dict[str, list], known: frozenset[str]) -> dict[str, str]:
+def match_renames(gone: dict[str, list], come: dict[str, list], names: Names) -> dict[str, str]:
     olds, news = sorted(gone), sorted(come)
-    score = [[s if (s := rename_score(o, gone[o], n, come[n], known)) >= RENAMED else 0.0 for n in news] for o in olds]
+    score = [[s if (s := rename_score(o, gone[o], n, come[n], names)) >= RENAMED else 0.0 for n in news] for o in olds]
     return {olds[i]: news[j] for i, j in assign(score) if score[i][j] > 0}
 
 
@@ -193,14 +207,14 @@ def profile(content: str | None) -> dict | None:
     return {"wrapped": wrapped, "fields": {k: [kind_of(x), sketch(x)] for k, x in (top["content"] if wrapped else top).items()}}
 
 
-def layout_changes(before: dict, after: dict, known: frozenset[str]) -> tuple[list[tuple[str, str, str]], dict[str, str]]:
+def layout_changes(before: dict, after: dict, names: Names) -> tuple[list[tuple[str, str, str]], dict[str, str]]:
     """``(field, change, new_field)`` rows between two profiles, kinds aside, and the renames."""
     rows = []
     if before["wrapped"] != after["wrapped"]:
         rows.append(("content", "nested" if after["wrapped"] else "flattened", ""))
     old, new = before["fields"], after["fields"]
     gone, come = {k: v for k, v in old.items() if k not in new}, {k: v for k, v in new.items() if k not in old}
-    renames = match_renames(gone, come, known) if gone and come else {}
+    renames = match_renames(gone, come, names) if gone and come else {}
     rows += [(o, "renamed", n) for o, n in sorted(renames.items())]
     rows += [(o, "removed", "") for o in sorted(gone) if o not in renames]
     rows += [(n, "added", "") for n in sorted(come) if n not in set(renames.values())]
@@ -223,10 +237,10 @@ class Series:
             self.state[name] = ("p", name)
         return self.state.get(name)
 
-    def step(self, file_id: int, now: dict, known: frozenset[str]) -> list[tuple]:
+    def step(self, file_id: int, now: dict, names: Names) -> list[tuple]:
         out = []
         if self.last is not None:
-            rows, renames = layout_changes(self.last, now, known)
+            rows, renames = layout_changes(self.last, now, names)
             out += [(file_id, *r) for r in rows]
             moved = {n: self.kind_state(o) for o, n in renames.items()}
             for o in renames:
@@ -255,7 +269,7 @@ class Series:
 _OUT = "part int, file_id bigint, field string, change string, new_field string, edge string"
 
 
-def _stream(known: frozenset[str], keys: list[str]):
+def _stream(names: Names, keys: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -279,7 +293,7 @@ def _stream(known: frozenset[str], keys: list[str]):
                     now = Series(key, open=now is None)
                     if head is None:
                         head = {"key": list(key), "first": seen | {"file_id": file_id}, "whole": True}
-                events += now.step(file_id, seen, known)
+                events += now.step(file_id, seen, names)
             yield row(events)
         if now is not None:
             if head["whole"]:
@@ -290,14 +304,14 @@ def _stream(known: frozenset[str], keys: list[str]):
     return run
 
 
-def join_edges(edges: list[dict], known: frozenset[str]) -> list[tuple[int, str, str, str]]:
+def join_edges(edges: list[dict], names: Names) -> list[tuple[int, str, str, str]]:
     """Changes at the borders of partitions, from their edges in order."""
     out: list[tuple] = []
     tail, last, kinds = None, None, {}
     for e in edges:
         if tail == e["key"] and last is not None:
             first = e["first"]
-            rows, renames = layout_changes(last, first, known)
+            rows, renames = layout_changes(last, first, names)
             out += [(first["file_id"], *r) for r in rows]
             moved = {n: kinds[o] for o, n in renames.items() if o in kinds}
             for o, n in renames.items():
@@ -314,7 +328,61 @@ def join_edges(edges: list[dict], known: frozenset[str]) -> list[tuple[int, str,
     return out
 
 
-def schema_changes(files: DataFrame, series: list[str], order: list[Column], known: set[str] | None = None, partitions: int | None = None) -> DataFrame:
+def learn_names(files: DataFrame, known: frozenset[str] = frozenset()) -> dict[str, str]:
+    """Plain name to the standing field it means, the standing fields themselves included; ``known`` fields take no part.
+
+    One scan of the files yields the names of each record and the values of
+    each name, counted within the tasks; the rest works on that table. Whether
+    a name avoids a standing field is judged by how often it would do so by
+    chance; of several standing fields the one that holds most of its values
+    counts. An empty table teaches nothing.
+    """
+    ship_package(files.sparkSession)
+    plain_known = frozenset(map(plain_name, known))
+    columns = ["name", "value", "n", "names"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        for batch in batches:
+            records = []
+            for content in batch["content"]:
+                seen = profile(content)
+                if seen is None:
+                    continue
+                found = {p: x for name, x in seen["fields"].items() if (p := plain_name(name)) and p not in plain_known}
+                records.append((None, None, None, list(found)))
+                counts.update((p, f"{kind} {value[1] if kind == 'text' else value}") for p, (kind, value) in found.items() if kind in ("text", "number", "flag"))
+            yield pd.DataFrame(records, columns=columns).astype({"n": "Int64"})
+            if len(counts) > HELD:
+                yield pd.DataFrame([(*k, n, None) for k, n in counts.items()], columns=columns)
+                counts.clear()
+        yield pd.DataFrame([(*k, n, None) for k, n in counts.items()], columns=columns)
+
+    table = written(files.select("content").mapInPandas(run, "name string, value string, n bigint, names array<string>"), "names")
+    records = table.where("names is not null").select("names")
+    total = records.count()
+    if not total:
+        return {}
+    of_name = records.select(F.explode("names").alias("a")).groupBy("a").agg(F.count("*").alias("of_a"))
+    # at most the mean number of fields of a record / STANDING rows
+    standing = {r.a: r.of_a for r in of_name.where(F.col("of_a") >= STANDING * total).collect()}
+    if not standing:
+        return {}
+    listed = F.array(*[F.lit(b) for b in sorted(standing)])
+    met = records.select("names", F.explode(F.array_intersect("names", listed)).alias("b")).select(F.explode("names").alias("a"), "b").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("met"))
+    values = table.where("name is not null").groupBy("name", "value").agg(F.sum("n").alias("n"))
+    is_standing = F.col("name").isin(*standing)
+    theirs, mine = values.where(is_standing).select(F.col("name").alias("b"), "value"), values.where(~is_standing).select(F.col("name").alias("a"), "value", "n")
+    inside = mine.join(theirs, "value").groupBy("a", "b").agg(F.sum("n").alias("held"))
+    judged = inside.join(mine.groupBy("a").agg(F.sum("n").alias("valued")), "a").join(of_name, "a").join(met, ["a", "b"], "left")
+    of_b = F.try_element_at(F.create_map(*[F.lit(x) for b, n in sorted(standing.items()) for x in (b, n / total)]), F.col("b"))
+    avoids = F.col("met").isNull() & (F.pow(1 - of_b, F.col("of_a")) <= CHANCE)
+    share = F.col("held") / F.col("valued")
+    best = judged.where(avoids & (share >= CONTAINED)).groupBy("a").agg(F.max(F.struct(share.alias("share"), of_b.alias("of_b"), "b")).alias("w")).select("a", "w.b")
+    return {b: b for b in standing} | {r.a: r.b for r in best.toLocalIterator()}
+
+
+def schema_changes(files: DataFrame, series: list[str], order: list[Column], known: set[str] | None = None, partitions: int | None = None, groups: Mapping[str, str] | None = None) -> DataFrame:
     """``(file_id, field, change, new_field)`` for each change from a file to the next of its series.
 
     ``files`` has the ``series`` columns, ``file_id`` and ``content``, a JSON
@@ -322,33 +390,39 @@ def schema_changes(files: DataFrame, series: list[str], order: list[Column], kno
     null series column is a value of its own. Files that hold no JSON object
     (null, empty, broken) take no part. Changes: ``nested``, ``flattened``,
     ``renamed``, ``removed``, ``added``, ``type_changed`` (field is the name in
-    the later file). ``known`` names fields that are different from each other.
+    the later file). ``known`` names fields that are different from each other;
+    ``groups``, names of one field, are learnt from the files unless given.
     An empty table gives an empty result.
     """
     ship_package(files.sparkSession)
-    names, fixed = [f"s{i}" for i in range(len(series))], frozenset(known or ())
+    fields = frozenset(known or ())
+    groups = learn_names(files, fields) if groups is None else groups
+    told = Names(fields | {a for a, b in groups.items() if a == b}, groups)
+    keys = [f"s{i}" for i in range(len(series))]
     ranks = [f"o{i}" for i in range(len(order))]
-    slim = files.select(*[F.col(c).alias(n) for c, n in zip(series, names)], *[o.alias(r) for o, r in zip(order, ranks)], "file_id", "content")
-    by = [*names, *ranks, "file_id"]
+    slim = files.select(*[F.col(c).alias(n) for c, n in zip(series, keys)], *[o.alias(r) for o, r in zip(order, ranks)], "file_id", "content")
+    by = [*keys, *ranks, "file_id"]
     spread = slim.repartitionByRange(partitions, *by) if partitions else slim.repartitionByRange(*by)
-    raw = written(spread.sortWithinPartitions(*by).mapInPandas(_stream(fixed, names), _OUT), "drift")
+    raw = written(spread.sortWithinPartitions(*by).mapInPandas(_stream(told, keys), _OUT), "drift")
     edges = [json.loads(r.edge) for r in raw.where("edge is not null").select("part", "edge").orderBy("part").collect()]
     shape = "file_id bigint, field string, change string, new_field string"
-    border = files.sparkSession.createDataFrame(join_edges(edges, fixed), shape)
+    border = files.sparkSession.createDataFrame(join_edges(edges, told), shape)
     return raw.where("edge is null").select("file_id", "field", "change", "new_field").unionByName(border)
 
 
-def unified_rows(files: DataFrame, keep: list[str], known: dict[str, set[str]], sheet: str) -> DataFrame:
+def unified_rows(files: DataFrame, keep: list[str], known: dict[str, set[str]], sheet: str, groups: Mapping[str, str] | None = None) -> DataFrame:
     """One row per file and field in a consistent layout: ``field`` is the known name a column matches, else its own snake_case name.
 
-    Each file's columns are matched with the known fields of its sheet, so
-    there is no shuffle. ``value`` is the JSON text of the value, null for a
+    Each file's columns are matched with the known fields of its sheet and the
+    standing fields of all files (``groups`` as in schema_changes), so there is
+    no shuffle of the files. ``value`` is the JSON text of the value, null for a
     null; files without a JSON object give no rows. The columns of ``keep``
     are carried along.
     """
     ship_package(files.sparkSession)
     fields = {k: sorted(v) for k, v in known.items()}
-    common = sorted(SYNONYMS)
+    groups = learn_names(files, frozenset().union(*known.values())) if groups is None else groups
+    common = sorted({b for b in groups.values()})
     slim = files.select(*keep, "content")
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in files.select(*keep).schema), "field string", "name string", "kind string", "value string"])
 
@@ -360,7 +434,7 @@ def unified_rows(files: DataFrame, keep: list[str], known: dict[str, set[str]],
                 due = [*fields.get(which, []), *common]
                 told = {n: n for n in names if n in due}
                 rest, free = [n for n in names if n not in told], [d for d in due if d not in told]
-                score = [[s if (s := name_likeness(n, d)) >= 0.8 else 0.0 for d in free] for n in rest]
+                score = [[s if (s := name_likeness(n, d, groups)) >= 0.8 else 0.0 for d in free] for n in rest]
                 told |= {rest[i]: free[j] for i, j in assign(score) if score[i][j] > 0}
                 if len(settled) > 5000:
                     settled.clear()

@@ -22,7 +22,7 @@ def _known(spark: SparkSession, sf_dir: str) -> dict[str, set[str]]:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each change of layout between consecutive files of a series."""
     files = table(spark, sf_dir, "sheet_file")
-    known = set().union(*_known(spark, sf_dir).values(), drift.SYNONYMS)
+    known = set().union(*_known(spark, sf_dir).values())
     name = F.regexp_replace("file_name", r"^[A-Za-z]+[0-9]+_|\.json$", "")
     order = [period_year(name), period_quarter(name), F.col("written_at")]
     return drift.schema_changes(files, ["filer_id", "segment_id", "sheet"], order, known)

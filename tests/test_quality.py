@@ -136,8 +136,13 @@ def test_compare_hot_key(spark):
 # --- 4: schemas that drift
 
 
+#: Names of one field as learn_names gives them.
+GROUPS = {"quarter": "quarter", "trimestre": "quarter", "periodo": "quarter"}
+
+
 def brute_changes(series, known):
     """Changes of one series, file by file, with the kinds of all fields ever seen."""
+    known = drift.Names(known, GROUPS)
     out, last, kinds = [], None, {}
     for file_id, content in series:
         now = drift.profile(content)
@@ -183,7 +188,7 @@ def test_drift_against_brute_force_in_any_partitioning(spark):
         for s in ("a", "b", None):
             want += brute_changes([(f[0], f[3]) for f in sorted((f for f in files if f[1] == s), key=lambda f: (f[2], f[0]))], known)
         for parts in (1, 4, 40):
-            got = sorted(map(tuple, drift.schema_changes(df, ["s"], [F.col("o")], set(known), parts).collect()))
+            got = sorted(map(tuple, drift.schema_changes(df, ["s"], [F.col("o")], set(known), parts, GROUPS).collect()))
             assert got == sorted(want), (seed, parts)
     assert drift.schema_changes(df.where("false"), ["s"], [F.col("o")]).count() == 0
 
@@ -193,13 +198,14 @@ def test_drift_changes(spark):
         {"quarter": "IQ2024", "v": 1, "n": None}, {"content": {"quarter": "IIQ2024", "v": 1.5, "n": 2}}, {"content": {"trimestre": "IIIQ2024", "v": "3", "n": None}}, {"trimestre": 4, "v": "3", "n": "x", "dotacion": 5},
     ]
     df = spark.createDataFrame([(i, "s", i, json.dumps(r)) for i, r in enumerate(series)], "file_id bigint, s string, o int, content string")
-    got = sorted(map(tuple, drift.schema_changes(df, ["s"], [F.col("o")]).collect()))
+    got = sorted(map(tuple, drift.schema_changes(df, ["s"], [F.col("o")], groups=GROUPS).collect()))
     assert got == [(1, "content", "nested", ""), (2, "quarter", "renamed", "trimestre"), (2, "v", "type_changed", ""), (3, "content", "flattened", ""), (3, "dotacion", "added", ""), (3, "n", "type_changed", ""), (3, "trimestre", "type_changed", "")]
 
 
 def test_name_likeness_and_assignment():
-    same = [("cash_cost", "cashCost"), ("gasto_impuestos", "gast_impu"), ("ebitda", "ebit"), ("source", "fuente"), ("x_y", "X-Y"), ("cv_materiales", "cv_materiales_musd"), ("oro_onzas", "val_oro_onzas")]
+    same = [("cash_cost", "cashCost"), ("gasto_impuestos", "gast_impu"), ("ebitda", "ebit"), ("x_y", "X-Y"), ("cv_materiales", "cv_materiales_musd"), ("oro_onzas", "val_oro_onzas")]
     assert all(drift.name_likeness(a, b) >= 0.85 for a, b in same)
+    assert drift.name_likeness("source", "Fuente", {"source": "source", "fuente": "source"}) == 0.95 and drift.name_likeness("source", "fuente") < 0.6
     assert all(drift.name_likeness(a, b) < 0.6 for a, b in [("source", "quarter"), ("ga_otros", "dotacion"), ("cash_cost", "moneda")])
     assert drift.assign([[0.9, 0.8], [0.85, 0.0]]) == [(0, 1), (1, 0)]
     assert drift.assign([[0.1], [0.9], [0.2]]) == [(1, 0)] and drift.assign([]) == []
@@ -217,5 +223,30 @@ def test_assignment_is_best(score):
 
 def test_unified(spark):
     df = spark.createDataFrame([(1, "s", '{"Cash_Cost": 5, "periodo": "IQ2024", "extraField": null}'), (2, "s", None), (3, "s", '{"content": {"val_cash_cost": "5"}}')], "file_id bigint, sheet string, content string")
-    got = sorted((r.file_id, r.field, r.kind, r.value) for r in drift.unified_rows(df, ["file_id", "sheet"], {"s": {"cash_cost"}}, "sheet").collect() if r.kind)
+    got = sorted((r.file_id, r.field, r.kind, r.value) for r in drift.unified_rows(df, ["file_id", "sheet"], {"s": {"cash_cost"}}, "sheet", GROUPS).collect() if r.kind)
     assert got == [(1, "cash_cost", "number", "5"), (1, "quarter", "text", '"IQ2024"'), (3, "cash_cost", "text", '"5"')]
+
+
+def test_names_of_one_field_are_learnt(spark):
+    """A name that takes the place of a standing field and its values is one with it; names that only share the values, or are met beside it, aren't."""
+    rng, files = random.Random(2), []
+    for i in range(120):
+        record = {"origin": rng.choice(["site", "portal"]), "flag": rng.random() < 0.5, "stamp": i, "costo": i}
+        if i % 10 == 0:
+            record["zz"] = record.pop("origin")  # another name of the field
+        if i % 12 == 1:
+            record["kk"] = record["origin"]  # the same values beside it
+        if i % 15 == 2:
+            record["yy"] = rng.random() < 0.5
+            record.pop("flag")
+            record["yy" if i % 30 == 2 else "flag"] = record.pop("yy")  # a flag under another name
+        if i % 9 == 3:
+            record.pop("stamp")
+            record["other"] = f"t{i}"  # takes a place, but not the values
+        files.append((json.dumps(record if i % 3 else {"content": record}), "x"))
+    files += [(None, "x"), ("", "x"), ("[1]", "x")]
+    df = spark.createDataFrame(files, "content string, names string").repartition(3)
+    got = drift.learn_names(df, frozenset({"costo"}))
+    assert {a: b for a, b in got.items() if a != b} == {"zz": "origin", "yy": "flag"}
+    assert {a for a, b in got.items() if a == b} == {"origin", "flag", "stamp"}
+    assert drift.learn_names(df.where("false")) == {} and drift.learn_names(df.where("content is null")) == {}

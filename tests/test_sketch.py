@@ -6,7 +6,7 @@ START = "/datos/raw/pdf/informes/anuales/consolidados/"
 
 
 def score(a, b):
-    return drift.rename_score("ruta_origen", ["text", drift.sketch(a)], "nota_origen_b", ["text", drift.sketch(b)], frozenset())
+    return drift.rename_score("ruta_origen", ["text", drift.sketch(a)], "nota_origen_b", ["text", drift.sketch(b)], drift.Names())
 
 
 def test_common_beginning_is_no_rename():
