@@ -141,6 +141,11 @@ class Names:
     fields: frozenset[str] = frozenset()
     groups: Mapping[str, str] = dc_field(default_factory=dict)
 
+    def bases(self, name: str) -> set[str]:
+        """The known fields that a name is, a word in front or behind aside."""
+        t = tokens(name)
+        return {b for x in (t, *_without_end(t)) if (b := "_".join(x)) in self.fields}
+
 
 def rename_score(old: str, a: list, new: str, b: list, names: Names) -> float:
     """Two different known fields are never one field; otherwise the name counts most, and a telling text may stand in for it."""
@@ -148,6 +153,8 @@ def rename_score(old: str, a: list, new: str, b: list, names: Names) -> float:
     if old in known and new in known:
         return 0.0
     by_name, by_value = name_likeness(old, new, names.groups), value_likeness(a, b)
+    if by_name < 0.9 and names.bases(old) & names.bases(new):
+        by_name = 0.9
     score = 0.8 * by_name + 0.2 * by_value
     telling = a[0] == b[0] == "text" and bool(a[1]) and bool(b[1]) and min(len(a[1][1]), len(b[1][1])) >= 6 and (a[1][1] == b[1][1] or (a[1][0] == b[1][0] and "9" in a[1][0]))
     return max(score, 0.62) if telling and by_name > 0 and new not in known else score

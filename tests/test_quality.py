@@ -207,6 +207,8 @@ def test_name_likeness_and_assignment():
     assert all(drift.name_likeness(a, b) >= 0.85 for a, b in same)
     assert drift.name_likeness("source", "Fuente", {"source": "source", "fuente": "source"}) == 0.95 and drift.name_likeness("source", "fuente") < 0.6
     assert all(drift.name_likeness(a, b) < 0.6 for a, b in [("source", "quarter"), ("ga_otros", "dotacion"), ("cash_cost", "moneda")])
+    number, names = ["number", 5], drift.Names(frozenset(("ebitda", "cash_cost")))
+    assert drift.rename_score("val_ebitda", number, "ebitda_monto", number, names) >= drift.RENAMED > drift.rename_score("val_nota", number, "nota_pie", number, names)
     assert drift.assign([[0.9, 0.8], [0.85, 0.0]]) == [(0, 1), (1, 0)]
     assert drift.assign([[0.1], [0.9], [0.2]]) == [(1, 0)] and drift.assign([]) == []
 
