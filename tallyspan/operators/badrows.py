@@ -1,8 +1,11 @@
 """Problem 5: rows that fail to parse, apart from the valid ones and with the reason.
 
-Each payload is read permissively under an explicit schema with ``from_csv``,
-which keeps the raw text of what it can't read; the rows are then classified
-by quoting, column count and cast checks. Everything is a JVM expression in a
+Each payload is first read permissively under an explicit schema with
+``from_csv``, which keeps the raw text of what it can't read. A line that the
+reader takes whole, without a double quote or line break on which it is more
+lenient than the format, is sound and is only cast. Corrupt lines and those
+with such marks are classified anew by quoting and column count, and only they
+pay for that. Cast checks follow for both. Everything is a JVM expression in a
 single scan without shuffle; the scans over a payload are linear in its
 length, so a text of megabytes neither overflows a regex stack nor slows down
 quadratically.
@@ -18,8 +21,10 @@ from pyspark.sql import functions as F
 #: Separators read with from_csv; a file with another separator is split by the same rules here.
 SEPARATORS = (";", "|", "\t", ",")
 
+#: Columns up to which a line is handed to the reader, whose own limit would end the query; a longer line is corrupt anyway.
+READER_COLUMNS = 20_000
+
 _BREAK = "\u0001"
-_HIDDEN = "\u0002"
 
 # The patterns of an amount, a share and a time stamp.
 _DIGITS = r"(?:[0-9]+|[0-9]{1,3}(?:\.[0-9]{3})+)"
@@ -117,6 +122,20 @@ def quoting_ok(parts: Column, sep: Column) -> Column:
     return (F.size(parts) % 2 == 1) & fine
 
 
+def _read(text: Column, mark: Column, layout: Layout) -> Column:
+    """The line as the permissive reader takes it, by its separator; null where the reader doesn't know the separator."""
+    read = None
+    for s in SEPARATORS:
+        options = {"sep": s, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "maxCharsPerColumn": "-1"}
+        one = F.from_csv(text, layout.ddl, options)
+        read = F.when(mark == s, one) if read is None else read.when(mark == s, one)
+    return read
+
+
+def _of_reader(layout: Layout) -> Column:
+    return F.col(f"__read_{layout.kind}")
+
+
 def classify(df: DataFrame, payload: str = "payload", sep: str = "sep", kind: str = "record_kind", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``df`` with ``parsed_<kind>`` structs of text fields, ``_corrupt`` and ``reason``.
 
@@ -128,36 +147,39 @@ def classify(df: DataFrame, payload: str = "payload", sep: str = "sep", kind: st
     the added ones are replaced.
     """
     text, mark = F.col(payload), F.coalesce(F.col(sep), F.lit(""))
-    clean = F.translate(text, _BREAK + _HIDDEN, "  ")
-    parts = F.split(text, '"', -1)
-    has_sep = mark != ""
-    outside_broken = F.array_join(
-        F.transform(F.split(clean, '"', -1), lambda x, i: F.when((i % 2 == 0) & has_sep, F.replace(x, mark, F.lit(_BREAK))).otherwise(x)), '"'
-    )
     blank = text.isNull() | ~F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
-    df = df.withColumns({"__blank": blank, "__quoted": F.coalesce(quoting_ok(parts, mark), F.lit(False)), "__fields": F.split(outside_broken, _BREAK, -1)})
-    count, reasons, loaded = F.size("__fields"), [], {}
+    columns = F.length(text) - F.length(F.replace(text, mark, F.lit("")))
+    ours = {lay.kind: F.coalesce(F.col(kind) == lay.kind, F.lit(False)) for lay in layouts}
+    broken = F.coalesce(text.rlike(r"[\r\n]"), F.lit(False))
+    df = df.withColumns({"__blank": blank, "__lenient": broken | F.coalesce(text.contains('"'), F.lit(False))} | {f"__read_{lay.kind}": F.when(ours[lay.kind] & ~blank & (columns < READER_COLUMNS), _read(text, mark, lay)) for lay in layouts})
+    whole = {lay.kind: _of_reader(lay).isNotNull() & _of_reader(lay)["_corrupt"].isNull() for lay in layouts}
+    sound = ~F.col("__lenient") & F.coalesce(*[F.when(ours[lay.kind], whole[lay.kind]) for lay in layouts], F.lit(False))
+    # what the reader didn't settle is taken apart at its quotes and, outside them, at its separators
+    clean = F.translate(text, _BREAK, " ")
+    apart = F.transform(F.split(clean, '"', -1), lambda x, i: F.when((i % 2 == 0) & (mark != ""), F.replace(x, mark, F.lit(_BREAK))).otherwise(x))
+    df = df.withColumn("__sound", sound)
+    df = df.withColumns({
+        "__quoted": F.when(F.col("__sound"), True).otherwise(F.coalesce(quoting_ok(F.split(text, '"', -1), mark), F.lit(False))),
+        "__fields": F.when(~F.col("__sound"), F.split(F.array_join(apart, '"'), _BREAK, -1)),
+    })
+    unquoted = lambda f: F.when(f.startswith('"'), F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
+    loaded = {}
     for lay in layouts:
-        ours = F.col(kind) == lay.kind
-        whole = ours & ~F.col("__blank") & F.col("__quoted") & (count == len(lay.fields))
-        by_sep = F.lit(None)
-        for s in SEPARATORS:
-            options = {"sep": s, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "quote": '"', "escape": '"', "nullValue": _HIDDEN, "emptyValue": "", "maxCharsPerColumn": "-1"}
-            by_sep = F.when(mark == s, F.from_csv(text, lay.ddl, options)) if s == SEPARATORS[0] else by_sep.when(mark == s, F.from_csv(text, lay.ddl, options))
-        unquoted = lambda f: F.when(f.startswith('"'), F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
-        split_here = F.struct(*[unquoted(F.get("__fields", F.lit(i))).alias(n) for i, n in enumerate(lay.names)], F.lit(None).cast("string").alias("_corrupt"))
-        loaded[f"parsed_{lay.kind}"] = F.when(whole, by_sep.otherwise(split_here))
+        here = F.struct(*[unquoted(F.get("__fields", F.lit(i))).alias(n) for i, n in enumerate(lay.names)], F.lit(None).cast("string").alias("_corrupt"))
+        again = F.when(~F.col("__blank") & F.col("__quoted") & (F.size("__fields") == len(lay.fields)), F.when(whole[lay.kind] & ~broken, _of_reader(lay)).otherwise(here))
+        loaded[f"parsed_{lay.kind}"] = F.when(ours[lay.kind], F.when(F.col("__sound"), _of_reader(lay)).otherwise(again))
     df = df.withColumns(loaded)
+    reasons = []
     for lay in layouts:
         record = F.col(f"parsed_{lay.kind}")
         fine = F.lit(True)
         for n, how in lay.fields:
             fine = fine & F.coalesce(check(F.coalesce(record[n], F.lit("")), how), F.lit(False))
-        reasons.append(F.when((F.col(kind) == lay.kind), F.when((count != len(lay.fields)) | record["_corrupt"].isNotNull(), "column_count").when(~fine, "value").otherwise("")))
+        reasons.append(F.when(ours[lay.kind], F.when(record.isNull(), "column_count").when(~fine, "value").otherwise("")))
     known = F.coalesce(*reasons, F.lit("column_count"))
     reason = F.nullif(F.when(F.col("__blank"), "column_count").when(~F.col("__quoted"), "quoting").otherwise(known), F.lit(""))
     df = df.withColumn("reason", reason).withColumn("_corrupt", F.when(F.col("reason").isNotNull(), text))
-    return df.drop("__blank", "__quoted", "__fields")
+    return df.drop("__blank", "__lenient", "__sound", "__quoted", "__fields", *[f"__read_{lay.kind}" for lay in layouts])
 
 
 def invalid_rows(classified: DataFrame, keep: list[str]) -> DataFrame:
