@@ -1,9 +1,11 @@
 """Problem 1: one quantity recorded in different units and scales.
 
 Three steps. (1) The distinct spellings of units found in any column are mapped
-to unit codes: an inverted index of character n-grams over known spellings
-gives candidates, a weighted edit distance verifies them, and the resulting
-alias dictionary is joined to all rows. (2) Sizes are modelled as the sum of a
+to unit codes. A spelling is a word for a unit with or without a word for its
+scale, in front or behind, apart or grown together; both parts are looked up
+on their own, so that combinations nobody listed compose. An inverted index of
+character n-grams over the words gives candidates, a weighted edit distance
+verifies them, and the resulting alias dictionary is joined to all rows. (2) Sizes are modelled as the sum of a
 field effect and a segment effect on a log scale, both medians over all rows,
 kept as mergeable quantile sketches. (3) A row keeps the unit it states where
 its size allows; otherwise the unit whose size fits best is taken.
@@ -26,33 +28,50 @@ from tallyspan.functions.text import strip_accents
 from tallyspan.session import written
 from tallyspan.sources.tables import broadcast_if_small, settled_if_small
 
-# Known spellings of units by quantity and code.
-KNOWN_SPELLINGS: dict[tuple[str, str], tuple[str, ...]] = {
-    ("metal_mass", "mm_lb"): ("MM lb", "MMlbs", "millones de libras", "million lbs", "million pounds", "mill. lb", "mill. libras"),
-    ("metal_mass", "klb"): ("klb", "k lbs", "miles lb", "miles de libras", "thousand pounds", "thousand lbs"),
+# Words for plain units of mass, of money, and for scales by their power of ten.
+_TONNE = ("t", "ton", "tons", "tonnes", "toneladas", "ton métricas", "toneladas métricas", "metric tons", "TM", "TMF")
+_KILOGRAM = ("kg", "kgs", "kilos", "kilogramos", "kilograms")
+UNIT_WORDS: dict[tuple[str, str], tuple[str, ...]] = {
     ("metal_mass", "lb"): ("lb", "lbs", "libras", "pounds"),
-    ("metal_mass", "t"): ("t", "ton", "tons", "tonnes", "toneladas", "ton. métricas", "toneladas métricas", "TM", "TMF", "metric tons"),
-    ("metal_mass", "kt"): ("kt", "k ton", "KTM", "KTMF", "miles ton", "miles TM", "miles de toneladas", "thousand tonnes"),
-    ("metal_mass", "kg"): ("kg", "kgs", "kilos", "kilogramos", "kilograms"),
-    ("metal_mass", "st"): ("st", "short tons", "ton. cortas", "toneladas cortas"),
-    ("ore_mass", "t"): ("t", "ton", "tons", "tonnes", "toneladas", "ton. métricas", "toneladas métricas", "TM", "metric tons"),
-    ("ore_mass", "kt"): ("kt", "k ton", "KTM", "miles ton", "miles TM", "miles de toneladas", "thousand tonnes"),
-    ("ore_mass", "mt"): ("MM ton", "MM t", "MMt", "mill. t", "mill. ton", "millones de toneladas", "million tonnes"),
-    ("money", "usd"): ("USD", "US$", "dólares", "US dollars", "us$ enteros", "iso4217:USD", "U_USD"),
-    ("money", "kusd"): ("kUSD", "k US$", "MUS$", "M US$", "M USD", "miles US$", "US$ miles", "miles de dólares", "MilesUSD", "USD_miles", "MilesDeDolares", "USDx1000", "thousand dollars"),
-    ("money", "musd"): ("MMUS$", "MM US$", "MM USD", "millones US$", "US$ millones", "millones de dólares", "USD_millones", "MillonesUSD", "USDx1000000", "US$ million", "million dollars"),
-    ("price", "usd_lb"): ("US$/lb", "USD/lb", "US$ por libra", "dólares/libra", "dólares por libra", "dollars per pound"),
-    ("price", "usc_lb"): ("c/lb", "¢/lb", "cUS$/lb", "USc/lb", "centavos/libra", "centavos por libra", "cents per pound"),
-    ("price", "usd_t"): ("US$/t", "US$/ton", "USD/t", "USD/TM", "US$ por tonelada", "dólares por tonelada", "dollars per tonne"),
-    ("gold_mass", "koz"): ("koz", "k oz", "miles oz", "miles de onzas", "thousand ounces"),
-    ("gold_mass", "oz"): ("oz", "onzas", "onzas troy", "ounces", "troy ounces"),
-    ("gold_mass", "kg"): ("kg", "kgs", "kilos", "kilogramos", "kilograms"),
+    ("metal_mass", "t"): _TONNE,
+    ("metal_mass", "kg"): _KILOGRAM,
+    ("metal_mass", "st"): ("st", "short tons", "ton cortas", "toneladas cortas"),
+    ("ore_mass", "t"): _TONNE,
+    ("money", "usd"): ("USD", "US$", "dólares", "dollars", "US dollars", "US$ enteros", "iso4217:USD", "U_USD"),
+    ("gold_mass", "oz"): ("oz", "onzas", "ounces", "onzas troy", "troy ounces"),
+    ("gold_mass", "kg"): _KILOGRAM,
 }
+SCALE_WORDS: dict[int, tuple[str, ...]] = {3: ("k", "m", "mil", "miles", "thousand", "thousands", "x1000"), 6: ("mm", "mill", "millones", "million", "millions", "x1000000")}
+# Words of a price, which is a coin per mass.
+_COINS = {"usd": ("US$", "USD", "dólares", "dollars"), "usc": ("c", "¢", "cUS$", "USc", "centavos", "cents")}
+_PER = ("/", " por ", " per ")
+_MASSES = {"lb": ("lb", "libra", "pound"), "t": ("t", "ton", "TM", "tonelada", "tonne")}
+# Codes by quantity, plain unit and power of ten.
+CODES: dict[tuple[str, str, int], str] = {
+    ("metal_mass", "lb", 0): "lb", ("metal_mass", "lb", 3): "klb", ("metal_mass", "lb", 6): "mm_lb", ("metal_mass", "t", 0): "t", ("metal_mass", "t", 3): "kt", ("metal_mass", "kg", 0): "kg", ("metal_mass", "st", 0): "st",
+    ("ore_mass", "t", 0): "t", ("ore_mass", "t", 3): "kt", ("ore_mass", "t", 6): "mt",
+    ("money", "usd", 0): "usd", ("money", "usd", 3): "kusd", ("money", "usd", 6): "musd",
+    ("price", "usd_lb", 0): "usd_lb", ("price", "usc_lb", 0): "usc_lb", ("price", "usd_t", 0): "usd_t",
+    ("gold_mass", "oz", 0): "oz", ("gold_mass", "oz", 3): "koz", ("gold_mass", "kg", 0): "kg",
+}
+
+
+def unit_words() -> dict[tuple[str, str], tuple[str, ...]]:
+    """UNIT_WORDS and the prices that coins and masses make."""
+    prices: dict[tuple[str, str], tuple[str, ...]] = {}
+    for coin, coins in _COINS.items():
+        for mass, masses in _MASSES.items():
+            if ("price", f"{coin}_{mass}", 0) in CODES:
+                prices["price", f"{coin}_{mass}"] = tuple(c + p + m for c in coins for p in _PER for m in masses)
+    return UNIT_WORDS | prices
+
 
 #: Share of the longer text that a spelling may differ by, in weighted edits.
 MOST_APART = 0.3
 #: Decades by which a figure may differ from its expected size.
 SIZE_TOLERANCE = 0.5
+#: Segments whose medians are sent to every task at most.
+SEGMENTS = 200_000
 #: Decades added for units that aren't decimal multiples, which seldom stay unsaid.
 ODD_UNIT = 0.12
 
@@ -104,22 +123,68 @@ def _apart(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         yield pd.Series([weighted_distance(x, y) / max(len(x), len(y), 1) for x, y in zip(a, b)], dtype="float64")
 
 
-def alias_dictionary(spellings: DataFrame, known: dict[tuple[str, str], tuple[str, ...]] | None = None) -> DataFrame:
-    """``(quantity, spelling, code, apart)`` for each distinct spelling that some known one explains.
+_SCALE_DOMAIN = "*"
+
+
+def _nearest_words(asked: DataFrame, words: dict[tuple[str, str], tuple[str, ...]]) -> DataFrame:
+    """``(domain, part, meaning, off)``: for each asked part every meaning of its domain that a word within MOST_APART of it has, by the least weighted edits.
+
+    Candidates are the words that share an n-gram with the part, through an
+    inverted index.
+    """
+    rows = [(d, meaning, w) for (d, meaning), all_ in words.items() for w in all_]
+    seeds = asked.sparkSession.createDataFrame(rows, "domain string, meaning string, word string").withColumn("word", spelling_key(F.col("word"))).distinct()
+    index = broadcast_if_small(seeds.select("domain", "meaning", "word", F.explode(_grams(F.col("word"))).alias("gram")))
+    grams = asked.where("part <> ''").distinct().select("domain", "part", F.explode(_grams(F.col("part"))).alias("gram"))
+    candidates = grams.join(index, ["domain", "gram"]).select("domain", "part", "meaning", "word").distinct()
+    near = candidates.withColumn("apart", F.pandas_udf(_apart, "double")("part", "word")).where(F.col("apart") <= MOST_APART)
+    off = F.col("apart") * F.greatest(F.length("part"), F.length("word"))
+    return near.groupBy("domain", "part", "meaning").agg(F.min(off).alias("off"))
+
+
+def _parses(c: Column) -> Column:
+    """Ways to read a spelling as ``(scale, unit)``: all of it a unit, its first or last word a scale, or a scale word grown together with the unit. A ``de`` or ``of`` between them doesn't count."""
+    start, end = r"^[ ._\-]*(?:de |of |de(?=dol|us|lib|ton|onz))?[ ._\-]*", r"[ ._\-]+$"
+    made = lambda scale, unit: F.struct(scale.alias("scale"), F.regexp_replace(F.regexp_replace(unit, start, ""), end, "").alias("unit"))
+    first, last = r"^([^ ._]+)[ ._]+", r"[ ._]+([^ ._]+)\.?$"
+    ways = [
+        F.struct(F.lit("").alias("scale"), c.alias("unit")),
+        F.when(c.rlike(first), made(F.regexp_extract(c, first, 1), F.regexp_replace(c, first, ""))),
+        F.when(c.rlike(last), made(F.regexp_extract(c, last, 1), F.regexp_replace(c, last, ""))),
+    ]
+    for word in sorted({w for all_ in SCALE_WORDS.values() for w in all_}):
+        n = len(word)
+        if not word.startswith("x"):
+            ways.append(F.when(c.startswith(word) & (F.length(c) > n), made(F.lit(word), F.substr(c, F.lit(n + 1), F.length(c)))))
+        if n > 2:
+            ways.append(F.when(c.endswith(word) & (F.length(c) > n), made(F.lit(word), F.substr(c, F.lit(1), F.length(c) - n))))
+    return F.array_compact(F.array(*ways))
+
+
+def alias_dictionary(spellings: DataFrame, words: dict[tuple[str, str], tuple[str, ...]] | None = None, scales: dict[int, tuple[str, ...]] | None = None) -> DataFrame:
+    """``(quantity, spelling, code, apart)`` for each distinct spelling that words for units and scales explain.
 
     ``spellings`` has ``quantity`` and ``spelling`` (as spelling_key gives
-    it). A spelling maps to the code of its nearest known spelling within
-    MOST_APART; among equals the first code by name. Others are left out.
+    it). Of the ways to read a spelling the one with the fewest weighted edits
+    counts, ``apart`` being their share of its length; among equals the first
+    code by name. Spellings that no words come within MOST_APART of, and scales
+    for which a unit has no code, are left out.
     """
     spark = spellings.sparkSession
-    rows = [(q, code, s) for (q, code), all_ in (known or KNOWN_SPELLINGS).items() for s in all_]
-    seeds = spark.createDataFrame(rows, "quantity string, code string, seed string").withColumn("seed", spelling_key(F.col("seed"))).distinct()
-    index = seeds.select("quantity", "code", "seed", F.size(_grams(F.col("seed"))).alias("size"), F.explode(_grams(F.col("seed"))).alias("gram"))
+    known = words or unit_words()
+    by_scale = {(_SCALE_DOMAIN, str(power)): ws for power, ws in (scales or SCALE_WORDS).items()}
     asked = spellings.select("quantity", "spelling").where("spelling is not null").distinct()
-    grams = asked.select("quantity", "spelling", F.explode(_grams(F.col("spelling"))).alias("gram"))
-    shared = grams.join(F.broadcast(index), ["quantity", "gram"]).groupBy("quantity", "spelling", "code", "seed", "size").agg(F.count("*").alias("n"))
-    candidates = shared.where(F.col("n") * 3 >= F.col("size")).withColumn("apart", F.pandas_udf(_apart, "double")("spelling", "seed")).where(F.col("apart") <= MOST_APART)
-    return candidates.groupBy("quantity", "spelling").agg(F.min(F.struct("apart", "code")).alias("b")).select("quantity", "spelling", "b.code", "b.apart")
+    read = written(asked.select("quantity", "spelling", F.inline(_parses(F.col("spelling")))).distinct(), "unit-parses")
+    parts = read.select(F.col("quantity").alias("domain"), F.col("unit").alias("part")).unionByName(read.select(F.lit(_SCALE_DOMAIN).alias("domain"), F.col("scale").alias("part")))
+    near = written(_nearest_words(parts, known | by_scale), "unit-words")
+    units = near.where(F.col("domain") != _SCALE_DOMAIN).select(F.col("domain").alias("quantity"), F.col("part").alias("unit"), F.col("meaning").alias("plain"), F.col("off").alias("u"))
+    powers = near.where(F.col("domain") == _SCALE_DOMAIN).select(F.col("part").alias("scale"), F.col("meaning").cast("int").alias("power"), F.col("off").alias("s"))
+    plain_scale = spark.createDataFrame([("", 0, 0.0)], "scale string, power int, s double")
+    codes = F.broadcast(spark.createDataFrame([(*k, c) for k, c in CODES.items()], "quantity string, plain string, power int, code string"))
+    meant = read.join(units, ["quantity", "unit"]).join(powers.unionByName(plain_scale), "scale").join(codes, ["quantity", "plain", "power"])
+    apart = (F.col("u") + F.col("s")) / F.greatest(F.length("spelling"), F.lit(1))
+    best = meant.select("quantity", "spelling", "code", apart.alias("apart")).where(F.col("apart") <= MOST_APART)
+    return best.groupBy("quantity", "spelling").agg(F.min(F.struct("apart", "code")).alias("b")).select("quantity", "spelling", "b.code", "b.apart")
 
 
 _NUMBER = r"[0-9][0-9.,]*[0-9]|[0-9]"
@@ -239,7 +304,8 @@ def expected_sizes(rows: DataFrame) -> DataFrame:
     once. Sketches replace exact medians (relative rank error 1/1000).
     """
     fields = lambda d, v: settled_if_small(d.groupBy("fkey").agg(F.percentile_approx(v, 0.5, 1000).alias("f")))
-    segments = lambda d: d.where("scales").groupBy("segment").agg(F.percentile_approx(F.col("size") - F.col("f"), 0.5, 1000).alias("g"))
+    # a written table of one row per segment, sent to all tasks up to a checked size, so that the rows themselves aren't shuffled; beyond it a skewed join is split by the adaptive plan
+    segments = lambda d: broadcast_if_small(written(d.where("scales").groupBy("segment").agg(F.percentile_approx(F.col("size") - F.col("f"), 0.5, 1000).alias("g")), "unit-segments"), SEGMENTS)
     seen = rows.where("size is not null").select("segment", "fkey", "scales", "size")
     first = fields(seen, F.col("size"))
     by_segment = segments(seen.join(first, "fkey"))
