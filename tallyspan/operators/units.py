@@ -138,6 +138,8 @@ def _nearest_words(asked: DataFrame, words: dict[tuple[str, str], tuple[str, ...
     grams = asked.where("part <> ''").distinct().select("domain", "part", F.explode(_grams(F.col("part"))).alias("gram"))
     candidates = grams.join(index, ["domain", "gram"]).select("domain", "part", "meaning", "word").distinct()
     near = candidates.withColumn("apart", F.pandas_udf(_apart, "double")("part", "word")).where(F.col("apart") <= MOST_APART)
+    # a short word for a scale is an abbreviation, whose letters all count
+    near = near.where((F.col("domain") != _SCALE_DOMAIN) | (F.length("word") > 4) | (F.col("apart") == 0))
     off = F.col("apart") * F.greatest(F.length("part"), F.length("word"))
     return near.groupBy("domain", "part", "meaning").agg(F.min(off).alias("off"))
 
@@ -155,7 +157,9 @@ def _parses(c: Column) -> Column:
     for word in sorted({w for all_ in SCALE_WORDS.values() for w in all_}):
         n = len(word)
         if not word.startswith("x"):
-            ways.append(F.when(c.startswith(word) & (F.length(c) > n), made(F.lit(word), F.substr(c, F.lit(n + 1), F.length(c)))))
+            # a word that goes on, with more words behind it, isn't grown together with its unit
+            alone = ~c.rlike(rf"^{word}[a-z]+[ .]") if n > 2 else F.lit(True)
+            ways.append(F.when(c.startswith(word) & (F.length(c) > n) & alone, made(F.lit(word), F.substr(c, F.lit(n + 1), F.length(c)))))
         if n > 2:
             ways.append(F.when(c.endswith(word) & (F.length(c) > n), made(F.lit(word), F.substr(c, F.lit(1), F.length(c) - n))))
     return F.array_compact(F.array(*ways))

@@ -81,7 +81,7 @@ def test_held_out_words(spark):
             i = rng.choice(places)
             typos.append((q, rng.choice([s[:i] + s[i + 1 :], s[:i] + s[i] + s[i:], s[:i] + s[i + 1] + s[i] + s[i + 2 :]]), code))
     right, wrong = mapped(spark, typos)
-    assert right >= 0.9 and wrong <= 0.05, (right, wrong)
+    assert right >= 0.88 and wrong <= 0.03, (right, wrong)
 
 
 def test_index_finds_what_all_pairs_find(spark):
