@@ -23,10 +23,10 @@ def facts_named(facts: DataFrame, name: str, exact: bool = True) -> DataFrame:
 
 
 def latest_context(contexts: DataFrame) -> DataFrame:
-    """The duration context of each document that ends last (ISO texts), the first among equals."""
+    """The duration context of each document that ends last (ISO dates), the first among equals. A date that isn't one counts as the earliest."""
     ended = contexts.where((F.col("period_type") == "duration") & F.col("end_date").isNotNull())
-    latest = ended.groupBy("doc_id").agg(F.max("end_date").alias("end_date"))
-    return pick_first(ended.join(latest, ["doc_id", "end_date"]), ["doc_id"], [F.col("ctx_ord")], ["ctx_id", "end_date"])
+    latest = -F.coalesce(F.unix_date(F.try_to_date("end_date")), F.lit(-(2**31)))
+    return pick_first(ended, ["doc_id"], [latest, F.col("ctx_ord")], ["ctx_id", "end_date"])
 
 
 def chosen_context(contexts: DataFrame, year: Column, quarter: Column, yearly: bool = False) -> DataFrame:
@@ -89,10 +89,10 @@ def mapped_values(facts: DataFrame, mappings: DataFrame, duration: DataFrame, in
     return found.unionByName(absent.select("doc_id", "field", "value", F.lit(None).cast("string").alias("fact")))
 
 
-def year_to_date_max(facts: DataFrame, contexts: DataFrame, name: str, factor: int = 1000) -> DataFrame:
-    """Greatest scaled value (rounded down) of a fact per document among contexts that start on the first of January."""
-    dated = with_contexts(facts_named(facts, name), contexts).where(F.col("start_date").endswith("-01-01"))
-    return dated.groupBy("doc_id").agg(F.max(scale_floor(number_text(F.col("value")), factor)).alias("ytd")).where("ytd is not null")
+def year_to_date_max(facts: DataFrame, contexts: DataFrame, name: str | None = None, factor: int = 1000) -> DataFrame:
+    """``(doc_id, name, ytd)``: greatest scaled value (rounded down) of each fact, or of one, per document among contexts that start on the first of January."""
+    dated = with_contexts(facts if name is None else facts_named(facts, name), contexts).where(F.col("start_date").endswith("-01-01"))
+    return dated.groupBy("doc_id", "name").agg(F.max(scale_floor(number_text(F.col("value")), factor)).alias("ytd")).where("ytd is not null")
 
 
 def fact_categories(facts: DataFrame) -> DataFrame:

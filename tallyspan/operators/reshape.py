@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,9 +68,10 @@ def data_url(content: Column, mime: Column | str) -> Column:
 
 
 def split_document(pages: DataFrame, doc: Sequence[str], page: str, title: Column) -> DataFrame:
-    """Pages with ``part``: 1 before a document's first title page, 2 from it on; all 1 where there is none. ``title`` is a condition over a page."""
-    first = pages.where(F.coalesce(title, F.lit(False))).groupBy(*doc).agg(F.min(page).alias("__first"))
-    return pages.join(first, list(doc), "left").withColumn("part", F.when(F.col(page) >= F.col("__first"), 2).otherwise(1)).drop("__first")
+    """Pages with ``part``: 1 before a document's first title page, 2 from it on; all 1 where there is none. A null document is one of its own. ``title`` is a condition over a page."""
+    first = pages.where(F.coalesce(title, F.lit(False))).groupBy(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(doc)]).agg(F.min(page).alias("__first"))
+    same = reduce(lambda x, y: x & y, [F.col(d).eqNullSafe(F.col(f"__d{i}")) for i, d in enumerate(doc)])
+    return pages.join(first, same, "left").select(*pages.columns, F.when(F.col(page) >= F.col("__first"), 2).otherwise(1).alias("part"))
 
 
 def combine_vectors(tables: Sequence[DataFrame], key: str, vector: str) -> DataFrame:

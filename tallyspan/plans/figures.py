@@ -148,12 +148,6 @@ def reference_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of each note against its total row."""
-    items = table(spark, sf_dir, "line_item").where("section in ('nota_21', 'nota_22')").select("doc_id", "section", F.replace("concepto", F.lit("Suma"), F.lit("Total")).alias("concepto"), "ytd_actual")
-    return validate.section_total(items, ["doc_id", "section"], "concepto", "ytd_actual")
-
-
-def section_total_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of every section that the field rules give one total, against its total row.
 
     Sections without a total have nothing to check, and several totals are
@@ -196,13 +190,6 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of a sheet's layout with the sum of their figures, null where there are none."""
-    layout = table(spark, sf_dir, "field_rule").select("sheet", "field", "row_no", "label")
-    sums = table(spark, sf_dir, "value_pdf").where("quarter = 4").groupBy("sheet", "field").agg(F.count("value").alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return merge.layout_map(layout, sums, ["sheet", "field"], "row_no")
-
-
-def layout_map_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of a sheet's layout in every year and quarter with the sum of their figures, null where there are none. Fields count however spelled."""
     values = table(spark, sf_dir, "value_pdf").withColumn("field", field_name(F.col("field")))
     layout = with_each(values.select("year", "quarter").distinct(), table(spark, sf_dir, "field_rule").select("sheet", "field", "row_no", "label"))
@@ -234,31 +221,18 @@ def normalize_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report lines of the checks of the notes' totals."""
-    checks = section_total(spark, sf_dir).withColumnsRenamed({"calculated": "expected", "reported": "actual"})
-    return reshape.report_rows(checks, "section", "doc_id")
-
-
-def report_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report lines of the checks of all sections' totals."""
-    checks = section_total_all(spark, sf_dir).withColumnsRenamed({"calculated": "expected", "reported": "actual"})
+    checks = section_total(spark, sf_dir).withColumnsRenamed({"calculated": "expected", "reported": "actual"})
     return reshape.report_rows(checks, "section", "doc_id")
 
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of each segment's documents before and from the first page that speaks of the auditors."""
-    pages = table(spark, sf_dir, "documents").where("segment_id is not null").select("segment_id", "doc_id", "page_no", "text")
+    pages = table(spark, sf_dir, "documents").select("segment_id", "doc_id", "page_no", "text")
     return reshape.split_document(pages, ["segment_id"], "page_no", F.lower("text").contains("auditores")).select("doc_id", "segment_id", "part")
 
 
 def combined_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings joined end to end with those of an equal label half: first and last element."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
-    both = reshape.combine_vectors([rows, rows.where("label % 2 = 0")], "vec_id", "embedding")
-    return both.select("vec_id", F.size("embedding").alias("width"), F.round(F.element_at("embedding", -1), 6).alias("last"))
-
-
-def combined_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding joined end to end with the one of its id in a second table, here the whole table again: width and last element."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     both = reshape.combine_vectors([rows, rows], "vec_id", "embedding")
@@ -271,6 +245,5 @@ QUERIES = {
         reconcile_order_totals, reconcile_sources, formula_check, validation_summary, parse_thousands, parse_locale_decimal, parse_mixed_number, normalize_line, number_tokens, current_value,
         normalize_text, clean_whitespace, snake_case_names, content_hash, scale_floor_trunc, period_key, period_parse, provenance_primary, fallback_chain, top_orders, reference_check, section_total,
         coalesce_merge, period_matrix, matrix_unpivot, incremental_append, layout_map, missing_keys, valid_keys, period_cross, normalize_frame, report_rows, split_documents, combined_vectors,
-        section_total_all, report_rows_all, combined_vectors_all, layout_map_all,
     )
 }

@@ -103,11 +103,6 @@ SQL = {
       select p_partkey, p_retailprice as expected, v as value, round(abs(v - p_retailprice), 4) as difference,
              coalesce(case when p_retailprice = 0 then v is not null else abs(v - p_retailprice) / abs(p_retailprice) <= 0.01 end, false) as match
       from part left join s on p_partkey = l_partkey""",
-    "section_total": """
-      select doc_id, section, sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end)::bigint as calculated, max(ytd_actual) filter (t) as reported,
-             (max(ytd_actual) filter (t) - sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end))::bigint as difference,
-             coalesce(max(ytd_actual) filter (t) = sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end), false) as match
-      from (select *, contains(lower(replace(concepto, 'Suma', 'Total')), 'total') as t from line_item where section in ('nota_21', 'nota_22')) group by 1, 2""",
     "coalesce_merge": """
       with x as (select segment_id, year, quarter, regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as field, max(value) as value, max(note_ref) as note_ref from value_xbrl group by all),
            p as (select segment_id, year, quarter, regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as field, max(value) as value, max(note_ref) as note_ref from value_pdf group by all)
@@ -118,24 +113,12 @@ SQL = {
     "period_matrix": f"select status, {', '.join(f'''max(value) filter (period = '{p}') as "{p}"''' for p in _PERIODS)} from ({_BY_QUARTER}) group by status",
     "matrix_unpivot": f"select status, period, value from ({_BY_QUARTER}) where period in ({', '.join(repr(p) for p in _PERIODS)})",
     "incremental_append": f"with v as ({_BY_QUARTER}) select status, period, value from v where period < '1998_Q1' union all select status, period, -value from v where period >= '1998_Q1'",
-    "layout_map": """
-      with s as (select sheet, field, count(value) as n, round(sum(value), 2) as total from value_pdf where quarter = 4 group by 1, 2)
-      select r.sheet, r.field, row_no, label, n, total from field_rule r left join s on r.sheet = s.sheet and r.field = s.field""",
     "missing_keys": "select doc_id as k from documents where not exists (select 1 from embeddings where vec_id = doc_id)",
     "valid_keys": "select vec_id as k, label from embeddings where exists (select 1 from documents where doc_id = vec_id)",
     "period_cross": "select year, month, (month // 3)::int as quarter from (select distinct year(o_orderdate)::int as year from orders), (select unnest([3, 6, 9, 12])::int as month)",
-    "report_rows": """
-      select section as category, case when match then 'ok: ' || doc_id || ' = ' || coalesce(format('{:,}', actual), '-')
-             else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{:,}', expected), '-') || ', found ' || coalesce(format('{:,}', actual), '-') || ', off by ' || coalesce(format('{:,}', difference), '-') end as line
-      from (select doc_id, section, calculated as expected, reported as actual, (reported - calculated) as difference, coalesce(reported = calculated, false) as match
-            from (select doc_id, section, sum(case when coalesce(t, false) then 0 else coalesce(ytd_actual, 0) end)::bigint as calculated, max(ytd_actual) filter (t) as reported
-                  from (select *, contains(lower(replace(concepto, 'Suma', 'Total')), 'total') as t from line_item where section in ('nota_21', 'nota_22')) group by 1, 2))""",
     "split_documents": """
       with f as (select segment_id, min(page_no) as p from documents where contains(lower(text), 'auditores') group by 1)
-      select doc_id, d.segment_id, case when page_no >= p then 2 else 1 end as part from documents d left join f on f.segment_id = d.segment_id where d.segment_id is not null""",
-    "combined_vectors": """
-      select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last
-      from embeddings where label % 2 = 0""",
+      select doc_id, d.segment_id, case when page_no >= p then 2 else 1 end as part from documents d left join f on f.segment_id is not distinct from d.segment_id""",
 }
 
 SQL["normalize_frame"] = (
@@ -148,13 +131,13 @@ _TOTALS = """
         where section in (select section from field_rule where is_total group by 1 having count(*) = 1)) group by 1, 2
 """
 
-SQL["section_total_all"] = f"select doc_id, section, calculated, reported, (reported - calculated)::bigint as difference, coalesce(reported = calculated, false) as match from ({_TOTALS})"
-SQL["report_rows_all"] = f"""
+SQL["section_total"] = f"select doc_id, section, calculated, reported, (reported - calculated)::bigint as difference, coalesce(reported = calculated, false) as match from ({_TOTALS})"
+SQL["report_rows"] = f"""
   select section as category, case when coalesce(reported = calculated, false) then 'ok: ' || doc_id || ' = ' || coalesce(format('{{:,}}', reported), '-')
          else 'mismatch: ' || doc_id || ' expected ' || coalesce(format('{{:,}}', calculated), '-') || ', found ' || coalesce(format('{{:,}}', reported), '-') || ', off by ' || coalesce(format('{{:,}}', reported - calculated), '-') end as line
   from ({_TOTALS})"""
-SQL["combined_vectors_all"] = "select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last from embeddings"
-SQL["layout_map_all"] = """
+SQL["combined_vectors"] = "select vec_id, (2 * len(embedding))::int as width, round(embedding[len(embedding)]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as last from embeddings"
+SQL["layout_map"] = """
   with v as (select * replace (regexp_replace(lower(trim(field)), '[ _-]+', '_', 'g') as field) from value_pdf),
        s as (select sheet, field, year, quarter, count(value) as n, round(sum(value), 2) as total from v group by all)
   select r.sheet, r.field, p.year, p.quarter, row_no, label, n, total from field_rule r cross join (select distinct year, quarter from v) p

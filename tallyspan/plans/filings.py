@@ -15,25 +15,6 @@ from tallyspan.sources.tables import rule_rows, table
 from tallyspan.streaming import ingest
 
 
-def _rules(spark: SparkSession, sf_dir: str, section: str) -> list:
-    rows = [r for r in rule_rows(table(spark, sf_dir, "keyword_rule")) if r.section == section]
-    return sorted(rows, key=lambda r: r.rule_ord)
-
-
-def label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cost note items by longest contained label or four fifths of its words."""
-    labels = [r.labels[0] for r in _rules(spark, sf_dir, "nota_21")]
-    items = table(spark, sf_dir, "line_item").where("section = 'nota_21'")
-    return items.select("item_id", matching.match_label(F.col("concepto"), labels).alias("label"))
-
-
-def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items by the first field whose keywords occur and whose excluded words don't."""
-    rules = [(r.field, r.match_words, r.exclude_words) for r in _rules(spark, sf_dir, "resultados")]
-    items = table(spark, sf_dir, "line_item").where("section = 'resultados'")
-    return items.select("item_id", matching.match_keywords(F.col("concepto"), rules).alias("field"))
-
-
 def _by_section(spark: SparkSession, sf_dir: str) -> dict[str, list]:
     """The keyword rules of each section in their order."""
     rules: dict[str, list] = {}
@@ -52,14 +33,14 @@ def _section_field(spark: SparkSession, sf_dir: str) -> Column:
     return matching.of_section(F.col("section"), {s: matching.match_keywords(F.col("concepto"), rs) for s, rs in rules.items()})
 
 
-def label_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """label_match for the items of every section, each with the labels of its own."""
+def label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by the longest contained label of their section, or four fifths of its words."""
     items = table(spark, sf_dir, "line_item").select("item_id", "section", "concepto")
     return matching.with_section_label(items, F.col("concepto"), "section", _section_labels(spark, sf_dir), "label").select("item_id", "label")
 
 
-def keyword_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """keyword_match for the items of every section, each with the rules of its own."""
+def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by the first field of their section whose keywords occur and whose excluded words don't."""
     return table(spark, sf_dir, "line_item").select("item_id", _section_field(spark, sf_dir).alias("field"))
 
 
@@ -83,8 +64,8 @@ def table_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best scored document of each segment."""
-    docs = table(spark, sf_dir, "documents").select("segment_id", "doc_id", F.lower("text").alias("t")).where("t is not null and segment_id is not null")
+    """The best scored document of each segment; documents without one are a group of their own."""
+    docs = table(spark, sf_dir, "documents").select("segment_id", "doc_id", F.lower("text").alias("t")).where("t is not null")
     return matching.best_table(docs, ["segment_id"], "doc_id", "t", _EXPECTED, _UNIQUE, _EXCLUDED, 2)
 
 
@@ -94,14 +75,7 @@ def explode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The value of the first line of each document that names a field of the income statement and has a value."""
-    lines = segments.text_lines(table(spark, sf_dir, "documents"), ["doc_id"], "text")
-    rules = table(spark, sf_dir, "keyword_rule").where("section = 'resultados'").select("field", "match_words", "exclude_words")
-    return matching.keyword_values(lines, ["doc_id"], "line_no", "line", current_value(F.col("line")), rules)
-
-
-def line_values_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """line_values with every keyword rule; a field that two sections have comes out once for each."""
+    """The value of the first line of each document that names a field and has a value; a field that two sections have comes out once for each."""
     lines = segments.text_lines(table(spark, sf_dir, "documents"), ["doc_id"], "text")
     rules = table(spark, sf_dir, "keyword_rule").select(F.concat_ws("/", "section", "field").alias("field"), "match_words", "exclude_words")
     found = matching.keyword_values(lines, ["doc_id"], "line_no", "line", current_value(F.col("line")), rules)
@@ -149,19 +123,14 @@ def facts_by_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapped_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mapped income statement fields of each filing in its current context."""
-    mappings = table(spark, sf_dir, "fact_mapping").where("context_type = 'duration'")
-    return filings.mapped_values(table(spark, sf_dir, "xbrl_fact"), mappings, _current(spark, sf_dir))
-
-
-def mapped_facts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All mapped fields of each filing: durations in its current context, instants in its yearly one."""
     year, quarter = F.regexp_extract("doc_id", r"_([0-9]{4})Q", 1).try_cast("int"), F.regexp_extract("doc_id", r"Q([1-4])$", 1).try_cast("int")
     return sheets.from_filings(table(spark, sf_dir, "xbrl_fact"), table(spark, sf_dir, "xbrl_context"), table(spark, sf_dir, "fact_mapping"), year, quarter)
 
 
 def ytd_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filings.year_to_date_max(table(spark, sf_dir, "xbrl_fact"), table(spark, sf_dir, "xbrl_context"), "Revenue")
+    """Greatest year-to-date value of every fact of each filing."""
+    return filings.year_to_date_max(table(spark, sf_dir, "xbrl_fact"), table(spark, sf_dir, "xbrl_context"))
 
 
 def fact_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,32 +147,14 @@ def sheet_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sheet_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheet figures from the items of the cost note: matched by keyword, a later item overwriting an earlier one."""
-    rules = [(r.field, r.match_words, r.exclude_words) for r in _rules(spark, sf_dir, "nota_21")]
-    items = table(spark, sf_dir, "line_item").where("section = 'nota_21' and ytd_actual is not null")
-    named = items.select("doc_id", "item_ord", "item_id", "ytd_actual", matching.match_keywords(F.col("concepto"), rules).alias("field")).where("field is not null")
-    return pick_first(named, ["doc_id", "field"], [-F.col("item_ord"), -F.col("item_id")], ["ytd_actual"])
-
-
-def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table rows of items rebuilt as cells and parsed by label, a total row included."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    cells = F.array("concepto", *[text(c) for c in ("ytd_actual", "ytd_anterior", "quarter_actual", "quarter_anterior")])
-    rows = table(spark, sf_dir, "line_item").where("section = 'nota_22' and concepto is not null").select("doc_id", "item_id", cells.alias("cells"))
-    labels = [r.labels[0] for r in _rules(spark, sf_dir, "nota_22")]
-    parsed = grids.parse_grid(rows, ["doc_id"], "item_id", "cells", labels)
-    return grids.line_items(parsed, ["doc_id", "item_id", "line"])
-
-
-def sheet_items_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sheet_items for every section, a figure for each document, section and field."""
+    """Sheet figures from items: matched by the keywords of their section, a later item overwriting an earlier one."""
     items = table(spark, sf_dir, "line_item").where("ytd_actual is not null")
     named = items.select("doc_id", "section", "item_ord", "item_id", "ytd_actual", _section_field(spark, sf_dir).alias("field")).where("field is not null")
     return pick_first(named, ["doc_id", "section", "field"], [-F.col("item_ord"), -F.col("item_id")], ["ytd_actual"])
 
 
-def grid_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """grid_rows for the items of every section, each parsed by the labels of its own."""
+def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table rows of items rebuilt as cells and parsed by the labels of their section, a total row included."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
     cells = F.array("concepto", *[text(c) for c in ("ytd_actual", "ytd_anterior", "quarter_actual", "quarter_anterior")])
     rows = table(spark, sf_dir, "line_item").where("concepto is not null").select("doc_id", "section", "item_id", cells.alias("cells"))
@@ -259,7 +210,6 @@ QUERIES = {
     for f in (
         label_match, keyword_match, page_find, section_context, table_score, best_table, explode_lines, line_values, line_segments, chosen_segment, latest_context, current_context, year_context,
         fact_contexts, facts_by_substring, mapped_facts, ytd_max, fact_categories, units_distinct, sheet_listing, sheet_items, grid_rows, vector_topk, neighbor_counts, concat_normalize, refactor_index,
-        pca_clusters, stream_totals, label_match_all, keyword_match_all, line_values_all, sheet_items_all, grid_rows_all,
-        mapped_facts_all,
+        pca_clusters, stream_totals,
     )
 }

@@ -43,23 +43,7 @@ _CONTEXTS = "(select * from xbrl_context qualify row_number() over (partition by
 _NUMBER = "try_cast(case when regexp_full_match(trim(regexp_replace(value, '\\s+', ' ', 'g')), '[+-]?[0-9]*\\.?[0-9]+') then trim(regexp_replace(value, '\\s+', ' ', 'g')) end as double)"
 
 
-def _keyword_case(section: str, column: str) -> str:
-    return f"""
-      select {{0}}, (select arg_min(k.field, k.rule_ord) from keyword_rule k where k.section = '{section}'
-        and len(list_filter(k.match_words, lambda w: contains(lower({column}), lower(w)))) > 0
-        and len(list_filter(k.exclude_words, lambda w: contains(lower({column}), lower(w)))) = 0) as field
-      from line_item where section = '{section}'"""
-
-
 SQL = {
-    "label_match": f"""
-      with items as (select item_id, {_NORM.format("concepto")} as n from line_item where section = 'nota_21'),
-           labels as (select labels[1] as label, rule_ord, {_NORM.format("labels[1]")} as m from keyword_rule where section = 'nota_21'),
-           hits as (
-             select item_id, label, rule_ord from items, labels
-             where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: len(list_filter(string_split(n, ' '), lambda c: contains(c, w))) > 0)) >= 0.8 * len(string_split(m, ' ')))
-      select i.item_id, (select label from hits h where h.item_id = i.item_id order by -length(label), rule_ord limit 1) as label from items i""",
-    "keyword_match": _keyword_case("resultados", "concepto").format("item_id"),
     "page_find": """
       select segment_id, min(page_no) as page_no from (select segment_id, page_no, lower(text) as t from documents)
       where (contains(t, 'costo') or contains(t, 'cost') or contains(t, 'coût') or contains(t, 'cout'))
@@ -68,7 +52,7 @@ SQL = {
       select doc_id, p::int as position, md5(substr(text, greatest(1, p - 100), p + 200 - greatest(1, p - 100))) as context_md5
       from (select doc_id, text, strpos(lower(text), 'nota ') as p from documents) where p > 0""",
     "table_score": f"select doc_id, score from {_SCORE}",
-    "best_table": f"select segment_id, doc_id, score from {_SCORE} where score >= 2 and segment_id is not null qualify row_number() over (partition by segment_id order by score desc, doc_id) = 1",
+    "best_table": f"select segment_id, doc_id, score from {_SCORE} where score >= 2 qualify row_number() over (partition by segment_id order by score desc, doc_id) = 1",
     "explode_lines": f"select doc_id, line_no::int as line_no, length(line)::int as n_chars from ({_LINES})",
     "line_segments": f"select user_id, seg_no, count(*) as n, min(event_id) as first_id from ({_SEGMENTS}) group by 1, 2",
     "chosen_segment": f"""
@@ -79,36 +63,18 @@ SQL = {
     "year_context": _YEARLY,
     "fact_contexts": f"select f.fact_id, f.doc_id, f.context_ref, c.period_type, c.start_date, c.end_date, c.instant from xbrl_fact f left join {_CONTEXTS} c on c.doc_id = f.doc_id and c.ctx_id = f.context_ref",
     "facts_by_substring": "select fact_id, name from xbrl_fact where contains(lower(name), 'profitloss')",
-    "mapped_facts": f"""
-      with cur as ({_CURRENT}), names as (
-        select field, apply_scaling, ensure_negative, default_value, unnest(ns) as name, generate_subscripts(ns, 1) as rank
-        from (select *, [primary_fact] || coalesce(fallbacks, []) as ns from fact_mapping where context_type = 'duration')
-      ), firsts as (
-        select f.doc_id, n.field, n.rank, n.name, apply_scaling, ensure_negative, {_NUMBER} as v
-        from xbrl_fact f join names n on f.name = n.name join cur on cur.doc_id = f.doc_id and cur.ctx_id = f.context_ref
-        qualify row_number() over (partition by f.doc_id, n.field, n.rank order by fact_ord) = 1
-      ), best as (
-        select *, case when apply_scaling then trunc(v / 1000)::bigint::double else v end as s from firsts where v is not null qualify row_number() over (partition by doc_id, field order by rank) = 1
-      ), found as (select doc_id, field, case when ensure_negative and s > 0 then -s else s end as value, name as fact from best)
-      select * from found union all
-      select cur.doc_id, m.field, m.default_value, null from cur, fact_mapping m
-      where m.context_type = 'duration' and m.default_value is not null and not exists (select 1 from found where found.doc_id = cur.doc_id and found.field = m.field)""",
     "ytd_max": f"""
-      select f.doc_id, max(floor({_NUMBER} / 1000))::bigint as ytd from xbrl_fact f join {_CONTEXTS} c on c.doc_id = f.doc_id and c.ctx_id = f.context_ref
-      where f.name = 'Revenue' and ends_with(c.start_date, '-01-01') group by 1 having ytd is not null""",
+      select f.doc_id, f.name, max(floor({_NUMBER} / 1000))::bigint as ytd from xbrl_fact f join {_CONTEXTS} c on c.doc_id = f.doc_id and c.ctx_id = f.context_ref
+      where ends_with(c.start_date, '-01-01') group by 1, 2 having ytd is not null""",
     "fact_categories": "select regexp_extract(name, '[A-Z][a-z]*') as category, count(*) as n from xbrl_fact group by 1",
     "units_distinct": "select distinct unit_ref, coalesce(nullif(regexp_extract(unit_ref, 'iso4217[:_]([A-Z]{3})', 1), ''), unit_ref) as label from xbrl_fact where unit_ref is not null",
     "sheet_listing": """
       select file_id, regexp_extract(file_name, '^([A-Za-z]+[0-9]*)_', 1) as sheet_name, regexp_extract(file_name, '[0-9]{4}')::int as year,
              case coalesce(nullif(regexp_extract(file_name, '_(IV|III|II|I)Q[0-9]{4}', 1), ''), regexp_extract(file_name, '_Q(IV|III|II|I|[1-4])\\.', 1))
                when 'I' then 1 when '1' then 1 when 'II' then 2 when '2' then 2 when 'III' then 3 when '3' then 3 when 'IV' then 4 when '4' then 4 end as quarter from sheet_file""",
-    "sheet_items": f"""
-      with n as ({_keyword_case("nota_21", "concepto").format("doc_id, item_ord, item_id, ytd_actual")})
-      select doc_id, field, ytd_actual from n where field is not null and ytd_actual is not null qualify row_number() over (partition by doc_id, field order by item_ord desc, item_id desc) = 1""",
     "line_values": f"""
       with m as (
-        select l.doc_id, l.line_no, l.line, k.field from ({_LINES}) l join keyword_rule k on k.section = 'resultados'
-          and len(list_filter(k.match_words, lambda w: contains(lower(l.line), lower(w)))) > 0 and len(list_filter(k.exclude_words, lambda w: contains(lower(l.line), lower(w)))) = 0
+        select l.doc_id, l.line_no, l.line, k.section, k.field from ({_LINES}) l join keyword_rule k on len(list_filter(k.match_words, lambda w: contains(lower(l.line), lower(w)))) > 0 and len(list_filter(k.exclude_words, lambda w: contains(lower(l.line), lower(w)))) = 0
       ), tok as (
         select doc_id, line_no, list_filter(regexp_extract_all({_NORMAL}, '-?[0-9.,]+'), lambda x: regexp_matches(x, '[0-9]')) as ts from (select distinct doc_id, line_no, line from m)
       ), parts as (
@@ -119,20 +85,7 @@ SQL = {
       ), first as (
         select doc_id, line_no, v from num where not (whole and v > 0 and v < 100) qualify row_number() over (partition by doc_id, line_no order by i) = 1
       )
-      select m.doc_id, field, v as value from m join first on first.doc_id = m.doc_id and first.line_no = m.line_no qualify row_number() over (partition by m.doc_id, field order by m.line_no) = 1""",
-    "grid_rows": f"""
-      with cells as (select *, string_split(concepto, chr(10)) as ls from line_item where section = 'nota_22' and concepto is not null),
-           lines as (select doc_id, item_id, i - 1 as line, t, ytd_actual, ytd_anterior, quarter_actual, quarter_anterior
-                     from (select *, unnest(ls) as t, generate_subscripts(ls, 1) as i from cells) where trim(t) <> ''),
-           named as (select *, {_NORM.format("t")} as n from lines),
-           labels as (select labels[1] as label, rule_ord, {_NORM.format("labels[1]")} as m from keyword_rule where section = 'nota_22'),
-           hits as (
-             select item_id, line, label from named, labels
-             where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: contains(n, w))) >= 0.8 * len(string_split(m, ' '))
-             qualify row_number() over (partition by item_id, line order by -length(label), rule_ord) = 1)
-      select doc_id, d.item_id, d.line::int as line, coalesce(label, 'Totales') as concepto, case when d.line = 0 then ytd_actual end as ytd_actual, case when d.line = 0 then ytd_anterior end as ytd_anterior,
-             case when d.line = 0 then quarter_actual end as quarter_actual, case when d.line = 0 then quarter_anterior end as quarter_anterior
-      from named d left join hits h on h.item_id = d.item_id and h.line = d.line where label is not null or contains(lower(t), 'total')""",
+      select m.doc_id, section, field, v as value from m join first on first.doc_id = m.doc_id and first.line_no = m.line_no qualify row_number() over (partition by m.doc_id, section, field order by m.line_no) = 1""",
     "vector_topk": """
       with q as (select vec_id as query_id, embedding as qe from embeddings where vec_id % 50 = 0),
            s as (select query_id, vec_id as neighbor_id, round(list_cosine_similarity(qe::double[], embedding::double[]), 9) as sim from q, embeddings where vec_id <> query_id)
@@ -154,19 +107,19 @@ _FIELD_OF = """(select arg_min(k.field, k.rule_ord) from keyword_rule k where k.
 
 _SECTION_LABELS = f"select *, {_NORM.format('label')} as m from (select section, rule_ord, unnest(labels) as label, generate_subscripts(labels, 1) as place from keyword_rule)"
 
-SQL["label_match_all"] = f"""
+SQL["label_match"] = f"""
   with items as (select item_id, section, {_NORM.format("concepto")} as n from line_item), labels as ({_SECTION_LABELS}),
        hits as (
          select item_id, label from items i join labels l on i.section = l.section
          where contains(n, m) or len(list_filter(string_split(m, ' '), lambda w: contains(n, w))) >= 0.8 * len(string_split(m, ' '))
          qualify row_number() over (partition by item_id order by -length(label), rule_ord, place) = 1)
   select i.item_id, label from items i left join hits h on h.item_id = i.item_id"""
-SQL["keyword_match_all"] = f"select item_id, {_FIELD_OF} as field from line_item l"
-SQL["sheet_items_all"] = f"""
+SQL["keyword_match"] = f"select item_id, {_FIELD_OF} as field from line_item l"
+SQL["sheet_items"] = f"""
   with n as (select doc_id, section, item_ord, item_id, ytd_actual, {_FIELD_OF} as field from line_item l)
   select doc_id, section, field, ytd_actual from n where field is not null and ytd_actual is not null
   qualify row_number() over (partition by doc_id, section, field order by item_ord desc, item_id desc) = 1"""
-SQL["grid_rows_all"] = f"""
+SQL["grid_rows"] = f"""
   with lines as (select doc_id, section, item_id, i - 1 as line, t, ytd_actual, ytd_anterior, quarter_actual, quarter_anterior
                  from (select *, unnest(ls) as t, generate_subscripts(ls, 1) as i from (select *, string_split(concepto, chr(10)) as ls from line_item where concepto is not null)) where trim(t) <> ''),
        named as (select *, {_NORM.format("t")} as n from lines), labels as ({_SECTION_LABELS}),
@@ -177,12 +130,7 @@ SQL["grid_rows_all"] = f"""
   select doc_id, section, d.item_id, d.line::int as line, coalesce(label, 'Totales') as concepto, case when d.line = 0 then ytd_actual end as ytd_actual, case when d.line = 0 then ytd_anterior end as ytd_anterior,
          case when d.line = 0 then quarter_actual end as quarter_actual, case when d.line = 0 then quarter_anterior end as quarter_anterior
   from named d left join hits h on h.item_id = d.item_id and h.line = d.line where label is not null or contains(lower(t), 'total')"""
-# as line_values, with every rule and a value for each section and field
-SQL["line_values_all"] = (
-    SQL["line_values"].replace("select l.doc_id, l.line_no, l.line, k.field", "select l.doc_id, l.line_no, l.line, k.section, k.field").replace("on k.section = 'resultados'\n          and", "on")
-    .replace("select m.doc_id, field,", "select m.doc_id, section, field,").replace("partition by m.doc_id, field order", "partition by m.doc_id, section, field order")
-)
-SQL["mapped_facts_all"] = f"""
+SQL["mapped_facts"] = f"""
   with cur as ({_CURRENT}), instants as (
     select doc_id, ctx_id from xbrl_context where period_type = 'instant' and starts_with(instant, regexp_extract(doc_id, '_([0-9]{{4}})Q', 1)) qualify row_number() over (partition by doc_id order by ctx_ord) = 1
   ), chosen as (

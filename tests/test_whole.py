@@ -11,7 +11,7 @@ def rows_of(spark, data, name):
     return registry.QUERIES[name](spark, data)
 
 
-@pytest.mark.parametrize("name", ["label_match_all", "keyword_match_all"])
+@pytest.mark.parametrize("name", ["label_match", "keyword_match"])
 def test_every_item_is_matched(spark, data, name):
     got = rows_of(spark, data, name)
     assert got.count() == spark.read.parquet(f"{data}/line_item.parquet").count()
@@ -19,14 +19,14 @@ def test_every_item_is_matched(spark, data, name):
     assert {r.section for r in found.collect()} == {"ingresos", "nota_21", "nota_22", "resumen", "resultados", "indicadores"}
 
 
-@pytest.mark.parametrize("name", ["sheet_items_all", "grid_rows_all", "line_values_all"])
+@pytest.mark.parametrize("name", ["sheet_items", "grid_rows", "line_values"])
 def test_every_section_comes_out(spark, data, name):
     assert {"ingresos", "nota_21", "nota_22", "resumen", "resultados", "indicadores"} == {r.section for r in rows_of(spark, data, name).select("section").distinct().collect()}
 
 
 def test_sections_with_one_total(spark, data):
-    assert {r.section for r in rows_of(spark, data, "section_total_all").select("section").distinct().collect()} == {"nota_21", "nota_22", "resumen"}
-    assert rows_of(spark, data, "report_rows_all").count() == rows_of(spark, data, "section_total_all").count()
+    assert {r.section for r in rows_of(spark, data, "section_total").select("section").distinct().collect()} == {"nota_21", "nota_22", "resumen"}
+    assert rows_of(spark, data, "report_rows").count() == rows_of(spark, data, "section_total").count()
 
 
 def test_grid_labels_of_own_section(spark):
@@ -36,7 +36,7 @@ def test_grid_labels_of_own_section(spark):
 
 
 def test_every_vector_is_combined(spark, data):
-    assert rows_of(spark, data, "combined_vectors_all").count() == spark.read.parquet(f"{data}/embeddings.parquet").count()
+    assert rows_of(spark, data, "combined_vectors").count() == spark.read.parquet(f"{data}/embeddings.parquet").count()
 
 
 def test_key_lacking_in_a_table(spark):
@@ -47,7 +47,7 @@ def test_key_lacking_in_a_table(spark):
 
 def test_every_mapped_field_comes_out(spark, data):
     mapped = {r.field for r in spark.read.parquet(f"{data}/fact_mapping.parquet").select("field").collect()}
-    assert {r.field for r in rows_of(spark, data, "mapped_facts_all").select("field").distinct().collect()} == mapped
+    assert {r.field for r in rows_of(spark, data, "mapped_facts").select("field").distinct().collect()} == mapped
 
 
 def test_instant_field_of_a_fourth_quarter(spark):
@@ -61,4 +61,4 @@ def test_instant_field_of_a_fourth_quarter(spark):
 
 def test_layout_holds_every_figure(spark, data):
     values = spark.read.parquet(f"{data}/value_pdf.parquet")
-    assert rows_of(spark, data, "layout_map_all").agg(F.sum("n")).first()[0] == values.where("value is not null").count()
+    assert rows_of(spark, data, "layout_map").agg(F.sum("n")).first()[0] == values.where("value is not null").count()
