@@ -139,3 +139,14 @@ def best_table(tables: DataFrame, key: Sequence[str], index: str, text: str, exp
     """The table of greatest score per key, the first among equals, if it reaches ``least``."""
     scored = tables.withColumn("score", score_table(F.col(text), expected, unique, exclude)).where(F.col("score") >= least)
     return pick_first(scored, key, [-F.col("score"), F.col(index)], [index, "score"])
+
+
+def best_table_or_next(tables: DataFrame, wanted: DataFrame, key: Sequence[str], page: str, index: str, text: str, expected: Sequence[str], unique: Sequence[str] = (), exclude: Sequence[str] = (), least: int = 3) -> DataFrame:
+    """``(key, page, index, score)``: the best table on the wanted page of each key, or where none there reaches ``least``, on the page after it.
+
+    ``wanted``: key and page. An equi-join on key and page, not on the key
+    alone, so that only the tables of the two pages are scored.
+    """
+    turns = wanted.select(*key, F.posexplode(F.array(F.col(page), F.col(page) + 1)).alias("__turn", page))
+    scored = tables.join(turns, [*key, page]).withColumn("score", score_table(F.col(text), expected, unique, exclude)).where(F.col("score") >= least)
+    return pick_first(scored, key, [F.col("__turn"), -F.col("score"), F.col(index)], [page, index, "score"])

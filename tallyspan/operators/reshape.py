@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tallyspan.functions import periods
 from tallyspan.functions.numbers import parse_mixed_number
@@ -89,10 +90,36 @@ def exclude_pairs(pairs: DataFrame, a: str, b: str, patterns: DataFrame) -> Data
     return pairs.where(~F.exists(rules, lambda r: (x.contains(r["first"]) & y.contains(r["second"])) | (x.contains(r["second"]) & y.contains(r["first"]))))
 
 
-def report_rows(checks: DataFrame, category: str, name: str) -> DataFrame:
-    """``(category, line)``: one line of text per check. Rows rather than one text, so that a report may be as long as the checks are many."""
+def check_line(name: Column) -> Column:
+    """One line of text for a check ``(expected, actual, difference, match)``."""
     number = lambda c: F.coalesce(F.format_number(F.col(c).cast("double"), 0), F.lit("-"))
-    text = F.when(F.col("match"), F.concat(F.lit("ok: "), F.col(name), F.lit(" = "), number("actual"))).otherwise(
-        F.concat(F.lit("mismatch: "), F.col(name), F.lit(" expected "), number("expected"), F.lit(", found "), number("actual"), F.lit(", off by "), number("difference"))
+    return F.when(F.col("match"), F.concat(F.lit("ok: "), name, F.lit(" = "), number("actual"))).otherwise(
+        F.concat(F.lit("mismatch: "), name, F.lit(" expected "), number("expected"), F.lit(", found "), number("actual"), F.lit(", off by "), number("difference"))
     )
-    return checks.select(F.col(category).alias("category"), text.alias("line"))
+
+
+def report_rows(checks: DataFrame, category: str, name: str) -> DataFrame:
+    """``(category, line)``: one line of text per check. Rows rather than one text, so that a report may be as long as the checks are many."""
+    return checks.select(F.col(category).alias("category"), check_line(F.col(name)).alias("line"))
+
+
+def sectioned_report(checks: DataFrame, key: Sequence[str], category: str, rule: str, categories: Sequence[str]) -> DataFrame:
+    """``(key, part, line_no, line)``: the report of each key: a header per category with its counts, ``not run`` where it has no check; a line per failed check; and a verdict at the end.
+
+    Counts come from one aggregation per key and category. The lines of failed
+    checks are rows of their own, numbered by rule name within their part.
+    """
+    counts = checks.groupBy(*key).agg(*[F.count_if((F.col(category) == c) & ok).alias(f"__{i}{n}") for i, c in enumerate(categories) for n, ok in (("p", F.col("match")), ("f", ~F.col("match")))])
+    whole = F.lit(0)
+    heads = []
+    for i, c in enumerate(categories):
+        passed, failed = F.col(f"__{i}p"), F.col(f"__{i}f")
+        whole = whole + failed
+        told = F.when(passed + failed == 0, F.lit("not run")).otherwise(F.concat(passed.cast("string"), F.lit(" passed, "), failed.cast("string"), F.lit(" failed")))
+        heads.append(F.struct(F.lit(i).alias("part"), F.concat(F.lit(f"{c}: "), told).alias("line")))
+    verdict = F.struct(F.lit(len(categories)).alias("part"), F.when(whole == 0, F.lit("all checks passed")).otherwise(F.concat(whole.cast("string"), F.lit(" checks failed"))).alias("line"))
+    headers = counts.select(*key, F.inline(F.array(*heads, verdict))).select(*key, "part", F.lit(0).alias("line_no"), "line")
+    part = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col(category)).cast("int") - 1
+    failed = checks.where(~F.col("match")).withColumns({"part": part, "__line": check_line(F.col(rule))})
+    numbered = failed.withColumn("line_no", F.row_number().over(W.partitionBy(*key, "part").orderBy(rule, "__line")))
+    return headers.unionByName(numbered.select(*key, "part", "line_no", F.col("__line").alias("line")))

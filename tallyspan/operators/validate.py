@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.sources.tables import broadcast_if_small
+from tallyspan.operators.formula import compile_rule, variables
+from tallyspan.sources.tables import broadcast_if_small, rule_rows
 
 
 def difference(a: Column, b: Column, signed: bool = True) -> Column:
@@ -85,6 +86,40 @@ def section_total(items: DataFrame, key: Sequence[str], label: str, value: str,
     return summed.select(*key, calculated.alias("calculated"), "reported", (F.col("reported") - calculated).alias("difference"), F.coalesce(F.col("reported") == calculated, F.lit(False)).alias("match"))
 
 
+def formula_checks(values: DataFrame, rules: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``(key, rule, expected, actual, difference, match, missing)`` of formula rules over long figures ``(key, field, value)``.
+
+    ``rules``: rule, formula, tolerance, a rule table. The figures that the
+    formulas name are gathered per key in one aggregation with map-side
+    combine, and every rule is an expression over them; of a repeated figure
+    the greatest counts. A rule with a missing figure passes.
+    """
+    listed = rule_rows(rules)
+    wanted = list(dict.fromkeys(v for r in listed for v in variables(r.formula)))
+    wide = values.where(F.col("field").isin(*wanted)).groupBy(*key).agg(*[F.max(F.when(F.col("field") == v, F.col("value").cast("double"))).alias(f"__v{i}") for i, v in enumerate(wanted)])
+    names = {v: F.col(f"__v{i}") for i, v in enumerate(wanted)}
+    checks = []
+    for r in listed:
+        c = compile_rule(r.formula, names, r.tolerance)
+        checks.append(F.struct(F.lit(r.rule).alias("rule"), *[c[n].cast("double").alias(n) for n in ("expected", "actual", "difference")], c["match"].alias("match"), c["missing"].alias("missing")))
+    return wide.select(*key, F.inline(F.array(*checks)))
+
+
+def pair_checks(values: DataFrame, other: DataFrame, pairs: DataFrame, key: Sequence[str], names: tuple[str, str] = ("pdf", "xbrl")) -> DataFrame:
+    """``(key, rule, value_a, value_b, source, difference, match)``: figures of one source against those that a rule table pairs them with in another, by magnitude within the rule's tolerance.
+
+    ``pairs``: rule, field, other, tolerance. A figure that only one source
+    has matches, and pairs that neither has give no row.
+    """
+    small = broadcast_if_small(pairs)
+    a = values.select(*key, "field", F.col("value").alias("__a")).join(small.select("rule", "field", "tolerance"), "field").select(*key, "rule", "tolerance", "__a")
+    b = other.select(*key, F.col("field").alias("other"), F.col("value").alias("__b")).join(small.select("rule", "other", F.col("tolerance").alias("__t")), "other").select(*key, "rule", "__t", "__b")
+    va, vb = F.col("__a"), F.col("__b")
+    source = F.when(va.isNotNull() & vb.isNotNull(), "both").when(va.isNotNull(), f"{names[0]}_only").otherwise(f"{names[1]}_only")
+    joined = a.join(b, [*key, "rule"], "full").where(va.isNotNull() | vb.isNotNull())
+    return joined.select(*key, "rule", va.alias("value_a"), vb.alias("value_b"), source.alias("source"), F.coalesce(difference(va, vb, False), F.lit(0)).alias("difference"), tolerance_match(va, vb, F.coalesce("tolerance", "__t")).alias("match"))
+
+
 def summary(checks: DataFrame, category: str) -> DataFrame:
     """Count, passed and whether any failed, per category."""
     return checks.groupBy(category).agg(F.count("*").alias("n"), F.count_if("match").alias("passed"), F.bool_or(~F.col("match")).alias("has_failures"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.plans import drift, figures, figures_sql, filings, filings_sql, quality, quality_sql, units
+from tallyspan.plans import drift, figures, figures_sql, filings, filings_sql, pipelines, pipelines_sql, quality, quality_sql, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "p6_comparison": quality.p6_comparison,
     **figures.QUERIES,
     **filings.QUERIES,
+    **pipelines.QUERIES,
 }
 
-SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL, **filings_sql.SQL}
+SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL, **filings_sql.SQL, **pipelines_sql.SQL}

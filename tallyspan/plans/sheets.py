@@ -8,6 +8,7 @@ merged and checked by the general operators.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,17 +90,26 @@ def combined(first: DataFrame, second: DataFrame, least_first: int = 1, fill: bo
     return good.withColumn("source", F.lit("first")).unionByName(other.withColumn("source", F.lit("second")))
 
 
-def checks(values: DataFrame, sums: DataFrame, reference: DataFrame | None = None, other: DataFrame | None = None, tolerance: float = 1.0) -> DataFrame:
-    """Long check rows ``(category, doc_id, rule, expected, actual, difference, match)``: sums, and where given the other source and verified values."""
-    shape = ["doc_id", "rule", F.col("expected").cast("double").alias("expected"), F.col("actual").cast("double").alias("actual"), F.col("difference").cast("double").alias("difference"), "match"]
-    out = validate.sum_check(values, sums, ["doc_id"], tolerance).select(F.lit("sum").alias("category"), *shape)
-    if other is not None:
-        both = validate.source_check(values, other, ["doc_id", "field"], tolerance).withColumnsRenamed({"field": "rule", "value_a": "expected", "value_b": "actual"})
-        out = out.unionByName(both.select(F.lit("source").alias("category"), *shape))
+#: Order of the categories of checks in reports.
+CATEGORIES = ("sum", "formula", "source", "pair", "reference")
+
+
+def checks(values: DataFrame, sums: DataFrame | None = None, reference: DataFrame | None = None, other: DataFrame | None = None, tolerance: float = 1.0, formulas: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """Long check rows ``(category, doc_id, rule, expected, actual, difference, match)`` of the groups whose rules are given: sums, formulas, the other source field by field or by a table of pairs, and verified values."""
+    shape = ["doc_id", "rule", *[F.col(c).cast("double").alias(c) for c in ("expected", "actual", "difference")], "match"]
+    found = []
+    if sums is not None:
+        found.append(("sum", validate.sum_check(values, sums, ["doc_id"], tolerance)))
+    if formulas is not None:
+        found.append(("formula", validate.formula_checks(values, formulas, ["doc_id"])))
+    sides = {"value_a": "expected", "value_b": "actual"}
+    if other is not None and pairs is not None:
+        found.append(("pair", validate.pair_checks(values, other, pairs, ["doc_id"]).withColumnsRenamed(sides)))
+    elif other is not None:
+        found.append(("source", validate.source_check(values, other, ["doc_id", "field"], tolerance).withColumnsRenamed(sides | {"field": "rule"})))
     if reference is not None:
-        known = validate.reference_check(reference, values, ["doc_id", "field"]).withColumnsRenamed({"field": "rule", "value": "actual"})
-        out = out.unionByName(known.select(F.lit("reference").alias("category"), *shape))
-    return out
+        found.append(("reference", validate.reference_check(reference, values, ["doc_id", "field"]).withColumnsRenamed({"field": "rule", "value": "actual"})))
+    return reduce(DataFrame.unionByName, [d.select(F.lit(category).alias("category"), *shape) for category, d in found])
 
 
 def record_rows(values: DataFrame, fields: DataFrame, docs: DataFrame) -> DataFrame:

@@ -53,14 +53,37 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` once as parquet into the shared folder and read it back.
 
     The written table is replicated storage, so a lost executor costs no
-    recomputation, and later readers prune its columns.
+    recomputation, and later readers prune its columns. It is deleted when the
+    driver ends, or by drop_written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_drop_at_exit)
+    _WRITTEN.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def drop_written() -> None:
+    """Delete the tables that lineage cuts have left in the shared folder. Frames that read them can't be used any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _drop_at_exit() -> None:
+    try:
+        drop_written()
+    except Exception:  # noqa: BLE001 - the session may have ended; a cluster's own cleaner takes the folder then
+        _WRITTEN.clear()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers: a zip of its sources is added once per session."""
     sc = spark.sparkContext

@@ -7,10 +7,15 @@ document order.
 
 from __future__ import annotations
 
+import hashlib
 import io
+import json
+import re
+import time
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,34 +84,63 @@ def filing_member(data: bytes) -> bytes | None:
 
 
 def _documents(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """``(doc_id, content)`` of all files under a path; the id is a file's path below it without the extension, so that files of one name in two folders stay apart."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+?)(?:\.[A-Za-z]+)?$", 1).alias("doc_id"), "content")
+    base = re.sub(r"^[a-z0-9]+:/*(?=/)", "", path.rstrip("/"))
+    plain = F.regexp_replace("path", r"^[a-z0-9]+:/*(?=/)", "")
+    below = F.when(plain.startswith(base + "/"), F.substr(plain, F.lit(len(base) + 2), F.length(plain))).otherwise(F.regexp_extract(plain, r"([^/]+)$", 1))
+    return files.select(F.regexp_replace(below, r"\.[A-Za-z0-9]{1,5}$", "").alias("doc_id"), "content")
 
 
-def _parsed(documents: DataFrame, each, schema: str) -> DataFrame:
-    """Rows of ``each(root)`` per document; a broken document yields none (see read_errors). ``each`` None: the errors."""
+def _per_file(documents: DataFrame, rows_of: Callable[[str, bytes], Iterable[tuple]], schema: str) -> DataFrame:
+    """Rows that a function makes of each file, one frame per batch of files."""
     ship_package(documents.sparkSession)
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, data in zip(batch["doc_id"], batch["content"]):
-                rows: list[tuple] = []
-                try:
-                    body = filing_member(data) if bytes(data[:2]) == b"PK" else bytes(data)
-                    if body is None:
-                        raise ValueError("no filing in the archive")
-                    root = parse_xml(body)
-                    if each is not None:
-                        rows = [(doc, *r) for r in each(root)]
-                except (ET.ParseError, zipfile.BadZipFile, ValueError) as e:
-                    if each is None:
-                        rows = [(doc, str(e))]
-                yield pd.DataFrame(rows, columns=names)
+            rows = [r for doc, data in zip(batch["doc_id"], batch["content"]) for r in rows_of(doc, bytes(data))]
+            yield pd.DataFrame(rows, columns=names)
 
     return documents.mapInPandas(run, schema)
 
 
+def _parsed(documents: DataFrame, each, schema: str) -> DataFrame:
+    """Rows of ``each(root)`` per document; a broken document yields none (see read_errors). ``each`` None: the errors."""
+
+    def rows_of(doc: str, data: bytes) -> list[tuple]:
+        try:
+            body = filing_member(data) if data[:2] == b"PK" else data
+            if body is None:
+                raise ValueError("no filing in the archive")
+            root = parse_xml(body)
+            return [(doc, *r) for r in each(root)] if each is not None else []
+        except (ET.ParseError, zipfile.BadZipFile, ValueError) as e:
+            return [(doc, str(e))] if each is None else []
+
+    return _per_file(documents, rows_of, schema)
+
+
+def namespaces_of(data: bytes) -> dict[str, str]:
+    """Prefix to namespace of every declaration in a document, the first of a prefix; the default namespace has the empty prefix."""
+    found: dict[str, str] = {}
+    for _, (prefix, space) in ET.iterparse(io.BytesIO(data), events=("start-ns",)):
+        found.setdefault(prefix or "", space)
+    return found
+
+
+def read_namespaces(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``(doc_id, prefix, namespace)`` of all filings under a path; a document that breaks off yields none."""
+
+    def rows_of(doc: str, data: bytes) -> list[tuple]:
+        try:
+            return [(doc, *x) for x in namespaces_of((filing_member(data) or b"") if data[:2] == b"PK" else data).items()]
+        except (ET.ParseError, zipfile.BadZipFile):
+            return []
+
+    return _per_file(_documents(spark, path, pattern), rows_of, "doc_id string, prefix string, namespace string")
+
+
 def read_facts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Facts of all filings under a path, XML or zip."""
     return _parsed(_documents(spark, path, pattern), facts_of, FACTS)
@@ -145,18 +179,47 @@ def xpath_prefixed(df: DataFrame, keep: list[str], xml: str, path: str, namespac
     return df.select(*keep, xml).mapInPandas(run, schema)
 
 
-def read_pages(spark: SparkSession, path: str, extract=None) -> DataFrame:
-    """``(doc_id, page_no, text)``. ``extract(bytes)`` yields page texts; by default form feeds part the pages of a text file."""
-    ship_package(spark)
-    pages = extract or (lambda data: data.decode("utf-8", "replace").split("\f"))
+def plain_pages(data: bytes) -> list[str]:
+    """The pages of a text file, parted by form feeds."""
+    return data.decode("utf-8", "replace").split("\f")
+
+
+def plain_tables(text: str) -> list[list[list[str | None]]]:
+    """The tables of a page of plain text: runs of two or more lines whose cells are parted by tabs or by two blanks or more; an empty cell is null."""
+    tables: list[list[list[str | None]]] = [[]]
+    for line in text.splitlines():
+        cells = re.split(r"\t| {2,}", line.strip())
+        if len(cells) > 1:
+            tables[-1].append([c.strip() or None for c in cells])
+        elif tables[-1]:
+            tables.append([])
+    return [t for t in tables if len(t) > 1]
+
+
+def read_pages(spark: SparkSession, path: str, extract: Callable[[bytes], Iterable[str]] = plain_pages, pages: Collection[int] | None = None, pattern: str = "*") -> DataFrame:
+    """``(doc_id, page_no, text)`` of the files under a path, or of the named pages only. ``extract`` yields a file's page texts."""
+    rows_of = lambda doc, data: [(doc, i, t) for i, t in enumerate(extract(data), 1) if pages is None or i in pages]
+    return _per_file(_documents(spark, path, pattern), rows_of, "doc_id string, page_no int, text string")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for doc, data in zip(batch["doc_id"], batch["content"]):
-                rows = [(doc, i, t) for i, t in enumerate(pages(bytes(data)), 1)]
-                yield pd.DataFrame(rows, columns=["doc_id", "page_no", "text"])
 
-    return _documents(spark, path, "*").mapInPandas(run, "doc_id string, page_no int, text string")
+def read_tables(spark: SparkSession, path: str, extract: Callable[[bytes], Iterable[Iterable[list[list[str | None]]]]] | None = None, pages: Collection[int] | None = None, pattern: str = "*") -> DataFrame:
+    """``(doc_id, page_no, table_idx, row_idx, cells)``: the table grids of each page. ``extract`` yields, per page of a file, its tables; by default those of plain text."""
+    found = extract or (lambda data: [plain_tables(t) for t in plain_pages(data)])
+
+    def rows_of(doc: str, data: bytes) -> Iterator[tuple]:
+        for page, tables in enumerate(found(data), 1):
+            if pages is None or page in pages:
+                for t, rows in enumerate(tables):
+                    yield from ((doc, page, t, r, list(cells)) for r, cells in enumerate(rows))
+
+    return _per_file(_documents(spark, path, pattern), rows_of, "doc_id string, page_no int, table_idx int, row_idx int, cells array<string>")
+
+
+def read_document_info(spark: SparkSession, path: str, describe: Callable[[bytes], Mapping[str, str]] = lambda data: {}, extract: Callable[[bytes], Iterable[str]] = plain_pages, pattern: str = "*") -> DataFrame:
+    """``(doc_id, n_bytes, n_pages, sha256, properties)`` of each file; ``describe`` yields its properties."""
+    rows_of = lambda doc, data: [(doc, len(data), sum(1 for _ in extract(data)), hashlib.sha256(data).hexdigest(), dict(describe(data)))]
+    told = _per_file(_documents(spark, path, pattern), lambda d, b: [(*x[:4], json.dumps(x[4])) for x in rows_of(d, b)], "doc_id string, n_bytes bigint, n_pages int, sha256 string, properties string")
+    return told.withColumn("properties", F.from_json("properties", "map<string, string>"))
 
 
 def link_periods(html: Column) -> Column:
@@ -191,24 +254,55 @@ def first_existing(listing: DataFrame, patterns: DataFrame) -> DataFrame:
     return pick_first(listing.join(broadcast_if_small(patterns), ["key", "file"]), ["key"], [F.col("rank")], ["file", "rank"])
 
 
-def ocr_pages(images: DataFrame, provider, fallbacks=(), attempts: int = 3) -> DataFrame:
-    """``(doc_id, page_no, text, provider, error)`` of page images by injected functions ``bytes -> text``: each is tried ``attempts`` times, then the next. Back-off is the provider's own."""
-    chain = [provider, *fallbacks]
-    ship_package(images.sparkSession)
+def page_periods(pages: DataFrame, keep: list[str], html: str, extract: Callable[[Column], Column] = link_periods) -> DataFrame:
+    """``keep``, ``href``, ``year``, ``quarter``: the periods that listing pages offer, newest first within a page's array. ``extract`` turns a page into an array of such structs, one per source of pages."""
+    return pages.select(*keep, F.inline(F.array_sort(extract(F.col(html)), lambda a, b: F.when(a["year"] != b["year"], b["year"] - a["year"]).otherwise(b["quarter"] - a["quarter"]))))
+
+
+def offers_period(pages: DataFrame, keep: list[str], html: str, year: int, quarter: int, extract: Callable[[Column], Column] = link_periods) -> DataFrame:
+    """``keep`` and ``available``: whether a listing page offers a period."""
+    return pages.select(*keep, F.coalesce(F.exists(extract(F.col(html)), lambda x: (x["year"] == year) & (x["quarter"] == quarter)), F.lit(False)).alias("available"))
+
+
+def _calls(chain: list, attempts: int, wait: float, longest: float, data: bytes) -> Iterator[tuple]:
+    """``(attempt, provider, text, error, at)`` of each call until one succeeds."""
+    n = 0
+    for p in chain:
+        for turn in range(attempts):
+            n += 1
+            if turn and wait:
+                time.sleep(min(longest, wait * 2 ** (turn - 1)))
+            name, at = getattr(p, "__name__", "provider"), datetime.now(timezone.utc).replace(tzinfo=None)
+            try:
+                yield n, name, p(data), None, at
+                return
+            except Exception as e:  # noqa: BLE001 - a provider may raise anything
+                yield n, name, None, str(e), at
+
 
-    def read(data: bytes) -> tuple[str | None, str | None, str | None]:
-        last = None
-        for p in chain:
-            for _ in range(attempts):
-                try:
-                    return p(data), getattr(p, "__name__", "provider"), None
-                except Exception as e:  # noqa: BLE001 - a provider may raise anything
-                    last = str(e)
-        return None, None, last
+def _of_images(images: DataFrame, rows_of: Callable[[bytes], Iterable[tuple]], schema: str) -> DataFrame:
+    ship_package(images.sparkSession)
+    names = ["doc_id", "page_no", *[x.strip().split(" ")[0] for x in schema.split(",")]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            told = [read(bytes(c)) for c in batch["content"]]
-            yield batch[["doc_id", "page_no"]].assign(text=[t[0] for t in told], provider=[t[1] for t in told], error=[t[2] for t in told])
+            yield pd.DataFrame([(d, p, *r) for d, p, data in zip(batch["doc_id"], batch["page_no"], batch["content"]) for r in rows_of(bytes(data))], columns=names)
+
+    return images.select("doc_id", "page_no", "content").mapInPandas(run, f"doc_id string, page_no int, {schema}")
+
+
+def ocr_attempts(images: DataFrame, provider, fallbacks=(), attempts: int = 3, wait: float = 0.0, longest: float = 30.0) -> DataFrame:
+    """``(doc_id, page_no, attempt, provider, text, error, at)``: every call of injected functions ``bytes -> text`` on page images, as an audit; each is tried ``attempts`` times, then the next. Before a repeated call the task waits ``wait`` seconds, twice as long each time up to ``longest``."""
+    chain = [provider, *fallbacks]
+    return _of_images(images, lambda data: _calls(chain, attempts, wait, longest, data), "attempt int, provider string, text string, error string, at timestamp")
+
+
+def ocr_pages(images: DataFrame, provider, fallbacks=(), attempts: int = 3, wait: float = 0.0, longest: float = 30.0) -> DataFrame:
+    """``(doc_id, page_no, text, provider, error)``: the outcome of the calls of ocr_attempts, the provider null where all failed."""
+    chain = [provider, *fallbacks]
+
+    def outcome(data: bytes) -> list[tuple]:
+        *_, (_, name, text, error, _) = _calls(chain, attempts, wait, longest, data)
+        return [(text, None if error is not None else name, error)]
 
-    return images.select("doc_id", "page_no", "content").mapInPandas(run, "doc_id string, page_no int, text string, provider string, error string")
+    return _of_images(images, outcome, "text string, provider string, error string")

@@ -74,3 +74,46 @@ def sum_table(spark: SparkSession, rules: list[Mapping[str, Any]], tolerance: fl
         own = float(r.get("tolerance", tolerance))
         rows += [(r["description"], f, False, own) for f in r["sum_fields"]] + [(r["description"], r["total_field"], True, own)]
     return _rows(spark, rows, "rule string, field string, is_total boolean, tolerance double")
+
+
+def rule_at(rules: Mapping[str, Any], path: str, default: Any = None) -> Any:
+    """The entry at a dotted path, such as ``validation.sums``; the default where a step is absent."""
+    at: Any = rules
+    for step in path.split("."):
+        if not isinstance(at, Mapping) or step not in at:
+            return default
+        at = at[step]
+    return at
+
+
+def field_names(rules: Mapping[str, Any], path: str = "fields") -> list[str]:
+    """The names of the fields listed at a path, in the document's order."""
+    return list(rule_at(rules, path, {}))
+
+
+def section_labels(rules: Mapping[str, Any], section: str) -> list[str]:
+    """All labels of a section's fields, in order."""
+    return [x for r in rule_at(rules, f"sections.{section}", {}).values() for x in r.get("labels", [])]
+
+
+def name_table(spark: SparkSession, names: Mapping[str, str]) -> DataFrame:
+    """``(name, target)`` of a mapping such as field to result key or section to total; comment entries are left out."""
+    return _rows(spark, [(k, v) for k, v in names.items() if not k.startswith("_")], "name string, target string")
+
+
+def formula_table(spark: SparkSession, rules: list[Mapping[str, Any]], tolerance: float = 1.0) -> DataFrame:
+    """``[{description, formula, tolerance}]`` as ``(rule, formula, tolerance)``."""
+    return _rows(spark, [(r["description"], r["formula"], float(r.get("tolerance", tolerance))) for r in rules], "rule string, formula string, tolerance double")
+
+
+def pair_table(spark: SparkSession, rules: list[Mapping[str, Any]], tolerance: float = 1.0) -> DataFrame:
+    """``[{field_name, xbrl_key, display_name, tolerance}]`` as ``(rule, field, other, tolerance)``: which field of one source agrees with which of the other."""
+    return _rows(spark, [(r.get("display_name", r["field_name"]), r["field_name"], r.get("xbrl_key", r["field_name"]), float(r.get("tolerance", tolerance))) for r in rules], "rule string, field string, other string, tolerance double")
+
+
+# What total rows are called unless rules say otherwise.
+TOTAL_MARKERS = ("Totales", "Total")
+
+
+def total_markers(rules: Mapping[str, Any]) -> list[str]:
+    return list(rule_at(rules, "total_row_markers", TOTAL_MARKERS))

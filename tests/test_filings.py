@@ -2,6 +2,7 @@
 
 import io
 import json
+from datetime import datetime
 import zipfile
 
 from pyspark.sql import functions as F
@@ -120,13 +121,67 @@ def test_sinks(spark, tmp_path):
     sinks.write_workbook({"first " * 9: df, "b": df.where("false")}, str(tmp_path / "w.xlsx"))
     with zipfile.ZipFile(tmp_path / "w.xlsx") as z:
         assert z.read("xl/worksheets/sheet1.xml").count(b"<row") == 3 and len(z.namelist()) == 6
-    try:
-        sinks.write_workbook({"a": df}, str(tmp_path / "w2.xlsx"), most=1)
-        raise AssertionError
-    except ValueError:
-        pass
-    prov = spark.createDataFrame([("p", "f", 1, "a"), ("p", "f", 0, "b"), ("p", "g", 2, "c")], "period string, field string, ord int, source string")
-    assert json.loads(sinks.provenance_map(prov, "period", "field", ["ord", "source"]).first().content) == {"f": [{"ord": 0, "source": "b"}, {"ord": 1, "source": "a"}], "g": [{"ord": 2, "source": "c"}]}
+    sinks.write_workbook({"a": df, "A": df, "x" * 40: df, "x" * 35: df}, str(tmp_path / "w2.xlsx"), most=1)
+    back = sinks.read_workbooks(spark, str(tmp_path), "w2*").orderBy("sheet", "row_no").collect()
+    assert sorted({r.sheet for r in back}) == sorted(["a", "a (2)", "A (3)", "A (4)", "x" * 31, "x" * 27 + " (2)", "x" * 27 + " (3)", "x" * 27 + " (4)"])
+    assert [r.cells for r in back if r.sheet == "a (2)"] == [["year", "quarter", "sheet", "x", "t"], ["2024", "2", "s", None, "é"]]
+
+
+def test_workbooks_of_periods(spark, tmp_path):
+    matrix = spark.createDataFrame([(1, "Ventas", 10.5, None), (2, "Costo", -3.0, 4.0)], "row_no int, label string, 2024_QI double, 2024_QII double")
+    sinks.write_workbook({"s": matrix}, str(tmp_path / "w.xlsx"))
+    rows = sinks.read_workbooks(spark, str(tmp_path))
+    assert sorted(r.period for r in sinks.workbook_periods(rows).collect()) == ["2024_QI", "2024_QII"]
+    assert {(r.label, r.period): r.value for r in sinks.workbook_values(rows).collect() if r.value is not None} == {("Ventas", "2024_QI"): 10.5, ("Costo", "2024_QI"): -3.0, ("Costo", "2024_QII"): 4.0}
+    (tmp_path / "bad.xlsx").write_bytes(b"no workbook")
+    assert sinks.read_workbooks(spark, str(tmp_path)).count() == rows.count()
+
+
+def test_provenance_and_audit(spark, tmp_path):
+    shape = "period string, field string, ord int, source string, ts timestamp"
+    prov = spark.createDataFrame([("p", "f", 1, "a", datetime(2024, 1, 2)), ("p", "f", 0, None, None), ("q", "g", 2, "c", None)], shape)
+    sinks.write_provenance(prov, str(tmp_path / "p"))
+    sinks.write_provenance(prov.where("period = 'q'").withColumn("ord", F.lit(7)), str(tmp_path / "p"))
+    back = sinks.read_provenance(spark, str(tmp_path / "p"), shape)
+    assert sorted((r.period, r.field, r.ord, r.ts) for r in back.collect()) == [("p", "f", 0, None), ("p", "f", 1, datetime(2024, 1, 2)), ("q", "g", 7, None)]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "x.json").write_text('{"f": [{"source": "a"}, {"source": "b"}], "g": []}')
+    (tmp_path / "m" / "y.json").write_text("[broken")
+    maps = sinks.read_provenance_maps(spark, str(tmp_path / "m"), "source: string")
+    assert sorted((r.field, r.ord, r.source) for r in maps.collect()) == [("f", 0, "a"), ("f", 1, "b")]
+    images = spark.createDataFrame([("d", 1, bytearray(b"x"))], "doc_id string, page_no int, content binary")
+
+    def failing(data):
+        raise ValueError("no")
+
+    for n in (1, 2):
+        sinks.append_audit(sources.ocr_attempts(images, failing, [lambda data: "text"], 2, wait=0.01), str(tmp_path / "audit"))
+        assert spark.read.parquet(str(tmp_path / "audit")).count() == 3 * n
+    assert [r.error for r in spark.read.parquet(str(tmp_path / "audit")).where("attempt < 3").select("error").distinct().collect()] == ["no"]
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "Q1.xml").write_text(f'<x xmlns:k="urn:{folder}"><k:n contextRef="c">{folder}</k:n></x>')
+    assert sorted((r.doc_id, r.value) for r in sources.read_facts(spark, str(tmp_path)).collect()) == [("a/Q1", "a"), ("b/Q1", "b")]
+    assert sorted((r.doc_id, r.prefix, r.namespace) for r in sources.read_namespaces(spark, f"file://{tmp_path}").collect()) == [("a/Q1", "k", "urn:a"), ("b/Q1", "k", "urn:b")]
+
+
+def test_tables_and_facts_of_text_files(spark, tmp_path):
+    (tmp_path / "d.txt").write_text("Titulo\nVentas  10  5\nCosto\t3\t\n\nsolo  una\n\fx")
+    assert [(r.page_no, r.table_idx, r.row_idx, r.cells) for r in sources.read_tables(spark, str(tmp_path)).collect()] == [(1, 0, 0, ["Ventas", "10", "5"]), (1, 0, 1, ["Costo", "3"])]
+    assert sources.read_tables(spark, str(tmp_path), pages=[2]).count() == 0
+    assert [r.text for r in sources.read_pages(spark, str(tmp_path), pages=[2]).collect()] == ["x"]
+    told = sources.read_document_info(spark, str(tmp_path), lambda data: {"Producer": "p"}).first()
+    assert (told.doc_id, told.n_pages, told.properties) == ("d", 2, {"Producer": "p"}) and len(told.sha256) == 64
+
+
+def test_periods_of_listing_pages(spark):
+    html = "<a href='b'>2023-12-31</a><a href='a'>31-03-2024</a><a href='c'>2023-09-30</a>"
+    pages = spark.createDataFrame([("s", html), ("t", None)], "site string, html string")
+    assert [(r.href, r.year, r.quarter) for r in sources.page_periods(pages, ["site"], "html").collect()] == [("a", 2024, 1), ("b", 2023, 4), ("c", 2023, 3)]
+    assert {r.site: r.available for r in sources.offers_period(pages, ["site"], "html", 2023, 4).collect()} == {"s": True, "t": False}
 
 
 def test_streams(spark, tmp_path):
