@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +45,29 @@ def similarity_index(s: Column) -> Column:
 
 def refactor_index(cc: Column, cognitive: Column, index: Column) -> Column:
     return F.lit(0.25) * cc + F.lit(0.15) * cognitive + F.lit(0.6) * index
+
+
+def packed(vector: Column) -> Column:
+    """A vector as base64 text of its deflated 32-bit floats, for stores that hold texts only; null stays null."""
+
+    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([None if v is None else base64.b64encode(zlib.compress(np.asarray(v, dtype="<f4").tobytes())).decode() for v in batch], dtype="object")
+
+    return F.pandas_udf(pack, "string")(vector)
+
+
+def unpacked(text: Column) -> Column:
+    """The vector of a packed text; null where it is none."""
+
+    def unpack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for t in batch:
+                try:
+                    out.append(None if t is None else np.frombuffer(zlib.decompress(base64.b64decode(t)), dtype="<f4").tolist())
+                except (ValueError, zlib.error):
+                    out.append(None)
+            yield pd.Series(out, dtype="object")
+
+    return F.pandas_udf(unpack, "array<float>")(text)

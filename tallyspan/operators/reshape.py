@@ -92,7 +92,8 @@ def exclude_pairs(pairs: DataFrame, a: str, b: str, patterns: DataFrame) -> Data
 
 def check_line(name: Column) -> Column:
     """One line of text for a check ``(expected, actual, difference, match)``."""
-    number = lambda c: F.coalesce(F.format_number(F.col(c).cast("double"), 0), F.lit("-"))
+    # a zero is added, as a small negative figure would be shown as -0
+    number = lambda c: F.coalesce(F.format_number(F.bround(F.col(c).cast("double"), 0) + F.lit(0.0), 0), F.lit("-"))
     return F.when(F.col("match"), F.concat(F.lit("ok: "), name, F.lit(" = "), number("actual"))).otherwise(
         F.concat(F.lit("mismatch: "), name, F.lit(" expected "), number("expected"), F.lit(", found "), number("actual"), F.lit(", off by "), number("difference"))
     )

@@ -178,6 +178,16 @@ def neighbor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "n", F.round("max_similarity", 5).alias("max_similarity"))
 
 
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that is close to a query row, a pair of two queries once."""
+    return similarity.similar_pairs(*_queries(spark, sf_dir), 0.3).select("query_id", "neighbor_id", F.round("similarity", 5).alias("similarity"))
+
+
+def similarity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines of pairs that are too close and of queries with several close neighbours."""
+    return similarity.violations(similarity.similar_pairs(*_queries(spark, sf_dir), 0.3), 0.4).select("id", "kind", "n")
+
+
 def concat_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector laid twice end to end and scaled to norm 1: its ends and their cosine with the vector itself."""
     e = F.col("embedding")
@@ -202,14 +212,14 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/events.parque[t]")  # a glob, as the source takes a plain path for a folder
     events = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    return ingest.drain(ingest.window_totals(events, "ts", ["event_type"], "value", late=None), "totals", "complete").withColumn("total", F.round("total", 2))
+    return ingest.drain(ingest.window_totals(events, "ts", ["event_type"], "value"), "totals", ["window_start", "event_type"]).withColumn("total", F.round("total", 2))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         label_match, keyword_match, page_find, section_context, table_score, best_table, explode_lines, line_values, line_segments, chosen_segment, latest_context, current_context, year_context,
-        fact_contexts, facts_by_substring, mapped_facts, ytd_max, fact_categories, units_distinct, sheet_listing, sheet_items, grid_rows, vector_topk, neighbor_counts, concat_normalize, refactor_index,
+        fact_contexts, facts_by_substring, mapped_facts, ytd_max, fact_categories, units_distinct, sheet_listing, sheet_items, grid_rows, vector_topk, neighbor_counts, similar_pairs, similarity_violations, concat_normalize, refactor_index,
         pca_clusters, stream_totals,
     )
 }

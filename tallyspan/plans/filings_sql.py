@@ -95,6 +95,14 @@ SQL = {
       with q as (select vec_id as query_id, embedding as qe from embeddings where vec_id % 50 = 0),
            s as (select query_id, list_cosine_similarity(qe::double[], embedding::double[]) as sim from q, embeddings where vec_id <> query_id)
       select query_id, (count(*) filter (sim >= 0.3))::bigint as n, round(max(sim), 5) as max_similarity from s group by 1""",
+    "similar_pairs": """
+      select q.vec_id as query_id, e.vec_id as neighbor_id, round(list_cosine_similarity(q.embedding::double[], e.embedding::double[]), 5) as similarity
+      from embeddings q, embeddings e where q.vec_id % 50 = 0 and e.vec_id <> q.vec_id and (e.vec_id % 50 <> 0 or q.vec_id < e.vec_id) and list_cosine_similarity(q.embedding::double[], e.embedding::double[]) >= 0.3""",
+    "similarity_violations": """
+      with p as (
+        select q.vec_id as id, list_cosine_similarity(q.embedding::double[], e.embedding::double[]) as s
+        from embeddings q, embeddings e where q.vec_id % 50 = 0 and e.vec_id <> q.vec_id and (e.vec_id % 50 <> 0 or q.vec_id < e.vec_id) and s >= 0.3)
+      select id, 'pair' as kind, 1::bigint as n from p where s >= 0.4 union all select id, 'neighbors', count(*) from p where s < 0.4 group by 1 having count(*) >= 2""",
     "concat_normalize": """
       select vec_id, (2 * len(embedding))::int as width, round(embedding[1]::double / sqrt(2 * list_dot_product(embedding::double[], embedding::double[])), 6) as first, 1.0::double as norm, 1.0::double as same from embeddings""",
     "refactor_index": "select p_partkey, round(0.25 * p_size + 0.15 * (p_size % 7) + 0.6 * 25.403 * power((p_partkey % 100) / 100.0, 5), 6)::double as score from part",

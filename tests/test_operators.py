@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.operators import formula, grids, matching, merge, segments, select, similarity, validate
+from tallyspan.operators import formula, grids, matching, merge, reshape, segments, select, similarity, validate
 
 
 def rows(df):
@@ -141,3 +141,59 @@ def test_similarity(spark):
     assert [(r.neighbor_id, r.rank) for r in top.orderBy("rank").collect()] == [(6, 1), (2, 2)]
     assert rows(similarity.neighbor_counts(vecs, vecs.where("vec_id in (1, 3)"), 0.9).select("query_id", "n")) == [(1, 2), (3, 0)]
     assert similarity.top_k(vecs, vecs.where("false"), 2).count() == 0
+
+
+def test_searches_in_blocks(spark, monkeypatch):
+    """Blocks, passes and batches of any size give what brute force gives, ties, odd vectors and repeated rows included."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    data = [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(60)] + [(60, None), (61, [0.0] * 3), (62, [1.0, 2.0]), (63, [1.0, 0.0, 0.0]), (64, [1.0, 0.0, 0.0]), (None, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<float>").repartition(5)
+    asked = df.where("vec_id % 3 = 0")
+    unit = {i: (np.array(v) / (np.linalg.norm(v) or 1) if v is not None and len(v) == 3 else np.zeros(3)) for i, v in data if i is not None}
+    sim = {(q, i): float(unit[q] @ unit[i]) for q in unit if q % 3 == 0 for i in unit if i != q}
+    want = [(q, i, n) for q in unit if q % 3 == 0 for n, i in enumerate(sorted((i for i in unit if i != q), key=lambda i: (-round(sim[q, i], 9), i))[:4], 1)]
+    pairs = sorted((q, i) for (q, i), s in sim.items() if s >= 0.9 and (i % 3 or q < i))
+    for block, held in ((1024, 64), (4, 2)):
+        monkeypatch.setattr(similarity, "QUERY_BLOCK", block)
+        monkeypatch.setattr(similarity, "BLOCKS_HELD", held)
+        assert sorted((r.query_id, r.neighbor_id, r.rank) for r in similarity.top_k(df, asked, 4).collect()) == sorted(want)
+        assert sorted((r.query_id, r.neighbor_id) for r in similarity.similar_pairs(df, asked, 0.9).collect()) == pairs
+    kinds = {(r.id, r.kind): r.n for r in similarity.violations(spark.createDataFrame([(1, 2, 0.95), (1, 3, 0.7), (1, 4, 0.8), (5, 6, 0.7)], "query_id bigint, neighbor_id bigint, similarity double"), 0.9).collect()}
+    assert kinds == {(1, "pair"): 1, (1, "neighbors"): 2}
+    assert similarity.similar_pairs(df, asked.where("false"), 0.9).count() == 0
+
+
+def test_pca_of_odd_tables(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0]), (3, None), (4, []), (5, [3.0, 3.5])], "id int, embedding array<float>")
+    reduced, k = similarity.pca(df, variance=0.9)
+    assert 1 <= k <= 2 and sorted(r.id for r in reduced.collect()) == [1, 2, 5]
+    empty, k = similarity.pca(df.where("false"))
+    assert k == 0 and empty.count() == 0 and "reduced" in empty.columns
+
+
+def test_rule_driven_checks(spark):
+    from tallyspan.plans import sheets
+    from tallyspan.sources import rules as R
+
+    v = spark.createDataFrame([("d", "a", 10.0), ("d", "b", -4.0), ("d", "c", 6.0), ("e", "a", 1.0), ("e", "c", 9.0), ("f", "z", 1.0)], "doc_id string, field string, value double")
+    formulas = R.formula_table(spark, [{"description": "sum", "formula": "c == a + b"}, {"description": "odd", "formula": "a = b"}, {"description": "near", "formula": "c == a", "tolerance": 5}])
+    got = {(r.doc_id, r.rule): (r.match, sorted(r.missing)) for r in validate.formula_checks(v, formulas, ["doc_id"]).collect()}
+    assert got == {("d", "sum"): (True, []), ("e", "sum"): (True, ["b"]), ("d", "odd"): (True, []), ("e", "odd"): (True, ["b"]), ("d", "near"): (True, []), ("e", "near"): (False, [])}
+    pairs = R.pair_table(spark, [{"field_name": "a", "xbrl_key": "A", "display_name": "first"}, {"field_name": "c", "xbrl_key": "C", "tolerance": 3}])
+    other = spark.createDataFrame([("d", "A", -10.5), ("e", "C", 20.0), ("g", "A", 5.0)], "doc_id string, field string, value double")
+    got = {(r.doc_id, r.rule): (r.source, r.match) for r in validate.pair_checks(v, other, pairs, ["doc_id"]).collect()}
+    assert got == {("d", "first"): ("both", True), ("d", "c"): ("pdf_only", True), ("e", "first"): ("pdf_only", True), ("e", "c"): ("both", False), ("g", "first"): ("xbrl_only", True)}
+    checks = sheets.checks(v, formulas=formulas, other=other, pairs=pairs)
+    report = [(r.part, r.line_no, r.line) for r in reshape.sectioned_report(checks, ["doc_id"], "category", "rule", sheets.CATEGORIES).where("doc_id = 'e'").orderBy("part", "line_no").collect()]
+    assert [x[2] for x in report] == ["sum: not run", "formula: 2 passed, 1 failed", "mismatch: near expected 9, found 1, off by 8", "source: not run", "pair: 1 passed, 1 failed", "mismatch: c expected 9, found 20, off by 11", "reference: not run", "2 checks failed"]
+    assert validate.formula_checks(v.where("false"), formulas, ["doc_id"]).count() == 0
+
+
+def test_table_on_the_next_page(spark):
+    tables = spark.createDataFrame([("a", 1, 0, "uno dos"), ("a", 2, 0, "uno dos tres"), ("b", 1, 0, "nada"), ("b", 2, 1, "uno dos"), ("b", 2, 0, "uno dos"), ("c", 3, 0, "uno dos"), (None, 1, 0, "uno dos")], "doc string, page_no int, idx int, t string")
+    wanted = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1), (None, 1)], "doc string, page_no int")
+    assert rows(matching.best_table_or_next(tables, wanted, ["doc"], "page_no", "idx", "t", ["uno", "dos"], least=2)) == [("a", 1, 0, 2), ("b", 2, 0, 2)]
