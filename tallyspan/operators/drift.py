@@ -202,8 +202,8 @@ def match_renames(gone: dict[str, list], come: dict[str, list], names: Names) ->
     return {olds[i]: news[j] for i, j in assign(score) if score[i][j] > 0}
 
 
-def profile(content: str | None) -> dict | None:
-    """``{"wrapped", "fields": {name: [kind, sketch]}}`` of one file; null where the text is no JSON object."""
+def record_of(content: str | None) -> tuple[bool, dict] | None:
+    """Whether a file's record stands in a wrapper, and the record; null where the text is no JSON object."""
     try:
         top = json.loads(content) if content is not None else None
     except (ValueError, RecursionError):
@@ -211,7 +211,13 @@ def profile(content: str | None) -> dict | None:
     if not isinstance(top, dict):
         return None
     wrapped = isinstance(top.get("content"), dict)
-    return {"wrapped": wrapped, "fields": {k: [kind_of(x), sketch(x)] for k, x in (top["content"] if wrapped else top).items()}}
+    return wrapped, top["content"] if wrapped else top
+
+
+def profile(content: str | None) -> dict | None:
+    """``{"wrapped", "fields": {name: [kind, sketch]}}`` of one file; null where the text is no JSON object."""
+    record = record_of(content)
+    return None if record is None else {"wrapped": record[0], "fields": {k: [kind_of(x), sketch(x)] for k, x in record[1].items()}}
 
 
 def layout_changes(before: dict, after: dict, names: Names) -> tuple[list[tuple[str, str, str]], dict[str, str]]:
@@ -350,15 +356,29 @@ def learn_names(files: DataFrame, known: frozenset[str] = frozenset()) -> dict[s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
+        plain: dict[str, str | None] = {}  # of each name met, None where it takes no part
+
+        def asked(name: str) -> str | None:
+            if name not in plain:
+                if len(plain) >= HELD:
+                    plain.clear()
+                p = plain_name(name)
+                plain[name] = None if p in plain_known else p or None
+            return plain[name]
+
         for batch in batches:
             records = []
             for content in batch["content"]:
-                seen = profile(content)
-                if seen is None:
+                record = record_of(content)
+                if record is None:
                     continue
-                found = {p: x for name, x in seen["fields"].items() if (p := plain_name(name)) and p not in plain_known}
+                found = {p: x for name, x in record[1].items() if (p := asked(name)) is not None}
                 records.append((None, None, None, list(found)))
-                counts.update((p, f"{kind} {value[1] if kind == 'text' else value}") for p, (kind, value) in found.items() if kind in ("text", "number", "flag"))
+                for p, x in found.items():
+                    kind = kind_of(x)
+                    if kind in ("text", "number", "flag"):
+                        value = sketch(x)
+                        counts[p, f"{kind} {value[1] if kind == 'text' else value}"] += 1
             yield pd.DataFrame(records, columns=columns).astype({"n": "Int64"})
             if len(counts) > HELD:
                 yield pd.DataFrame([(*k, n, None) for k, n in counts.items()], columns=columns)
@@ -451,13 +471,10 @@ def unified_rows(files: DataFrame, keep: list[str], known: dict[str, set[str]],
         for batch in batches:
             out = []
             for i, content in enumerate(batch["content"]):
-                try:
-                    top = json.loads(content) if content is not None else None
-                except (ValueError, RecursionError):
-                    top = None
-                if not isinstance(top, dict):
+                told = record_of(content)
+                if told is None:
                     continue
-                record = top["content"] if isinstance(top.get("content"), dict) else top
+                record = told[1]
                 names = canonical(tuple(record), batch[sheet].iloc[i])
                 out += [(i, names[k], k, kind_of(v), None if v is None else json.dumps(v, ensure_ascii=False)) for k, v in record.items()]
             rows = pd.DataFrame(out, columns=["__i", "field", "name", "kind", "value"])
