@@ -110,7 +110,8 @@ def keyword_values(lines: DataFrame, key: Sequence[str], line_no: str, text: str
     matched with all rules inside one expression; only lines that match are
     parsed for a value.
     """
-    low = F.lower(F.col(text))
+    # a column of its own, as inside the rules' branches the text would be lowered for each of them
+    low, lines = F.col("__low"), lines.withColumn("__low", F.lower(F.col(text)))
     meant = F.array_compact(F.array(*[F.when(_holds(low, r.match_words) & ~_holds(low, r.exclude_words), F.lit(r.field)) for r in rule_rows(rules)]).cast("array<string>"))
     matched = lines.select(*key, line_no, text, F.explode(meant).alias("field"))
     # exploded rather than filtered, as a filter would be pushed down and evaluate the value twice
