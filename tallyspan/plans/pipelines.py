@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +55,7 @@ def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def figures_from_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures of every section from the best table of each document."""
-    keywords, fields = table(spark, sf_dir, "keyword_rule"), table(spark, sf_dir, "field_rule")
-    sections = sorted({r.section for r in rule_rows(keywords)})
-    rows = _grids(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [sheets.from_grids(rows, keywords, fields.where(F.col("section") == s), s).select("doc_id", F.lit(s).alias("section"), "field", "value") for s in sections])
+    return sheets.from_grids_by_section(_grids(spark, sf_dir), table(spark, sf_dir, "keyword_rule"), table(spark, sf_dir, "field_rule"))
 
 
 def table_or_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:

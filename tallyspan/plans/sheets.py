@@ -69,6 +69,34 @@ def from_grids(rows: DataFrame, keywords: DataFrame, fields: DataFrame, section:
     return typed(last, fields)
 
 
+def from_grids_by_section(rows: DataFrame, keywords: DataFrame, fields: DataFrame, least: int = 3) -> DataFrame:
+    """``(doc_id, section, field, value)``: from_grids for every section of the rules in one pass: the texts of the tables are made once and scored for each section, and a table's rows are parsed by the sections it was chosen for."""
+    rules: dict[str, list] = {}
+    for r in sorted(rule_rows(keywords), key=lambda r: r.rule_ord):
+        rules.setdefault(r.section, []).append(r)
+    labels = {s: [x for r in rs for x in (r.labels or [])] for s, rs in rules.items()}
+    totals: dict[str, list[str]] = {}
+    for r in sorted(rule_rows(fields), key=lambda r: r.rule_ord):
+        if r.is_total:
+            totals.setdefault(r.section, []).append(r.field)
+    texts = rows.groupBy("doc_id", "page_no", "table_idx").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_idx", matching.table_text(F.col("cells")).alias("t")))), lambda x: x["t"]), "\n").alias("t"))
+    scores = F.array(*[F.struct(F.lit(s).alias("section"), matching.score_table(F.col("t"), ls).alias("score")) for s, ls in labels.items()])
+    scored = texts.select("doc_id", F.struct("page_no", "table_idx").alias("at"), F.inline(scores)).where(F.col("score") >= least)
+    best = pick_first(scored, ["doc_id", "section"], [-F.col("score"), F.col("at")], ["at"]).select("doc_id", "section", "at.page_no", "at.table_idx")
+    chosen = rows.join(best, ["doc_id", "page_no", "table_idx"])
+    parsed = grids.parse_grid(chosen, ["doc_id", "section"], "row_idx", "cells", labels, section="section")
+    by_words = {s: matching.match_keywords(F.col("concepto"), [(r.field, r.match_words, r.exclude_words) for r in rs if r.field not in totals.get(s, ())]) for s, rs in rules.items()}
+    is_total = F.lower("concepto").startswith("total") | F.lower("concepto").startswith("suma")
+    total = matching.of_section(F.col("section"), {s: F.lit(t[0]) for s, t in totals.items()})
+    named = F.coalesce(F.when(is_total, total), matching.of_section(F.col("section"), by_words))
+    valued = parsed.select("doc_id", "section", "row_idx", "line", named.alias("field"), F.get("values", F.lit(0)).cast("double").alias("value")).where("field is not null")
+    last = pick_first(valued, ["doc_id", "section", "field"], [-F.col("row_idx"), -F.col("line")], ["value"], F.col("value").isNotNull())
+    kinds = broadcast_if_small(fields.select("section", "field", "value_type", "sign"))
+    whole = F.when(F.col("value_type") == "int", F.col("value").cast("bigint").cast("double")).otherwise(F.col("value"))
+    signed = F.when((F.col("sign") == "negative") & (whole > 0), -whole).otherwise(whole)
+    return last.join(kinds, ["section", "field"]).select("doc_id", "section", "field", signed.alias("value"))
+
+
 def from_filings(facts: DataFrame, contexts: DataFrame, mappings: DataFrame, year: Column, quarter: Column, factor: int = 1000) -> DataFrame:
     """Figures from tagged filings: each mapped field in the context chosen by its type; an instant field not found in the yearly context in the first instant of the year."""
     duration = filings.chosen_context(contexts, year, quarter)
