@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.plans import drift, figures, figures_sql, filings, filings_sql, pipelines, pipelines_sql, quality, quality_sql, units
+from tallyspan.plans import drift, figures, figures_sql, filings, filings_sql, pieces, pipelines, pipelines_sql, quality, quality_sql, units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {
     **figures.QUERIES,
     **filings.QUERIES,
     **pipelines.QUERIES,
+    **pieces.QUERIES,
 }
 
-SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL, **filings_sql.SQL, **pipelines_sql.SQL}
+SQL: dict[str, str] = {**quality_sql.SQL, **figures_sql.SQL, **filings_sql.SQL, **pipelines_sql.SQL, **pieces.SQL}
