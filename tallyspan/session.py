@@ -45,6 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     made = tempfile.mkdtemp(prefix="tallyspan-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     sc.setCheckpointDir(f"file://{made}")
     return sc.getCheckpointDir()
 
